@@ -1,0 +1,43 @@
+"""Set operations: the literal three-branch union (U1) and report assembly
+by append-then-deduplicate (U2, U3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..sources.schema import week_columns
+from .topn import BUCKET, HOME, NAMED
+
+
+def three_branch(bucketed: DataFrame, part: list[str], weeks: int = 5) -> DataFrame:
+    """Named competitors, the bucket and the home carrier as three grouped
+    branches appended with ``unionByName``.
+
+    Same rows as ``collapse_buckets``; kept as the literal form for checks.
+    The single-pass form needs no extra aggregates or exchanges.
+    """
+    sums = [F.sum(c).alias(c) for c in week_columns(weeks)]
+    keys = [*part, "OwnerGrpd"]
+    named = bucketed.where(F.col("cls") == NAMED).groupBy(*keys).agg(*sums)
+    order = Window.partitionBy(*part).orderBy(F.col("W").desc_nulls_last(), F.col("OwnerGrpd").asc())
+    named = named.withColumn("Rank", F.row_number().over(order).cast("long"))
+    bucket = (bucketed.where(F.col("cls") == BUCKET).groupBy(*keys).agg(*sums)
+              .withColumn("Rank", F.lit(BUCKET).cast("long")))
+    home = (bucketed.where(F.col("cls") == HOME).groupBy(*keys).agg(*sums)
+            .withColumn("Rank", F.lit(HOME).cast("long")))
+    return named.unionByName(bucket).unionByName(home)
+
+
+def append_dedup(first: DataFrame, second: DataFrame, order_col: str = "part") -> DataFrame:
+    """Rows of ``first`` then rows of ``second`` not equal to an earlier row.
+
+    Whole-row duplicates collapse to one row carrying the smallest part
+    ordinal, so a sink can still write ``first``'s rows before ``second``'s.
+    Grouping treats NULL = NULL and NaN = NaN, as whole-row deduplication
+    does. Reports are small (groups x shown carriers), so the aggregate is.
+    """
+    cols = first.columns
+    both = (first.withColumn(order_col, F.lit(0))
+            .unionByName(second.select(*cols).withColumn(order_col, F.lit(1))))
+    return both.groupBy(*cols).agg(F.min(order_col).alias(order_col))
