@@ -1,7 +1,8 @@
 """Top-N competitors per group with an "others" bucket.
 
 Input: one row per (group, carrier) with the week sums. Output adds
-``OwnerGrpd`` and ``cls`` (0 home carrier, 1 named competitor, 99 others).
+``OwnerGrpd``, ``cls`` (0 home carrier, 1 named competitor, 99 others) and
+``rn``, the competitor's row number (NULL for the home carrier).
 
 Competitors are numbered within the group by the newest week only, NULLs
 last, ties broken by carrier code (N9-N11). One window partitioned by the
@@ -36,11 +37,6 @@ def bucket_topn(df: DataFrame, part: list[str], threshold: Column,
             .withColumn("cls", F.when(is_home, F.lit(HOME))
                         .when(F.col("OwnerGrpd") == F.lit(others), F.lit(BUCKET))
                         .otherwise(F.lit(NAMED)))
+            .withColumn("rn", F.when(~is_home, F.col("_rn")).cast("long"))
             .drop("_rn"))
 
-
-def competitor_numbers(df: DataFrame, part: list[str], home: str = "LA") -> DataFrame:
-    """Competitor row numbers alone (W1), for inspection: non-home rows only."""
-    order = Window.partitionBy(*part).orderBy(F.col("W").desc_nulls_last(), F.col("Owner").asc())
-    return (df.where(F.col("Owner") != F.lit(home))
-            .withColumn("rn", F.row_number().over(order).cast("long")))

@@ -216,3 +216,97 @@ def stage_sql(view: str, select: str) -> str:
 
 def base_sql(select: str) -> str:
     return _with() + select
+
+
+def _per_view(select) -> str:
+    """``select(name, tag)`` for each view, appended with UNION ALL."""
+    ctes, selects = [], []
+    for name in VIEW_SQL:
+        tag = f"_{name}"
+        ctes += view_ctes(name, tag)
+        selects.append(select(name, tag))
+    return _with(*ctes) + "\nUNION ALL\n".join(selects)
+
+
+_WK = ", ".join(WEEKS)
+_ISO_WEEKS_BEFORE = ("(SELECT coalesce(sum(weekofyear(make_date(t.r::INT, 12, 28))), 0) "
+                     f"FROM range(Year, {CUR_YEAR}) t(r))")
+
+
+def _label_sql(name: str) -> str:
+    v = VIEW_SQL[name]
+    return stage_sql(name, f"""SELECT Origen, Destino, TipoVuelo, {v['label']} AS Grupo, count(*) AS n
+FROM classified WHERE Origen <> 'Otros' AND Destino <> 'Otros' AND ({v['extra']}) GROUP BY ALL""")
+
+
+def _tracked_sql() -> str:
+    selects = []
+    for name, v in VIEW_SQL.items():
+        selects.append(
+            f"SELECT '{name}' AS view, count(*) AS n FROM (SELECT {v['origin']} AS Origen, "
+            f"{DESTINO} AS Destino FROM base) c "
+            f"WHERE Origen <> 'Otros' AND Destino <> 'Otros' AND ({v['extra']})")
+    return _with() + "\nUNION ALL\n".join(selects)
+
+
+ORACLE: dict[str, str] = {
+    "base_scan": base_sql("SELECT * FROM base"),
+    "weeks_in_year": base_sql(
+        "SELECT DISTINCT Year, weekofyear(make_date(Year::INT, 12, 28))::BIGINT AS weeks FROM base"),
+    "year_delta": base_sql(
+        f"SELECT Year, {CUR_YEAR}::BIGINT AS current_year, {_ISO_WEEKS_BEFORE}::BIGINT AS delta "
+        "FROM (SELECT DISTINCT Year FROM base) y"),
+    "relative_week": base_sql(
+        f"SELECT Year, Semana, (Semana - {_ISO_WEEKS_BEFORE})::BIGINT AS RelWeek, "
+        f"{ANCHOR}::BIGINT AS anchor_week FROM (SELECT DISTINCT Year, Semana FROM export) e"),
+    "owner_clean": base_sql(
+        "SELECT DISTINCT Owner, regexp_replace(CASE WHEN Owner = 'QT ' THEN 'AV ' ELSE Owner END, "
+        "'^\\s+|\\s+$', '', 'g') AS OwnerClean FROM export"),
+    "origin_awb": base_sql(
+        f"SELECT RegionOrigenAWB, {ORIGIN_AWB} AS Origen, count(*) AS n FROM base GROUP BY ALL"),
+    "origin_gateway": base_sql(
+        "SELECT RegionOrigenSegmento, RegionOrigenAWB, PaisOrigenSegmento, PaisOrigenAWB, "
+        f"{ORIGIN_GATEWAY} AS Origen, count(*) AS n FROM base GROUP BY ALL"),
+    "origin_feeder": base_sql(
+        f"SELECT ZonaOrigenAWB, RegionOrigenAWB, PaisOrigenAWB, {ORIGIN_FEEDER} AS Origen, "
+        "count(*) AS n FROM base GROUP BY ALL"),
+    "destination": base_sql(
+        f"SELECT PaisDestinoAWB, PostaDestinoAWB, {DESTINO} AS Destino, count(*) AS n "
+        "FROM base GROUP BY ALL"),
+    **{f"label_{name}": _label_sql(name) for name in VIEW_SQL},
+    "tracked_rows": _tracked_sql(),
+    "lagged_pivot": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Grupo, Owner, {_WK} FROM carrier_weeks{t} WHERE Owner IS NOT NULL")),
+    "owners_present": base_sql("SELECT DISTINCT Owner FROM base"),
+    "topn_others": stage_sql("gateway", "SELECT Grupo, Owner, W, rn, OwnerGrpd FROM bucketed WHERE Owner <> 'LA'"),
+    "topn_by_group": stage_sql("feeder", "SELECT Grupo, Owner, W, rn, OwnerGrpd FROM bucketed WHERE Owner <> 'LA'"),
+    "home_split": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Rank, Grupo, OwnerGrpd, {_WK} FROM ranked{t} WHERE Rank = 0")),
+    "tail_bucket": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Rank, Grupo, OwnerGrpd, {_WK} FROM ranked{t} WHERE Rank = 99")),
+    "rank_over_sum": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Rank, Grupo, OwnerGrpd, {_WK} FROM ranked{t} WHERE Rank BETWEEN 1 AND 98")),
+    "three_branch_union": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Rank, Grupo, OwnerGrpd, {_WK} FROM ranked{t}")),
+    "share_of_group": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, Grupo, OwnerGrpd, {', '.join(SHARES)} FROM report{t}")),
+    "report_key": _per_view(lambda n, t: (
+        f"SELECT '{n}' AS view, excelKEY, Rank, Grupo FROM report{t}")),
+    **{f"view_{name}": view_sql(name) for name in VIEW_SQL},
+    "all_views": all_views_sql(),
+    "report_awb": report_sql("awb", "awb_sao"),
+    "report_feeder": report_sql("feeder", None),
+    "report_gateway": report_sql("gateway", "gateway_sao"),
+    "latest_week": base_sql(
+        f"SELECT Year, max(Semana) AS Semana, {CUR_YEAR}::BIGINT AS expected_year, "
+        f"{ANCHOR}::BIGINT AS expected_week, "
+        f"coalesce(Year = {CUR_YEAR} AND max(Semana) = {ANCHOR}, FALSE) AS is_current "
+        "FROM base WHERE Year = (SELECT max(Year) FROM base) GROUP BY Year"),
+    "lagged_weeks": base_sql(
+        "SELECT Year, PostaDestinoAWB, Semana, count(*) AS n FROM base "
+        "WHERE PostaDestinoAWB IN ('GRU', 'VCP') AND Year = (SELECT max(Year) FROM base) GROUP BY ALL"),
+    "bad_weeks": base_sql(
+        "SELECT Year, Semana, count(*) AS n FROM base "
+        "WHERE NOT coalesce(Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28)), FALSE) "
+        "GROUP BY ALL"),
+}

@@ -171,3 +171,14 @@ def market_share_all(base: DataFrame, views: Sequence[ViewSpec] | None = None,
     if as_of is None:
         raise ValueError("as_of is required")
     return market_share(base, views, as_of, back_weeks)
+
+
+def classified_rows(base: DataFrame, view: ViewSpec) -> DataFrame:
+    """Base rows one view keeps, with ``Origen``, ``Destino`` and ``Grupo``
+    (P3-P7, F1, F2). Row level, for inspection; the report path classifies
+    inside its first aggregate instead."""
+    origin, dest = view.origin_column(), R.destination()
+    rows = base.select("*", origin.alias("Origen"), dest.alias("Destino"))
+    o, d = F.col("Origen"), F.col("Destino")
+    return (rows.where(view.in_view(o, d))
+            .withColumn("Grupo", view.label.column(o, d, F.col("TipoVuelo"))))

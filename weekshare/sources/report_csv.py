@@ -1,0 +1,32 @@
+"""CSV report sink.
+
+A report is small (route groups x shown carriers), so it is written as one
+CSV file with a header and no index column: one partition, rows ordered by
+part, group and rank. NaN shares are written as empty fields (the form the
+spreadsheet reads as blank); infinities as ``Infinity``/``-Infinity``;
+values keep leading and trailing blanks. Numbers use Java's text form
+(``1.0E-5``), which a spreadsheet parses like any other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators.share import format_report
+from .schema import REPORT_COLUMNS
+
+
+def write_report_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write report rows (optionally with a ``part`` ordinal) to ``path``."""
+    order = (["part"] if "part" in rows.columns else []) + ["Grupo", "Rank"]
+    out = (format_report(rows)
+           .repartition(1)
+           .sortWithinPartitions(*order)
+           .select(*REPORT_COLUMNS))
+    (out.write.mode(mode)
+     .option("header", True)
+     .option("nullValue", "")
+     .option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
