@@ -32,6 +32,16 @@ def ieee_divide(x, t) -> Column:
     )
 
 
+def ieee_divide_sql(x: str, t: str) -> str:
+    """SQL text of ``ieee_divide`` over two SQL expressions."""
+    x, t = f"CAST({x} AS DOUBLE)", f"CAST({t} AS DOUBLE)"
+    return (f"CASE WHEN {x} IS NULL OR {t} IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"WHEN isnan({x}) OR isnan({t}) THEN CAST('NaN' AS DOUBLE) "
+            f"WHEN {t} = 0.0D THEN CASE WHEN {x} = 0.0D THEN CAST('NaN' AS DOUBLE) "
+            f"WHEN {x} > 0.0D THEN CAST('Infinity' AS DOUBLE) ELSE CAST('-Infinity' AS DOUBLE) END "
+            f"ELSE {x} / {t} END")
+
+
 def nan_to_null(col) -> Column:
     """NaN becomes NULL; everything else is unchanged."""
     col = F.col(col) if isinstance(col, str) else col

@@ -80,3 +80,17 @@ def rel_week(semana, year, as_of: DateLike) -> Column:
     """Relative week (T4): ``Semana - year_delta(Year, iso_year(as_of))``."""
     semana = F.col(semana) if isinstance(semana, str) else semana
     return (semana.cast("long") - year_delta(year, iso_year(as_of))).cast("long")
+
+
+def anchor_value(as_of, back_weeks: int = 1) -> int:
+    """``anchor_week`` for a literal date, as a Python int (ISO week, as
+    ``datetime.date.isocalendar`` and Spark's ``weekofyear`` agree)."""
+    if isinstance(back_weeks, bool) or not isinstance(back_weeks, int):
+        raise TypeError(f"back_weeks must be an int, got {back_weeks!r}")
+    if isinstance(as_of, str):
+        as_of = _dt.date.fromisoformat(as_of)
+    if isinstance(as_of, _dt.datetime):
+        as_of = as_of.date()
+    if not isinstance(as_of, _dt.date):
+        raise TypeError(f"as_of must be a date or ISO date string, got {as_of!r}")
+    return as_of.isocalendar()[1] - back_weeks

@@ -8,8 +8,8 @@ of terms ``(column, op, value)`` that must all hold, with ``op`` one of
 makes a term unknown, so the rule does not fire and evaluation falls through,
 exactly as a searched ``CASE`` does.
 
-Rules compile to one ``CASE WHEN`` column, so classification runs inside
-whole-stage codegen. ``any_rule`` gives the disjunction of all conditions;
+Rules compile to one ``CASE WHEN`` expression, so classification runs inside
+whole-stage codegen. ``any_sql`` gives the disjunction of all conditions;
 since no rule outputs the fallback label, "label != fallback" is that
 disjunction, which the Parquet reader can use to skip data.
 """
@@ -17,30 +17,30 @@ disjunction, which the Parquet reader can use to skip data.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sqltext import ident, in_list, lit
+
 Term = tuple  # (column, op, value)
 Condition = tuple  # tuple of alternatives, each a tuple of Terms
 
 
-def _term(term: Term) -> Column:
+def term_sql(term: Term) -> str:
     column, op, value = term
-    c = F.col(column)
+    c = ident(column)
     if op == "=":
-        return c == F.lit(value)
+        return f"{c} = {lit(value)}"
     if op == "!=":
-        return c != F.lit(value)
+        return f"{c} != {lit(value)}"
     if op == "in":
-        return c.isin(list(value))
+        return f"{c} IN {in_list(value)}"
     raise ValueError(f"unknown operator {op!r} in rule term {term!r}")
 
 
-def condition(cond: Condition) -> Column:
-    alternatives = [reduce(lambda a, b: a & b, (_term(t) for t in alt)) for alt in cond]
-    return reduce(lambda a, b: a | b, alternatives)
+def condition_sql(cond: Condition) -> str:
+    return " OR ".join("(" + " AND ".join(term_sql(t) for t in alt) + ")" for alt in cond)
 
 
 @dataclass(frozen=True)
@@ -48,18 +48,21 @@ class RuleSet:
     rules: tuple  # ((label, Condition), ...)
     fallback: str = "Otros"
 
+    def sql(self) -> str:
+        arms = " ".join(f"WHEN {condition_sql(c)} THEN {lit(label)}" for label, c in self.rules)
+        return f"CASE {arms} ELSE {lit(self.fallback)} END"
+
     def column(self) -> Column:
-        out = None
-        for label, cond in self.rules:
-            test = condition(cond)
-            out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
-        return out.otherwise(F.lit(self.fallback))
+        return F.expr(self.sql())
+
+    def any_sql(self) -> str:
+        """Disjunction of all rule conditions; NULL where all are unknown
+        (a WHERE clause treats that as FALSE)."""
+        return " OR ".join(f"({condition_sql(c)})" for _, c in self.rules)
 
     def any_rule(self) -> Column:
-        """TRUE exactly where ``column()`` is not the fallback (NULL -> FALSE)."""
-        return F.coalesce(
-            reduce(lambda a, b: a | b, (condition(c) for _, c in self.rules)),
-            F.lit(False))
+        """TRUE exactly where ``column()`` is not the fallback (never NULL)."""
+        return F.expr(f"coalesce({self.any_sql()}, FALSE)")
 
     def columns_used(self) -> list[str]:
         seen: list[str] = []
@@ -142,20 +145,22 @@ OTHERS = "Otros"
 FALLBACK = "Otros"
 
 
-def destination(fallback: str = FALLBACK) -> Column:
+def destination_sql(fallback: str = FALLBACK) -> str:
     """Reporting destination (P6): country beats airport."""
-    country, airport = F.col("PaisDestinoAWB"), F.col("PostaDestinoAWB")
-    return (F.when(country.isin(list(DEST_COUNTRIES)), country)
-            .when(airport.isin(list(DEST_AIRPORTS)), airport)
-            .otherwise(F.lit(fallback)))
+    return (f"CASE WHEN `PaisDestinoAWB` IN {in_list(DEST_COUNTRIES)} THEN `PaisDestinoAWB` "
+            f"WHEN `PostaDestinoAWB` IN {in_list(DEST_AIRPORTS)} THEN `PostaDestinoAWB` "
+            f"ELSE {lit(fallback)} END")
+
+
+def destination(fallback: str = FALLBACK) -> Column:
+    return F.expr(destination_sql(fallback))
 
 
-def destination_tracked() -> Column:
-    """Raw-column form of ``destination() != fallback``; pushable to Parquet."""
-    return F.coalesce(
-        F.col("PaisDestinoAWB").isin(list(DEST_COUNTRIES))
-        | F.col("PostaDestinoAWB").isin(list(DEST_AIRPORTS)),
-        F.lit(False))
+def destination_tracked_sql() -> str:
+    """Raw-column form of ``destination() != fallback``; pushable to Parquet
+    (NULL where unknown, which a WHERE clause treats as FALSE)."""
+    return (f"(`PaisDestinoAWB` IN {in_list(DEST_COUNTRIES)} "
+            f"OR `PostaDestinoAWB` IN {in_list(DEST_AIRPORTS)})")
 
 
 @dataclass(frozen=True)
@@ -170,25 +175,31 @@ class LabelSpec:
     dest_alias: tuple = ()      # ((destination, shown as), ...)
     typed_routes: tuple = ()    # ((origin|None, destination, flight|None), ...)
 
-    def column(self, origin: Column, dest: Column, flight: Column) -> Column:
+    def sql(self, origin: str = "`Origen`", dest: str = "`Destino`",
+            flight: str = "`TipoVuelo`") -> str:
+        """Label expression over SQL expressions for origin, destination and
+        flight type."""
         shown = dest
         if self.dest_alias:
-            alias = None
-            for d, a in self.dest_alias:
-                alias = F.when(dest == d, F.lit(a)) if alias is None else alias.when(dest == d, F.lit(a))
-            shown = alias.otherwise(dest)
-        plain = F.concat(origin, F.lit(" - "), shown)
+            arms = " ".join(f"WHEN {dest} = {lit(d)} THEN {lit(a)}" for d, a in self.dest_alias)
+            shown = f"CASE {arms} ELSE {dest} END"
+        plain = f"concat({origin}, ' - ', {shown})"
         if not self.typed_routes:
             return plain
-        typed = None
+        tests = []
         for o, d, f in self.typed_routes:
-            test = dest == d
+            parts = [f"{dest} = {lit(d)}"]
             if o is not None:
-                test = test & (origin == o)
+                parts.append(f"{origin} = {lit(o)}")
             if f is not None:
-                test = test & (flight == f)
-            typed = test if typed is None else typed | test
-        return F.when(typed, F.concat(plain, F.lit(" "), flight)).otherwise(plain)
+                parts.append(f"{flight} = {lit(f)}")
+            tests.append("(" + " AND ".join(parts) + ")")
+        return (f"CASE WHEN {' OR '.join(tests)} THEN concat({plain}, ' ', {flight}) "
+                f"ELSE {plain} END")
+
+    def column(self, origin: str = "`Origen`", dest: str = "`Destino`",
+               flight: str = "`TipoVuelo`") -> Column:
+        return F.expr(self.sql(origin, dest, flight))
 
     @property
     def uses_flight_type(self) -> bool:

@@ -10,23 +10,22 @@ bucket row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..sources.schema import week_columns
+from ..functions.sqltext import ident
+from .pivot import resum
 from .topn import NAMED
 
 
 def collapse_buckets(df: DataFrame, part: list[str], weeks: int = 5) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in week_columns(weeks)]
-    rows = df.groupBy(*part, "cls", "OwnerGrpd").agg(*sums)
-    return rank_rows(rows, part)
+    return rank_rows(resum(df, [*part, "cls", "OwnerGrpd"], weeks), part)
 
 
 def rank_rows(rows: DataFrame, part: list[str]) -> DataFrame:
     """``Rank`` from ``cls``: competitors first in the window, numbered 1.."""
-    named = F.col("cls") == F.lit(NAMED)
-    order = Window.partitionBy(*part).orderBy(
-        (~named).asc(), F.col("W").desc_nulls_last(), F.col("OwnerGrpd").asc())
-    rank = F.when(named, F.row_number().over(order)).otherwise(F.col("cls"))
-    return rows.withColumn("Rank", rank.cast("long")).drop("cls")
+    keys = ", ".join(ident(c) for c in part)
+    named = f"(cls = {NAMED})"
+    rank = (f"CAST(CASE WHEN {named} THEN row_number() OVER (PARTITION BY {keys} "
+            f"ORDER BY (NOT {named}) ASC, `W` DESC NULLS LAST, `OwnerGrpd` ASC) "
+            "ELSE cls END AS BIGINT) AS Rank")
+    return rows.selectExpr(*[ident(c) for c in rows.columns if c != "cls"], rank)

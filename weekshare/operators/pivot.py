@@ -16,41 +16,37 @@ map task, a final one per key, and a re-aggregation after keys are merged
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import ident, lit
 from ..sources.schema import week_columns
 
 
-def lag_of(dest: Column, lag_weeks: dict[str, int]) -> Column:
-    out = None
-    for airport, lag in lag_weeks.items():
-        arm = F.lit(int(lag)).cast("long")
-        out = F.when(dest == airport, arm) if out is None else out.when(dest == airport, arm)
-    zero = F.lit(0).cast("long")
-    return zero if out is None else out.otherwise(zero)
+def lag_sql(dest: str, lag_weeks: dict[str, int]) -> str:
+    if not lag_weeks:
+        return "0"
+    arms = " ".join(f"WHEN {dest} = {lit(a)} THEN {int(n)}" for a, n in lag_weeks.items())
+    return f"CASE {arms} ELSE 0 END"
 
 
-def week_offset(anchor: Column, dest: Column, lag_weeks: dict[str, int],
-                rel_week: Column | None = None) -> Column:
-    rel_week = F.col("RelWeek") if rel_week is None else rel_week
-    return anchor - lag_of(dest, lag_weeks) - rel_week
+def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
+                  dest: str = "`Destino`", tons: str = "`Tons`",
+                  rel_week: str = "`RelWeek`") -> list[str]:
+    """``sum(CASE WHEN offset = i THEN Tons ELSE 0 END) AS <week i>``."""
+    offset = f"({int(anchor)} - {lag_sql(dest, lag_weeks)} - {rel_week})"
+    return [f"sum(CASE WHEN {offset} = {i} THEN CAST({tons} AS DOUBLE) ELSE 0.0D END) AS {ident(w)}"
+            for i, w in enumerate(week_columns(weeks))]
 
 
-def week_sums(offset: Column, tons: Column, weeks: int = 5) -> list[Column]:
-    zero = F.lit(0.0)
-    return [F.sum(F.when(offset == i, tons).otherwise(zero)).alias(name)
-            for i, name in enumerate(week_columns(weeks))]
-
-
-def lagged_pivot(rows: DataFrame, keys: list, anchor: Column,
+def lagged_pivot(rows: DataFrame, keys: list, anchor: int,
                  lag_weeks: dict[str, int], weeks: int = 5) -> DataFrame:
     """``groupBy(keys)`` with the five lagged week sums; needs ``Destino``,
-    ``RelWeek`` and ``Tons`` columns."""
-    offset = week_offset(anchor, F.col("Destino"), lag_weeks)
-    return rows.groupBy(*keys).agg(*week_sums(offset, F.col("Tons").cast("double"), weeks))
+    ``RelWeek`` and ``Tons`` columns. ``anchor`` is the newest week."""
+    return rows.groupBy(*keys).agg(*[F.expr(e) for e in week_sums_sql(anchor, lag_weeks, weeks)])
 
 
 def resum(df: DataFrame, keys: list, weeks: int = 5) -> DataFrame:
     """Merge week sums of rows that share ``keys``."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in week_columns(weeks)])
+    return df.groupBy(*keys).agg(*[F.expr(f"sum({ident(c)}) AS {ident(c)}")
+                                   for c in week_columns(weeks)])

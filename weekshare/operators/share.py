@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arith import ieee_divide, nan_to_null
+from ..functions.arith import ieee_divide_sql
+from ..functions.sqltext import ident
 from ..sources.schema import share_columns, week_columns
 
 
@@ -16,26 +17,31 @@ def share_of_group(df: DataFrame, part: list[str], weeks: int = 5) -> DataFrame:
     of NULL carriers never reached the report, so they are not in the total
     (N1). All week totals share one unordered window over the group.
     """
-    group = Window.partitionBy(*part)
-    out = df
-    for w, r in zip(week_columns(weeks), share_columns(weeks)):
-        out = out.withColumn(r, ieee_divide(F.col(w), F.sum(F.col(w)).over(group)))
-    return out
+    keys = ", ".join(ident(c) for c in part)
+    wk = week_columns(weeks)
+    totals = df.selectExpr(
+        "*", *[f"sum({ident(w)}) OVER (PARTITION BY {keys}) AS _t{i}" for i, w in enumerate(wk)])
+    return totals.selectExpr(
+        *[ident(c) for c in df.columns],
+        *[f"{ieee_divide_sql(ident(w), f'_t{i}')} AS {ident(r)}"
+          for i, (w, r) in enumerate(zip(wk, share_columns(weeks)))])
 
 
-def report_key(rank: Column | None = None, grupo: Column | None = None) -> Column:
+REPORT_KEY_SQL = "concat(CAST(`Rank` AS STRING), `Grupo`)"
+
+
+def report_key() -> Column:
     """``excelKEY``: the rank as text followed by the group label."""
-    rank = F.col("Rank") if rank is None else rank
-    grupo = F.col("Grupo") if grupo is None else grupo
-    return F.concat(rank.cast("string"), grupo)
+    return F.expr(REPORT_KEY_SQL)
 
 
 def format_report(df: DataFrame) -> DataFrame:
     """Sink form of a report: NaN shares become NULL (empty CSV fields)."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
         if f.dataType.typeName() in ("double", "float"):
-            c = nan_to_null(c).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+            c = ident(f.name)
+            cols.append(f"CASE WHEN isnan({c}) THEN CAST(NULL AS DOUBLE) ELSE {c} END AS {c}")
+        else:
+            cols.append(ident(f.name))
+    return df.selectExpr(*cols)

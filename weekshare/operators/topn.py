@@ -17,26 +17,25 @@ the carriers in the market, never by the fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from ..functions.sqltext import ident, lit
 
 HOME, NAMED, BUCKET = 0, 1, 99
 
 
-def bucket_topn(df: DataFrame, part: list[str], threshold: Column,
+def bucket_topn(df: DataFrame, part: list[str], threshold: str,
                 home: str = "LA", others: str = "Otros") -> DataFrame:
-    owner = F.col("Owner")
-    is_home = owner == F.lit(home)
-    order = Window.partitionBy(*part).orderBy(
-        is_home.asc(), F.col("W").desc_nulls_last(), owner.asc_nulls_last())
-    ranked = df.withColumn("_rn", F.row_number().over(order))
-    grpd = (F.when(is_home, owner)
-            .when(F.col("_rn") >= threshold, F.lit(others))
-            .otherwise(owner))
-    return (ranked.withColumn("OwnerGrpd", grpd)
-            .withColumn("cls", F.when(is_home, F.lit(HOME))
-                        .when(F.col("OwnerGrpd") == F.lit(others), F.lit(BUCKET))
-                        .otherwise(F.lit(NAMED)))
-            .withColumn("rn", F.when(~is_home, F.col("_rn")).cast("long"))
-            .drop("_rn"))
-
+    """``threshold`` is a SQL expression (may depend on the group's label)."""
+    keys = ", ".join(ident(c) for c in part)
+    is_home = f"(`Owner` = {lit(home)})"
+    ranked = df.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {is_home} ASC, "
+             "`W` DESC NULLS LAST, `Owner` ASC NULLS LAST) AS _rn")
+    to_bucket = f"(_rn >= {threshold} OR `Owner` = {lit(others)})"
+    return ranked.selectExpr(
+        *[ident(c) for c in df.columns],
+        f"CASE WHEN {is_home} THEN `Owner` WHEN _rn >= {threshold} THEN {lit(others)} "
+        "ELSE `Owner` END AS OwnerGrpd",
+        f"CASE WHEN {is_home} THEN {HOME} WHEN {to_bucket} THEN {BUCKET} ELSE {NAMED} END AS cls",
+        f"CAST(CASE WHEN NOT {is_home} THEN _rn END AS BIGINT) AS rn")

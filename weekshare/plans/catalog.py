@@ -109,12 +109,11 @@ def _label(view_name):
 
 
 def q_tracked_rows(spark, d):
-    b = base(spark, d).select(R.destination().alias("Destino"),
-                              *[v.origin_column().alias(f"o_{v.name}") for v in ALL])
-    entries = [F.struct(F.lit(v.name).alias("view"),
-                        v.in_view(F.col(f"o_{v.name}"), F.col("Destino")).alias("keep"))
+    b = base(spark, d).selectExpr(f"{R.destination_sql()} AS Destino",
+                                  *[f"{v.origin.sql()} AS o_{v.name}" for v in ALL])
+    entries = [f"named_struct('view', '{v.name}', 'keep', {v.in_view_sql(f'o_{v.name}')})"
                for v in ALL]
-    return (b.select(F.explode(F.array(*entries)).alias("e"))
+    return (b.selectExpr(f"explode(array({', '.join(entries)})) AS e")
             .groupBy(F.col("e.view").alias("view"))
             .agg(F.sum(F.col("e.keep").cast("long")).alias("n")))
 

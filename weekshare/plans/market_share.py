@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.calendar import DateLike, anchor_week
-from ..functions.text import unicode_trim
+from ..functions.calendar import anchor_value
+from ..functions.sqltext import ident, lit
+from ..functions.text import UNICODE_WHITE_SPACE
 from ..operators.collapse import collapse_buckets
 from ..operators.pivot import lagged_pivot, resum
-from ..operators.share import report_key, share_of_group
+from ..operators.share import REPORT_KEY_SQL, share_of_group
 from ..operators.topn import bucket_topn
 from ..sources.schema import report_columns, week_columns
 from .views import ViewSpec
@@ -60,97 +61,90 @@ def _origin_sets(views: list[ViewSpec]) -> list[R.RuleSet]:
     return sets
 
 
-def scan_predicate(views: Sequence[ViewSpec]) -> Column:
+def scan_predicate_sql(views: Sequence[ViewSpec]) -> str:
     """Raw-column filter that keeps every row some view can use.
 
     Written only with ``=``, ``!=``, ``IN``, ``AND``, ``OR`` and ``IS NOT
     NULL`` on base columns, so Parquet receives it as pushed filters.
     """
     views = _as_list(views)
-    origin_any = None
-    for rs in _origin_sets(views):
-        cond = rs.any_rule()
-        origin_any = cond if origin_any is None else origin_any | cond
-    dest = F.col("PaisDestinoAWB").isin(list(R.DEST_COUNTRIES)) | F.col("PostaDestinoAWB").isin(list(R.DEST_AIRPORTS))
-    return F.col("Owner").isNotNull() & dest & origin_any
+    origin_any = " OR ".join(f"({rs.any_sql()})" for rs in _origin_sets(views))
+    return f"`Owner` IS NOT NULL AND {R.destination_tracked_sql()} AND ({origin_any})"
+
 
+def scan_predicate(views: Sequence[ViewSpec]) -> Column:
+    return F.expr(scan_predicate_sql(views))
 
-def route_classes(base: DataFrame, views, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+
+def route_classes(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
     """Step 1-2: the big aggregate. One row per (origin classes, Destino,
     flight type if a label uses it, raw Owner) with the week sums."""
     views = _as_list(views)
     sets = _origin_sets(views)
-    anchor = anchor_week(as_of, back_weeks)
     need_flight = any(v.label.uses_flight_type for v in views)
-    rows = base.where(scan_predicate(views)).select(
-        R.destination().alias("Destino"),
-        *[rs.column().alias(f"_o{i}") for i, rs in enumerate(sets)],
-        *([F.col("TipoVuelo")] if need_flight else []),
-        F.col("Owner"), F.col("Tons"), F.col("RelWeek"))
+    rows = base.where(scan_predicate_sql(views)).selectExpr(
+        f"{R.destination_sql()} AS Destino",
+        *[f"{rs.sql()} AS _o{i}" for i, rs in enumerate(sets)],
+        *(["`TipoVuelo`"] if need_flight else []),
+        "`Owner`", "`Tons`", "`RelWeek`")
     keys = ["Destino", *[f"_o{i}" for i in range(len(sets))],
             *(["TipoVuelo"] if need_flight else []), "Owner"]
-    return lagged_pivot(rows, keys, anchor, views[0].lag_weeks, views[0].weeks)
+    return lagged_pivot(rows, keys, anchor_value(as_of, back_weeks),
+                        views[0].lag_weeks, views[0].weeks)
 
 
-def group_rows(base: DataFrame, views, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+def group_rows(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
     """Step 3: ``view, Grupo, Owner, W..Wm4`` (the pivoted carriers per
     group, A1-A2) for every view, from one scan."""
     views = _as_list(views)
     sets = _origin_sets(views)
+    weeks = week_columns(views[0].weeks)
     classes = route_classes(base, views, as_of, back_weeks)
-    dest = F.col("Destino")
-    flight = F.col("TipoVuelo") if "TipoVuelo" in classes.columns else F.lit(None).cast("string")
+    flight = "`TipoVuelo`" if "TipoVuelo" in classes.columns else "CAST(NULL AS STRING)"
+    trim = f"trim(BOTH {lit(UNICODE_WHITE_SPACE)} FROM `Owner`) AS Owner"
 
     def label(v: ViewSpec):
-        origin = F.col(f"_o{sets.index(v.origin)}")
-        return v.in_view(origin, dest), v.label.column(origin, dest, flight)
+        origin = f"_o{sets.index(v.origin)}"
+        return v.in_view_sql(origin, "`Destino`"), v.label.sql(origin, "`Destino`", flight)
 
     if len(views) == 1:
         keep, grupo = label(views[0])
-        labelled = classes.where(keep).select(
-            F.lit(views[0].name).alias("view"), grupo.alias("Grupo"), "Owner",
-            *week_columns(views[0].weeks))
+        labelled = classes.where(keep).selectExpr(
+            f"{lit(views[0].name)} AS view", f"{grupo} AS Grupo", trim, *weeks)
     else:
         # Grupo may be NULL (N2), so membership travels as its own flag.
         entries = []
         for v in views:
             keep, grupo = label(v)
-            entries.append(F.struct(F.lit(v.name).alias("view"), grupo.alias("Grupo"),
-                                    keep.alias("keep")))
+            entries.append(f"named_struct('view', {lit(v.name)}, 'Grupo', {grupo}, 'keep', {keep})")
         labelled = (classes
-                    .select(F.explode(F.array(*entries)).alias("e"), "Owner",
-                            *week_columns(views[0].weeks))
-                    .where(F.col("e.keep"))
-                    .select(F.col("e.view").alias("view"), F.col("e.Grupo").alias("Grupo"),
-                            "Owner", *week_columns(views[0].weeks)))
-    trimmed = labelled.withColumn("Owner", unicode_trim(F.col("Owner")))
-    return resum(trimmed, ["view", "Grupo", "Owner"], views[0].weeks)
+                    .selectExpr(f"explode(array({', '.join(entries)})) AS e", "`Owner`", *weeks)
+                    .where("e.keep")
+                    .selectExpr("e.view AS view", "e.Grupo AS Grupo", trim, *weeks))
+    return resum(labelled, ["view", "Grupo", "Owner"], views[0].weeks)
 
 
-def _threshold(views: list[ViewSpec]) -> Column:
+def _threshold_sql(views: list[ViewSpec]) -> str:
     if len(views) == 1:
-        return views[0].threshold(F.col("Grupo"))
-    out = None
-    for v in views:
-        test = F.col("view") == F.lit(v.name)
-        arm = v.threshold(F.col("Grupo"))
-        out = F.when(test, arm) if out is None else out.when(test, arm)
-    return out
+        return views[0].threshold_sql("`Grupo`")
+    arms = " ".join(f"WHEN `view` = {lit(v.name)} THEN {v.threshold_sql('`Grupo`')}" for v in views)
+    return f"(CASE {arms} END)"
 
 
-def bucketed_rows(base: DataFrame, views, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
-    """Group rows with ``OwnerGrpd`` and ``cls``."""
+def bucketed_rows(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
+    """Group rows with ``OwnerGrpd``, ``cls`` and ``rn``."""
     views = _as_list(views)
     rows = group_rows(base, views, as_of, back_weeks)
-    return bucket_topn(rows, PART, _threshold(views), views[0].home, views[0].others)
+    return bucket_topn(rows, PART, _threshold_sql(views), views[0].home, views[0].others)
 
 
-def market_share(base: DataFrame, views, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+def market_share(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
     """Market-share report rows.
 
     ``views`` is one ``ViewSpec`` (result: the 14 report columns) or several
     (result: ``view`` plus the 14 columns, all from one scan of ``base``).
-    ``as_of`` fixes the calendar; ``back_weeks`` picks the newest week.
+    ``as_of`` (a date) fixes the calendar; ``back_weeks`` picks the newest
+    week.
     """
     single = isinstance(views, ViewSpec)
     views = _as_list(views)
@@ -158,18 +152,15 @@ def market_share(base: DataFrame, views, as_of: DateLike, back_weeks: int = 1) -
     bucketed = bucketed_rows(base, views, as_of, back_weeks)
     ranked = collapse_buckets(bucketed, PART, weeks)
     shared = share_of_group(ranked, PART, weeks)
-    out = shared.withColumn("excelKEY", report_key())
-    cols = report_columns(weeks)
-    return out.select(*cols) if single else out.select("view", *cols)
+    cols = [f"{REPORT_KEY_SQL} AS excelKEY"] + [ident(c) for c in report_columns(weeks)[1:]]
+    return shared.selectExpr(*cols) if single else shared.selectExpr("`view`", *cols)
 
 
-def market_share_all(base: DataFrame, views: Sequence[ViewSpec] | None = None,
-                     as_of: DateLike = None, back_weeks: int = 1) -> DataFrame:
+def market_share_all(base: DataFrame, as_of, back_weeks: int = 1,
+                     views: Sequence[ViewSpec] | None = None) -> DataFrame:
     """All views (default: the five) from one scan; ``view`` column first."""
     from .views import VIEWS
     views = list(VIEWS.values()) if views is None else list(views)
-    if as_of is None:
-        raise ValueError("as_of is required")
     return market_share(base, views, as_of, back_weeks)
 
 
@@ -177,8 +168,5 @@ def classified_rows(base: DataFrame, view: ViewSpec) -> DataFrame:
     """Base rows one view keeps, with ``Origen``, ``Destino`` and ``Grupo``
     (P3-P7, F1, F2). Row level, for inspection; the report path classifies
     inside its first aggregate instead."""
-    origin, dest = view.origin_column(), R.destination()
-    rows = base.select("*", origin.alias("Origen"), dest.alias("Destino"))
-    o, d = F.col("Origen"), F.col("Destino")
-    return (rows.where(view.in_view(o, d))
-            .withColumn("Grupo", view.label.column(o, d, F.col("TipoVuelo"))))
+    rows = base.selectExpr("*", f"{view.origin.sql()} AS Origen", f"{R.destination_sql()} AS Destino")
+    return rows.where(view.in_view_sql()).selectExpr("*", f"{view.label.sql()} AS Grupo")

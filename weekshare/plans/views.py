@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.sqltext import in_list, lit
 
 
 @dataclass(frozen=True)
@@ -34,24 +35,26 @@ class ViewSpec:
     def origin_column(self) -> Column:
         return self.origin.column()
 
-    def in_view(self, origin: Column, dest: Column) -> Column:
+    def in_view_sql(self, origin: str = "`Origen`", dest: str = "`Destino`") -> str:
         """Row filter on classified columns (F1, F2); never NULL."""
-        keep = (origin != F.lit(self.origin.fallback)) & (dest != F.lit(R.FALLBACK))
+        keep = f"{origin} != {lit(self.origin.fallback)} AND {dest} != {lit(R.FALLBACK)}"
         if self.only_destinations is not None:
-            keep = keep & dest.isin(list(self.only_destinations))
-        return F.coalesce(keep, F.lit(False))
+            keep += f" AND {dest} IN {in_list(self.only_destinations)}"
+        return f"coalesce({keep}, FALSE)"
 
-    def threshold(self, grupo: Column) -> Column:
+    def in_view(self, origin: str = "`Origen`", dest: str = "`Destino`") -> Column:
+        return F.expr(self.in_view_sql(origin, dest))
+
+    def threshold_sql(self, grupo: str = "`Grupo`") -> str:
         if not self.topn_prefix:
-            return F.lit(self.topn)
+            return str(int(self.topn))
         if len(self.topn_prefix) == 1:
             ((prefix, n),) = self.topn_prefix
-            return F.when(~grupo.startswith(prefix), F.lit(self.topn)).otherwise(F.lit(n))
-        out = None
-        for prefix, n in self.topn_prefix:
-            test = grupo.startswith(prefix)
-            out = F.when(test, F.lit(n)) if out is None else out.when(test, F.lit(n))
-        return out.otherwise(F.lit(self.topn))
+            return (f"CASE WHEN NOT startswith({grupo}, {lit(prefix)}) THEN {int(self.topn)} "
+                    f"ELSE {int(n)} END")
+        arms = " ".join(f"WHEN startswith({grupo}, {lit(p)}) THEN {int(n)}"
+                        for p, n in self.topn_prefix)
+        return f"CASE {arms} ELSE {int(self.topn)} END"
 
 
 # The five configured views.
