@@ -1,10 +1,14 @@
-"""ISO-week calendar as native column expressions.
+"""ISO-week calendar as native expressions.
 
 Time in the fact table is two integers, an ISO year and an ISO week, plus a
 relative week on one running scale: 0 is the last ISO week of the year before
 the current one, so week numbers of the current ISO year are unchanged and
-earlier years count down. Every function here is a plain Catalyst expression;
-with a literal ``as_of`` they fold to constants.
+earlier years count down. The "current" year always comes from one explicit
+``as_of`` date, never from the clock (N20).
+
+Each rule has a SQL-text form (``*_sql``, over SQL expressions, used when
+composing larger expressions) and a Column form over column names.
+With a literal ``as_of`` they fold to constants.
 """
 
 from __future__ import annotations
@@ -14,83 +18,101 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DateLike = _dt.date | str | Column
+from .sqltext import ident
+
+DateLike = _dt.date | str
 
 
-def as_date(value: DateLike) -> Column:
-    """A date literal (or pass a Column through)."""
-    if isinstance(value, Column):
+def _to_date(value: DateLike) -> _dt.date:
+    if isinstance(value, _dt.datetime):
+        return value.date()
+    if isinstance(value, _dt.date):
         return value
     if isinstance(value, str):
-        value = _dt.date.fromisoformat(value)
-    if isinstance(value, _dt.datetime):
-        value = value.date()
-    return F.lit(value)
+        return _dt.date.fromisoformat(value)
+    raise TypeError(f"expected a date or ISO date string, got {value!r}")
 
 
-def _int(col) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast("int")
+def date_sql(value: DateLike) -> str:
+    """A date literal."""
+    return f"DATE '{_to_date(value).isoformat()}'"
 
 
-def iso_week(date: DateLike) -> Column:
-    """ISO week number of a date (Spark's ``weekofyear`` is ISO 8601)."""
-    return F.weekofyear(as_date(date)).cast("long")
+# --- SQL text -----------------------------------------------------------------
 
+def iso_week_sql(date: str) -> str:
+    """ISO week number (Spark's ``weekofyear`` is ISO 8601)."""
+    return f"CAST(weekofyear({date}) AS BIGINT)"
 
-def iso_year(date: DateLike) -> Column:
-    """ISO year of a date (T5): 2021-01-01 belongs to ISO year 2020."""
-    return F.extract(F.lit("YEAROFWEEK"), as_date(date)).cast("long")
-
-
-def anchor_week(as_of: DateLike, back_weeks: int = 1) -> Column:
-    """Newest reported week (T1): ISO week of ``as_of`` minus ``back_weeks``.
-
-    It may be zero or negative early in a year; relative weeks use the same
-    scale, so the five-week window still crosses the year boundary.
-    """
-    if isinstance(back_weeks, bool) or not isinstance(back_weeks, int):
-        raise TypeError(f"back_weeks must be an int, got {back_weeks!r}")
-    return iso_week(as_of) - F.lit(back_weeks).cast("long")
 
+def iso_year_sql(date: str) -> str:
+    """ISO year (T5): 2021-01-01 belongs to ISO year 2020."""
+    return f"CAST(extract(YEAROFWEEK FROM {date}) AS BIGINT)"
 
-def weeks_in_year(year) -> Column:
-    """Number of ISO weeks (52 or 53) in an ISO year.
 
-    28 December always falls in the last ISO week of its year.
-    """
-    return F.weekofyear(F.make_date(_int(year), F.lit(12), F.lit(28))).cast("long")
+def weeks_in_year_sql(year: str) -> str:
+    """ISO weeks (52 or 53) of an ISO year (T2): 28 December always falls in
+    the year's last ISO week."""
+    return f"CAST(weekofyear(make_date(CAST({year} AS INT), 12, 28)) AS BIGINT)"
 
 
-def _iso_year_start(year) -> Column:
+def _iso_year_start_sql(year: str) -> str:
     # 4 January is always in ISO week 1; its Monday starts the ISO year.
-    return F.trunc(F.make_date(_int(year), F.lit(1), F.lit(4)), "week")
+    return f"trunc(make_date(CAST({year} AS INT), 1, 4), 'week')"
 
 
-def year_delta(year, current_year) -> Column:
+def year_delta_sql(year: str, current_year: str) -> str:
     """Total ISO weeks of the years ``[year, current_year)``.
 
     Closed form: whole weeks between the first Mondays of the two ISO years.
-    Years at or after ``current_year`` give 0, as an empty range does.
+    Years at or after ``current_year`` give 0, as an empty range does (N23).
     """
-    days = F.datediff(_iso_year_start(current_year), _iso_year_start(year))
-    return F.greatest(F.lit(0).cast("long"), F.floor(days / 7).cast("long"))
+    days = f"datediff({_iso_year_start_sql(current_year)}, {_iso_year_start_sql(year)})"
+    return f"greatest(CAST(0 AS BIGINT), CAST(floor({days} / 7) AS BIGINT))"
 
 
-def rel_week(semana, year, as_of: DateLike) -> Column:
+def rel_week_sql(semana: str, year: str, as_of: DateLike) -> str:
     """Relative week (T4): ``Semana - year_delta(Year, iso_year(as_of))``."""
-    semana = F.col(semana) if isinstance(semana, str) else semana
-    return (semana.cast("long") - year_delta(year, iso_year(as_of))).cast("long")
+    delta = year_delta_sql(year, iso_year_sql(date_sql(as_of)))
+    return f"CAST(CAST({semana} AS BIGINT) - {delta} AS BIGINT)"
+
 
+# --- Python values --------------------------------------------------------------
+
+def anchor_value(as_of: DateLike, back_weeks: int = 1) -> int:
+    """Newest reported week (T1): ISO week of ``as_of`` minus ``back_weeks``.
 
-def anchor_value(as_of, back_weeks: int = 1) -> int:
-    """``anchor_week`` for a literal date, as a Python int (ISO week, as
-    ``datetime.date.isocalendar`` and Spark's ``weekofyear`` agree)."""
+    May be zero or negative early in a year; relative weeks use the same
+    scale, so the five-week window still crosses the year boundary (N19).
+    ``datetime.date.isocalendar`` and Spark's ``weekofyear`` agree (ISO 8601).
+    """
     if isinstance(back_weeks, bool) or not isinstance(back_weeks, int):
         raise TypeError(f"back_weeks must be an int, got {back_weeks!r}")
-    if isinstance(as_of, str):
-        as_of = _dt.date.fromisoformat(as_of)
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.date()
-    if not isinstance(as_of, _dt.date):
-        raise TypeError(f"as_of must be a date or ISO date string, got {as_of!r}")
-    return as_of.isocalendar()[1] - back_weeks
+    return _to_date(as_of).isocalendar()[1] - back_weeks
+
+
+# --- Columns ----------------------------------------------------------------------
+
+def iso_week(as_of: DateLike) -> Column:
+    return F.expr(iso_week_sql(date_sql(as_of)))
+
+
+def iso_year(as_of: DateLike) -> Column:
+    return F.expr(iso_year_sql(date_sql(as_of)))
+
+
+def anchor_week(as_of: DateLike, back_weeks: int = 1) -> Column:
+    return F.lit(anchor_value(as_of, back_weeks)).cast("long")
+
+
+def weeks_in_year(year: str) -> Column:
+    return F.expr(weeks_in_year_sql(ident(year)))
+
+
+def year_delta(year: str, as_of: DateLike) -> Column:
+    """ISO weeks from the start of ISO year ``year`` to the ISO year of ``as_of``."""
+    return F.expr(year_delta_sql(ident(year), iso_year_sql(date_sql(as_of))))
+
+
+def rel_week(semana: str, year: str, as_of: DateLike) -> Column:
+    return F.expr(rel_week_sql(ident(semana), ident(year), as_of))

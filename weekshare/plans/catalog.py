@@ -61,9 +61,9 @@ def q_weeks_in_year(spark, d):
 
 
 def q_year_delta(spark, d):
-    cur = iso_year(AS_OF)
     return (base(spark, d).select("Year").distinct()
-            .select("Year", cur.alias("current_year"), year_delta("Year", cur).alias("delta")))
+            .select("Year", iso_year(AS_OF).alias("current_year"),
+                    year_delta("Year", AS_OF).alias("delta")))
 
 
 def q_relative_week(spark, d):

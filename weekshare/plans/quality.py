@@ -46,6 +46,6 @@ def lagged_weeks(base: DataFrame) -> DataFrame:
 
 def bad_weeks(base: DataFrame) -> DataFrame:
     """(Year, Semana) pairs that are not a real ISO week (D4): ``Year, Semana, n``."""
-    valid = F.col("Semana").between(F.lit(1), weeks_in_year(F.col("Year")))
+    valid = F.col("Semana").between(F.lit(1), weeks_in_year("Year"))
     return (base.where(~F.coalesce(valid, F.lit(False)))
             .groupBy("Year", "Semana").agg(F.count(F.lit(1)).alias("n")))

@@ -14,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arith import nan_to_null
-from ..functions.calendar import DateLike, rel_week
-from ..functions.text import CARRIER_RECODE, clean_headers, recode
+from ..functions.calendar import DateLike, rel_week_sql
+from ..functions.sqltext import ident, lit
+from ..functions.text import CARRIER_RECODE, clean_headers
 from .schema import (BASE_COLUMNS, BASE_SCHEMA, EXPECTED_HEADER, EXPORT_COLUMNS,
                      EXPORT_PREAMBLE_ROWS, EXPORT_TEXT_SCHEMA)
 
@@ -93,17 +93,18 @@ def prepare_base(export: DataFrame, as_of: DateLike,
     """
     cols = []
     for field in BASE_SCHEMA.fields:
-        name = field.name
-        if name == "Owner":
-            c = recode(F.col("Owner"), carrier_recode)
-        elif name == "Tons":
-            c = nan_to_null(F.col("Tons").cast("double"))
-        elif name == "RelWeek":
-            c = rel_week("Semana", "Year", as_of)
+        name = ident(field.name)
+        if field.name == "Owner":
+            arms = " ".join(f"WHEN {name} = {lit(a)} THEN {lit(b)}" for a, b in carrier_recode.items())
+            expr = f"CASE {arms} ELSE {name} END" if arms else name
+        elif field.name == "Tons":
+            expr = f"CASE WHEN isnan(CAST({name} AS DOUBLE)) THEN NULL ELSE {name} END"
+        elif field.name == "RelWeek":
+            expr = rel_week_sql("`Semana`", "`Year`", as_of)
         else:
-            c = F.col(name)
-        cols.append(c.cast(field.dataType).alias(name))
-    return export.select(*cols)
+            expr = name
+        cols.append(f"CAST({expr} AS {field.dataType.simpleString()}) AS {name}")
+    return export.selectExpr(*cols)
 
 
 def load_base(spark: SparkSession, path: str | list[str], as_of: DateLike,

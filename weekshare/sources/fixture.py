@@ -9,19 +9,23 @@ keys. The DuckDB oracle states the same mapping in SQL.
 
 Plan: ``orders`` joins ``customer`` first (keeping one small integer per
 order), then ``lineitem`` joins that and ``part``. Only the columns used are
-read. Catalyst picks broadcast or sort-merge per join from the measured size
-(``spark.sql.autoBroadcastJoinThreshold``, re-checked at runtime by AQE), so
-the small dimension tables of a test run are broadcast and the same code
-sort-merges at full scale. The 25-entry origin table is a constant array
-looked up by index, not a join.
+read. The two fact tables are never broadcast: ``lineitem`` joins orders as a
+shuffled hash join with orders as the build side (order keys are unique, so
+no build partition is skewed; AQE splits a skewed probe partition). The
+dimension joins are left to Catalyst's size check
+(``spark.sql.autoBroadcastJoinThreshold``, re-checked at runtime by AQE): a
+small ``customer`` or ``part`` is broadcast, a large one is shuffled. The
+25-row origin table is a literal dimension, broadcast (its size is fixed);
+as a join, filters on its columns stay above the join instead of being
+inlined into the ``lineitem`` scan as lookup expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.calendar import iso_week, iso_year
+from ..functions.calendar import iso_week_sql, iso_year_sql
+from ..functions.sqltext import lit
 
 # Origin lookup by ``l_partkey % 25``: region, zone, country.
 ORIGIN_TABLE = (
@@ -48,68 +52,74 @@ DEST_AIRPORT = ("SCL", "GRU", "VCP", "LIM", "EZE")
 # Carrier codes by part brand.
 BRAND_CARRIER = {"Brand#1": "LA ", "Brand#2": "QT ", "Brand#3": None}
 
+# Columns read from the test tables, with their types: an explicit read
+# schema skips schema inference and reads nothing else.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "part": "p_partkey BIGINT, p_brand STRING",
+}
 
-def _pick(values, index: Column, default=None) -> Column:
+
+def _pick_sql(values, index: str, default=None) -> str:
     """``values[index]`` for a small constant list, else ``default``."""
-    out = None
-    for i, v in enumerate(values):
-        arm = F.lit(v).cast("string")
-        out = F.when(index == i, arm) if out is None else out.when(index == i, arm)
-    return out.otherwise(F.lit(default).cast("string"))
+    arms = " ".join(f"WHEN {i} THEN CAST({lit(v)} AS STRING)" for i, v in enumerate(values))
+    return f"CASE {index} {arms} ELSE CAST({lit(default)} AS STRING) END"
 
 
-def _lookup(values, index: Column) -> Column:
-    """Constant-array lookup; ``index`` is known to be in range."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), index + 1)
+def _carrier_sql(brand: str) -> str:
+    arms = " ".join(f"WHEN {brand} = {lit(b)} THEN CAST({lit(c)} AS STRING)"
+                    for b, c in BRAND_CARRIER.items())
+    return f"CASE {arms} ELSE concat(replace({brand}, 'Brand#', 'B'), ' ') END"
 
 
-def _carrier(brand: Column) -> Column:
-    out = None
-    for b, code in BRAND_CARRIER.items():
-        arm = F.lit(code).cast("string")
-        out = F.when(brand == b, arm) if out is None else out.when(brand == b, arm)
-    return out.otherwise(F.concat(F.replace(brand, F.lit("Brand#"), F.lit("B")), F.lit(" ")))
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def origin_table(spark: SparkSession) -> DataFrame:
+    """The fixed origin lookup as a 25-row DataFrame (a literal relation)."""
+    rows = ", ".join(
+        f"named_struct('origin_code', {i}, 'RegionOrigenAWB', CAST({lit(r)} AS STRING), "
+        f"'ZonaOrigenAWB', CAST({lit(z)} AS STRING), 'PaisOrigenAWB', CAST({lit(p)} AS STRING))"
+        for i, (r, z, p) in enumerate(ORIGIN_TABLE))
+    return spark.range(1).selectExpr(f"inline(array({rows}))")
 
 
 def export_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve export columns, one row per ``lineitem`` row that joins."""
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    orders = read_table(spark, sf_dir, "orders")
+    customer = read_table(spark, sf_dir, "customer")
+    part = read_table(spark, sf_dir, "part")
 
     order_dest = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-                  .select("o_orderkey", (F.col("c_nationkey") % 5).alias("dest_code")))
+                  .selectExpr("o_orderkey", "c_nationkey % 5 AS dest_code"))
     rows = (lineitem
-            .withColumn("origin_code", (F.col("l_partkey") % 25).cast("int"))
-            .where(F.col("origin_code").between(0, len(ORIGIN_TABLE) - 1))
-            .join(order_dest, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey")))
-
-    ship = F.col("l_shipdate").cast("date")
-    origin = F.col("origin_code")
-    seg = F.col("l_suppkey") % 5
-    dest = F.col("dest_code")
-    return rows.select(
-        iso_year(ship).alias("Year"),
-        iso_week(ship).alias("Semana"),
-        _lookup([r[0] for r in ORIGIN_TABLE], origin).alias("RegionOrigenAWB"),
-        _pick(SEGMENT_REGION, seg).alias("RegionOrigenSegmento"),
-        _lookup([r[1] for r in ORIGIN_TABLE], origin).alias("ZonaOrigenAWB"),
-        _lookup([r[2] for r in ORIGIN_TABLE], origin).alias("PaisOrigenAWB"),
-        _pick(SEGMENT_COUNTRY, seg).alias("PaisOrigenSegmento"),
-        _pick(DEST_COUNTRY[:-1], dest, DEST_COUNTRY[-1]).alias("PaisDestinoAWB"),
-        _pick(DEST_AIRPORT[:-1], dest, DEST_AIRPORT[-1]).alias("PostaDestinoAWB"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7),
-               F.lit(None).cast("string"))
-         .when(F.col("l_linestatus") == "O", F.lit("PAX"))
-         .otherwise(F.lit("CAO")).alias("TipoVuelo"),
-        _carrier(F.col("p_brand")).alias("Owner"),
-        F.col("l_quantity").cast("double").alias("Tons"),
+            .selectExpr("*", f"CAST(l_partkey % {len(ORIGIN_TABLE)} AS INT) AS origin_code")
+            .join(order_dest.hint("shuffle_hash"), lineitem.l_orderkey == order_dest.o_orderkey)
+            .join(part, lineitem.l_partkey == part.p_partkey)
+            .join(origin_table(spark).hint("broadcast"), "origin_code"))
+
+    ship = "CAST(l_shipdate AS DATE)"
+    return rows.selectExpr(
+        f"{iso_year_sql(ship)} AS Year",
+        f"{iso_week_sql(ship)} AS Semana",
+        "RegionOrigenAWB",
+        f"{_pick_sql(SEGMENT_REGION, 'l_suppkey % 5')} AS RegionOrigenSegmento",
+        "ZonaOrigenAWB",
+        "PaisOrigenAWB",
+        f"{_pick_sql(SEGMENT_COUNTRY, 'l_suppkey % 5')} AS PaisOrigenSegmento",
+        f"{_pick_sql(DEST_COUNTRY[:-1], 'dest_code', DEST_COUNTRY[-1])} AS PaisDestinoAWB",
+        f"{_pick_sql(DEST_AIRPORT[:-1], 'dest_code', DEST_AIRPORT[-1])} AS PostaDestinoAWB",
+        "CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN CAST(NULL AS STRING) "
+        "WHEN l_linestatus = 'O' THEN 'PAX' ELSE 'CAO' END AS TipoVuelo",
+        f"{_carrier_sql('p_brand')} AS Owner",
+        "CAST(l_quantity AS DOUBLE) AS Tons",
     )
