@@ -28,8 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "weekshare") -> SparkSession:
     """Local session for tests and the bench.
 
-    ``spark.checkpoint.dir`` is set to a fresh scratch folder only here, where
-    no cluster names one.
+    ``spark.checkpoint.dir`` and the warehouse folder are set to fresh scratch
+    folders only here, where no cluster names them.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -43,6 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     if active is None or not active.sparkContext.getConf().get("spark.checkpoint.dir", None):
         builder = builder.config("spark.checkpoint.dir",
                                  tempfile.mkdtemp(prefix="weekshare-ckpt-"))
+    if active is None:
+        builder = builder.config("spark.sql.warehouse.dir",
+                                 tempfile.mkdtemp(prefix="weekshare-warehouse-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
