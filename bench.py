@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from weekshare.plans import catalog  # noqa: E402
 from weekshare.plans.market_share import market_share  # noqa: E402
-from weekshare.plans.reports import report, write_reports  # noqa: E402
+from weekshare.plans.reports import REPORTS, report, report_rows, write_reports  # noqa: E402
 from weekshare.plans.views import VIEWS  # noqa: E402
 from weekshare.session import local_session, shared_dir  # noqa: E402
 from weekshare.sources.export import prepare_base  # noqa: E402
@@ -70,6 +70,7 @@ def main():
     q["all_views"] = timed(lambda: market_share(base(), list(VIEWS.values()), AS_OF, BACK).collect(), runs)
     for name in ("awb", "gateway", "feeder"):
         q[f"report_{name}"] = timed(lambda n=name: report(base(), n, AS_OF, BACK).collect(), runs)
+    q["all_reports"] = timed(lambda: report_rows(base(), list(REPORTS), AS_OF, BACK).collect(), runs)
     counter = iter(range(10**6))
     q["write_reports"] = timed(
         lambda: write_reports(base(), f"{out_root}/run{next(counter)}", AS_OF, BACK), runs)

@@ -1,0 +1,24 @@
+import os
+
+from test_io import DATA, write_export
+
+from weekshare.sources.warehouse import read_base
+from weekshare.streaming import start_weekly_refresh
+
+
+def test_weekly_refresh_processes_new_files_once(spark, tmp_path):
+    exports, out = tmp_path / "exports", tmp_path / "out"
+    exports.mkdir()
+    base, ckpt = str(tmp_path / "base"), str(tmp_path / "ckpt")
+    write_export(exports / "week10.csv", DATA[:2])
+    as_of = lambda: __import__("datetime").date(2026, 3, 11)
+    q = start_weekly_refresh(spark, str(exports), base, str(out), as_of=as_of, checkpoint=ckpt)
+    q.awaitTermination(300)
+    assert read_base(spark, base).count() == 2
+    assert sorted(f for f in os.listdir(out) if f.startswith("report=")) == [
+        "report=dfWeekAWB", "report=dfWeekFeeder", "report=dfWeekGTWY"]
+    # A new week's export replaces the table; the old file is not re-read.
+    write_export(exports / "week11.csv", DATA)
+    q = start_weekly_refresh(spark, str(exports), base, str(out), as_of=as_of, checkpoint=ckpt)
+    q.awaitTermination(300)
+    assert read_base(spark, base).count() == 4

@@ -1,9 +1,11 @@
 """Report files (C7-C9): views appended, whole-row duplicates removed, CSV.
 
-A report is one or two views; the two-view reports (AWB with AWB-SAO,
-Gateway with Gateway-SAO) come from one scan of the base table. Rows of the
-first view come first in the file, then rows of the second that are not an
-exact copy of a row already written (U2, U3); inside each part rows are
+A report is one or two views. All requested reports come from one scan of
+the base table: the views are computed together, each row is tagged with its
+report and part (0: first view, 1: second), and one small aggregate keeps
+one copy of each whole row with the first part it occurs in (U2, U3). Rows
+of the first view come first in the file, then rows of the second that are
+not an exact copy of a row already written; inside each part rows are
 ordered by group and rank (O1). The order is applied only at the sink.
 """
 
@@ -13,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import DateLike
+from ..functions.sqltext import ident, lit
 from ..operators.setops import append_dedup
-from ..sources.report_csv import write_report_csv
+from ..operators.share import format_report
 from ..sources.schema import REPORT_COLUMNS
 from .market_share import market_share
 from .views import AWB, AWB_SAO, FEEDER, GATEWAY, GATEWAY_SAO
@@ -27,17 +30,30 @@ REPORTS = {
 }
 
 
+def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+    """``report, part`` plus the 14 report columns for the named reports,
+    from one scan of ``base``."""
+    names = list(names)
+    views, tag = [], {}
+    for name in names:
+        for part, v in enumerate(REPORTS[name][1]):
+            if v.name in tag:
+                raise ValueError(f"view {v.name} is in two requested reports")
+            views.append(v)
+            tag[v.name] = (name, part)
+    rows = market_share(base, views, as_of, back_weeks)
+    report_of = " ".join(f"WHEN {lit(v)} THEN {lit(r)}" for v, (r, _) in tag.items())
+    part_of = " ".join(f"WHEN {lit(v)} THEN {p}" for v, (_, p) in tag.items())
+    tagged = rows.selectExpr(f"CASE `view` {report_of} END AS report",
+                             f"CASE `view` {part_of} END AS part",
+                             *[ident(c) for c in REPORT_COLUMNS])
+    # Grouping treats NULL = NULL and NaN = NaN, as whole-row deduplication does.
+    return tagged.groupBy("report", *REPORT_COLUMNS).agg(F.min("part").alias("part"))
+
+
 def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
-    """Report rows with a ``part`` ordinal (0: first view, 1: second)."""
-    _, views = REPORTS[name]
-    if len(views) == 1:
-        return market_share(base, views[0], as_of, back_weeks).withColumn("part", F.lit(0))
-    rows = market_share(base, list(views), as_of, back_weeks)
-    cols = list(REPORT_COLUMNS)
-    # One aggregate over the small result replaces append + deduplicate of two
-    # separately computed frames: a row keeps the first part it occurs in.
-    part = F.when(F.col("view") == F.lit(views[0].name), F.lit(0)).otherwise(F.lit(1))
-    return rows.withColumn("part", part).groupBy(*cols).agg(F.min("part").alias("part"))
+    """One report's rows with its ``part`` ordinal."""
+    return report_rows(base, [name], as_of, back_weeks).drop("report")
 
 
 def report_from_frames(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -46,12 +62,27 @@ def report_from_frames(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
-                  names=None) -> dict[str, str]:
-    """Write the report files; returns ``{report: folder}``."""
-    written = {}
-    for name in (names or REPORTS):
-        file_name, _ = REPORTS[name]
-        path = f"{out_dir.rstrip('/')}/{file_name}"
-        write_report_csv(report(base, name, as_of, back_weeks), path)
-        written[name] = path
-    return written
+                  names=None, mode: str = "overwrite") -> dict[str, str]:
+    """Write the report files in one job; returns ``{report: folder}``.
+
+    Each report lands in ``<out_dir>/report=<file name>/`` as one CSV file
+    with a header and no index column; NaN shares are empty fields. A report
+    is small (groups x shown carriers), so each is one task.
+    """
+    names = list(names or REPORTS)
+    rows = report_rows(base, names, as_of, back_weeks)
+    file_of = " ".join(f"WHEN {lit(n)} THEN {lit(REPORTS[n][0])}" for n in names)
+    out = (format_report(rows)
+           .withColumn("report", F.expr(f"CASE `report` {file_of} END"))
+           .repartition("report")
+           .sortWithinPartitions("report", "part", "Grupo", "Rank")
+           .select("report", *REPORT_COLUMNS))
+    (out.write.mode(mode)
+     .partitionBy("report")
+     .option("header", True)
+     .option("nullValue", "")
+     .option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False)
+     .csv(out_dir))
+    return {n: f"{out_dir.rstrip('/')}/report={REPORTS[n][0]}" for n in names}

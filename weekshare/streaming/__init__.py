@@ -1,0 +1,12 @@
+"""Streaming entry points.
+
+The reporting job has no streaming operators (no watermark, window or state):
+it is a weekly batch. What streams is its input: a new export file lands
+each week. ``weekly.start_weekly_refresh`` runs the batch (load, replace the
+base table, write the reports) for the files that arrived since the last
+run, using Structured Streaming's file source for exactly-once bookkeeping.
+"""
+
+from .weekly import start_weekly_refresh
+
+__all__ = ["start_weekly_refresh"]
