@@ -38,46 +38,45 @@ from weekshare.sources.warehouse import read_base, save_base  # noqa: E402
 AS_OF, BACK = catalog.AS_OF, catalog.BACK_WEEKS
 
 
-def timed(fn, runs):
-    fn()  # warm-up
-    secs = []
-    for _ in range(runs):
-        t0 = time.perf_counter()
-        fn()
-        secs.append(time.perf_counter() - t0)
-    return round(statistics.median(secs), 3)
-
-
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
+    warm = int(os.environ.get("BENCH_WARMUP", "2"))
     spark = local_session(cpus, shuffle_partitions=cpus, app_name="weekshare-bench")
     base_path = shared_dir(spark, "bench_base")
     out_root = tempfile.mkdtemp(prefix="weekshare-bench-out-")
+    counter = iter(range(10**6))
 
     def load():
         save_base(prepare_base(export_from_tables(spark, sf_dir), AS_OF), base_path)
 
-    q = {}
-    q["base_load"] = timed(load, runs)
-
     def base():
         return read_base(spark, base_path)
 
+    work = {"base_load": load}
     for name, view in VIEWS.items():
-        q[f"view_{name}"] = timed(lambda v=view: market_share(base(), v, AS_OF, BACK).collect(), runs)
-    q["all_views"] = timed(lambda: market_share(base(), list(VIEWS.values()), AS_OF, BACK).collect(), runs)
+        work[f"view_{name}"] = lambda v=view: market_share(base(), v, AS_OF, BACK).collect()
+    work["all_views"] = lambda: market_share(base(), list(VIEWS.values()), AS_OF, BACK).collect()
     for name in ("awb", "gateway", "feeder"):
-        q[f"report_{name}"] = timed(lambda n=name: report(base(), n, AS_OF, BACK).collect(), runs)
-    q["all_reports"] = timed(lambda: report_rows(base(), list(REPORTS), AS_OF, BACK).collect(), runs)
-    counter = iter(range(10**6))
-    q["write_reports"] = timed(
-        lambda: write_reports(base(), f"{out_root}/run{next(counter)}", AS_OF, BACK), runs)
-    q["all_views_from_tables"] = timed(
-        lambda: catalog.QUERIES["all_views"](spark, sf_dir).collect(), runs)
-    q["view_gateway_from_tables"] = timed(
-        lambda: catalog.QUERIES["view_gateway"](spark, sf_dir).collect(), runs)
+        work[f"report_{name}"] = lambda n=name: report(base(), n, AS_OF, BACK).collect()
+    work["all_reports"] = lambda: report_rows(base(), list(REPORTS), AS_OF, BACK).collect()
+    work["write_reports"] = lambda: write_reports(base(), f"{out_root}/run{next(counter)}", AS_OF, BACK)
+    work["all_views_from_tables"] = lambda: catalog.QUERIES["all_views"](spark, sf_dir).collect()
+    work["view_gateway_from_tables"] = lambda: catalog.QUERIES["view_gateway"](spark, sf_dir).collect()
+
+    # Warm the JVM (JIT, code-generation cache) on every query first, then
+    # time rounds over all queries so that no query is measured cold.
+    for _ in range(warm):
+        for fn in work.values():
+            fn()
+    secs = {name: [] for name in work}
+    for _ in range(runs):
+        for name, fn in work.items():
+            t0 = time.perf_counter()
+            fn()
+            secs[name].append(time.perf_counter() - t0)
+    q = {name: round(statistics.median(xs), 3) for name, xs in secs.items()}
 
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({

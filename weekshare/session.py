@@ -8,6 +8,7 @@ session and its configuration.
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.codegen.cache.maxEntries",
+                os.environ.get("WEEKSHARE_CODEGEN_CACHE", "1000"))
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
