@@ -32,18 +32,26 @@ def lag_sql(dest: str, lag_weeks: dict[str, int]) -> str:
 
 def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
                   dest: str = "`Destino`", tons: str = "`Tons`",
-                  rel_week: str = "`RelWeek`") -> list[str]:
-    """``sum(CASE WHEN offset = i THEN Tons ELSE 0 END) AS <week i>``."""
+                  rel_week: str = "`RelWeek`", tons_type: str = "double") -> list[str]:
+    """``sum(CASE WHEN offset = i THEN Tons ELSE 0 END) AS <week i>``.
+
+    ``tons_type`` is the type summed in: ``double`` (default) or a decimal
+    such as ``decimal(18,6)``, whose sums do not depend on the order rows
+    are added in (exact duplicate removal across views, N22).
+    """
     offset = f"({int(anchor)} - {lag_sql(dest, lag_weeks)} - {rel_week})"
-    return [f"sum(CASE WHEN {offset} = {i} THEN CAST({tons} AS DOUBLE) ELSE 0.0D END) AS {ident(w)}"
+    return [f"sum(CASE WHEN {offset} = {i} THEN CAST({tons} AS {tons_type}) "
+            f"ELSE CAST(0 AS {tons_type}) END) AS {ident(w)}"
             for i, w in enumerate(week_columns(weeks))]
 
 
 def lagged_pivot(rows: DataFrame, keys: list, anchor: int,
-                 lag_weeks: dict[str, int], weeks: int = 5) -> DataFrame:
+                 lag_weeks: dict[str, int], weeks: int = 5,
+                 tons_type: str = "double") -> DataFrame:
     """``groupBy(keys)`` with the five lagged week sums; needs ``Destino``,
     ``RelWeek`` and ``Tons`` columns. ``anchor`` is the newest week."""
-    return rows.groupBy(*keys).agg(*[F.expr(e) for e in week_sums_sql(anchor, lag_weeks, weeks)])
+    sums = week_sums_sql(anchor, lag_weeks, weeks, tons_type=tons_type)
+    return rows.groupBy(*keys).agg(*[F.expr(e) for e in sums])
 
 
 def resum(df: DataFrame, keys: list, weeks: int = 5) -> DataFrame:

@@ -77,7 +77,8 @@ def scan_predicate(views: Sequence[ViewSpec]) -> Column:
     return F.expr(scan_predicate_sql(views))
 
 
-def route_classes(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
+def route_classes(base: DataFrame, views, as_of, back_weeks: int = 1,
+                  tons_type: str = "double") -> DataFrame:
     """Step 1-2: the big aggregate. One row per (origin classes, Destino,
     flight type if a label uses it, raw Owner) with the week sums."""
     views = _as_list(views)
@@ -91,16 +92,17 @@ def route_classes(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFra
     keys = ["Destino", *[f"_o{i}" for i in range(len(sets))],
             *(["TipoVuelo"] if need_flight else []), "Owner"]
     return lagged_pivot(rows, keys, anchor_value(as_of, back_weeks),
-                        views[0].lag_weeks, views[0].weeks)
+                        views[0].lag_weeks, views[0].weeks, tons_type)
 
 
-def group_rows(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
+def group_rows(base: DataFrame, views, as_of, back_weeks: int = 1,
+               tons_type: str = "double") -> DataFrame:
     """Step 3: ``view, Grupo, Owner, W..Wm4`` (the pivoted carriers per
     group, A1-A2) for every view, from one scan."""
     views = _as_list(views)
     sets = _origin_sets(views)
     weeks = week_columns(views[0].weeks)
-    classes = route_classes(base, views, as_of, back_weeks)
+    classes = route_classes(base, views, as_of, back_weeks, tons_type)
     flight = "`TipoVuelo`" if "TipoVuelo" in classes.columns else "CAST(NULL AS STRING)"
     trim = f"trim(BOTH {lit(UNICODE_WHITE_SPACE)} FROM `Owner`) AS Owner"
 
@@ -134,28 +136,33 @@ def _threshold_sql(views: list[ViewSpec]) -> str:
     return f"(CASE {arms} END)"
 
 
-def bucketed_rows(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
+def bucketed_rows(base: DataFrame, views, as_of, back_weeks: int = 1,
+                  tons_type: str = "double") -> DataFrame:
     """Group rows with ``OwnerGrpd``, ``cls`` and ``rn``."""
     views = _as_list(views)
-    rows = group_rows(base, views, as_of, back_weeks)
+    rows = group_rows(base, views, as_of, back_weeks, tons_type)
     return bucket_topn(rows, PART, _threshold_sql(views), views[0].home, views[0].others)
 
 
-def market_share(base: DataFrame, views, as_of, back_weeks: int = 1) -> DataFrame:
+def market_share(base: DataFrame, views, as_of, back_weeks: int = 1,
+                 tons_type: str = "double") -> DataFrame:
     """Market-share report rows.
 
     ``views`` is one ``ViewSpec`` (result: the 14 report columns) or several
     (result: ``view`` plus the 14 columns, all from one scan of ``base``).
     ``as_of`` (a date) fixes the calendar; ``back_weeks`` picks the newest
-    week.
+    week. ``tons_type='decimal(18,6)'`` sums exactly (results are still
+    reported as doubles).
     """
     single = isinstance(views, ViewSpec)
     views = _as_list(views)
     weeks = views[0].weeks
-    bucketed = bucketed_rows(base, views, as_of, back_weeks)
+    bucketed = bucketed_rows(base, views, as_of, back_weeks, tons_type)
     ranked = collapse_buckets(bucketed, PART, weeks)
     shared = share_of_group(ranked, PART, weeks)
-    cols = [f"{REPORT_KEY_SQL} AS excelKEY"] + [ident(c) for c in report_columns(weeks)[1:]]
+    cols = [f"{REPORT_KEY_SQL} AS excelKEY"] + [
+        f"CAST({ident(c)} AS DOUBLE) AS {ident(c)}" if c in week_columns(weeks) else ident(c)
+        for c in report_columns(weeks)[1:]]
     return shared.selectExpr(*cols) if single else shared.selectExpr("`view`", *cols)
 
 

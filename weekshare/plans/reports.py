@@ -30,9 +30,12 @@ REPORTS = {
 }
 
 
-def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1,
+                tons_type: str = "double") -> DataFrame:
     """``report, part`` plus the 14 report columns for the named reports,
-    from one scan of ``base``."""
+    from one scan of ``base``. With fractional tons, a decimal ``tons_type``
+    makes the sums of the two views of a report bit-identical, so shared
+    rows always deduplicate (N22)."""
     names = list(names)
     views, tag = [], {}
     for name in names:
@@ -41,7 +44,7 @@ def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1) ->
                 raise ValueError(f"view {v.name} is in two requested reports")
             views.append(v)
             tag[v.name] = (name, part)
-    rows = market_share(base, views, as_of, back_weeks)
+    rows = market_share(base, views, as_of, back_weeks, tons_type)
     report_of = " ".join(f"WHEN {lit(v)} THEN {lit(r)}" for v, (r, _) in tag.items())
     part_of = " ".join(f"WHEN {lit(v)} THEN {p}" for v, (_, p) in tag.items())
     tagged = rows.selectExpr(f"CASE `view` {report_of} END AS report",
@@ -51,9 +54,10 @@ def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1) ->
     return tagged.groupBy("report", *REPORT_COLUMNS).agg(F.min("part").alias("part"))
 
 
-def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
+def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1,
+           tons_type: str = "double") -> DataFrame:
     """One report's rows with its ``part`` ordinal."""
-    return report_rows(base, [name], as_of, back_weeks).drop("report")
+    return report_rows(base, [name], as_of, back_weeks, tons_type).drop("report")
 
 
 def report_from_frames(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ def report_from_frames(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
-                  names=None, mode: str = "overwrite") -> dict[str, str]:
+                  names=None, mode: str = "overwrite", tons_type: str = "double") -> dict[str, str]:
     """Write the report files in one job; returns ``{report: folder}``.
 
     Each report lands in ``<out_dir>/report=<file name>/`` as one CSV file
@@ -70,7 +74,7 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
     is small (groups x shown carriers), so each is one task.
     """
     names = list(names or REPORTS)
-    rows = report_rows(base, names, as_of, back_weeks)
+    rows = report_rows(base, names, as_of, back_weeks, tons_type)
     file_of = " ".join(f"WHEN {lit(n)} THEN {lit(REPORTS[n][0])}" for n in names)
     out = (format_report(rows)
            .withColumn("report", F.expr(f"CASE `report` {file_of} END"))
