@@ -21,7 +21,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,7 +44,7 @@ def main():
     warm = int(os.environ.get("BENCH_WARMUP", "2"))
     spark = local_session(cpus, shuffle_partitions=cpus, app_name="weekshare-bench")
     base_path = shared_dir(spark, "bench_base")
-    out_root = tempfile.mkdtemp(prefix="weekshare-bench-out-")
+    out_root = shared_dir(spark, "bench_reports")
     counter = iter(range(10**6))
 
     def load():

@@ -59,12 +59,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     On a cluster that setting names a shared file system, so a table written
     there survives the loss of any executor. The setting is read from the
-    session; a scratch folder is taken only if it is unset.
+    session. Only a local-mode session without it gets a scratch folder; a
+    cluster session without it is an error, never a machine-local folder.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         base = tempfile.mkdtemp(prefix="weekshare-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}"
