@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import DateLike, rel_week_sql
 from ..functions.sqltext import ident, lit
-from ..functions.text import CARRIER_RECODE, clean_headers
+from ..functions.text import CARRIER_RECODE
 from .schema import (BASE_COLUMNS, BASE_SCHEMA, EXPECTED_HEADER, EXPORT_COLUMNS,
                      EXPORT_PREAMBLE_ROWS, EXPORT_TEXT_SCHEMA)
 
@@ -48,25 +48,34 @@ def reject_counts(text: DataFrame) -> DataFrame:
             .groupBy("_file").agg(F.count(F.lit(1)).alias("rejects")))
 
 
+def _clean_cell_sql(cell: str) -> str:
+    # The header-cleaning rule of ``clean_header`` (S2), with Unicode classes.
+    return f"regexp_replace(coalesce({cell}, ''), '(?U)\\\\s+|^\\\\d+|\\\\(|\\\\)|&', '')"
+
+
+def export_summary(text: DataFrame) -> DataFrame:
+    """One row per file: ``_file, rows, rejects, has_header`` in one pass."""
+    reject = _to_long(F.col("_c0")).isNull()
+    header = reject
+    for pos, name in EXPECTED_HEADER.items():
+        header = header & (F.expr(_clean_cell_sql(f"_c{pos}")) == F.lit(name))
+    return text.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(reject.cast("long")).alias("rejects"),
+        F.max(header).alias("has_header"))
+
+
 def check_export(text: DataFrame, preamble_rows: int = EXPORT_PREAMBLE_ROWS) -> None:
     """Raise unless every file has exactly ``preamble_rows`` rejects, one of
-    them the expected header. Collects one small row per file."""
-    counts = {r["_file"]: r["rejects"] for r in reject_counts(text).collect()}
-    files = {r["_file"] for r in text.select("_file").distinct().collect()}
-    bad = {f: counts.get(f, 0) for f in files if counts.get(f, 0) != preamble_rows}
+    them the expected header. One scan; one small row per file is collected."""
+    summary = export_summary(text).collect()
+    bad = {r["_file"]: r["rejects"] for r in summary if r["rejects"] != preamble_rows}
     if bad:
         raise ExportFormatError(
             f"expected {preamble_rows} non-data rows per export file, found {bad}")
-    header_rows = text.where(_to_long(F.col("_c0")).isNull()).collect()
-    for f in files:
-        rows = [r for r in header_rows if r["_file"] == f]
-        if not any(_header_ok(r) for r in rows):
-            raise ExportFormatError(f"no header row with {EXPECTED_HEADER} in {f}")
-
-
-def _header_ok(row) -> bool:
-    cells = clean_headers([(row[f"_c{i}"] or "") for i in range(len(EXPORT_COLUMNS))])
-    return all(cells[pos] == name for pos, name in EXPECTED_HEADER.items())
+    missing = [r["_file"] for r in summary if not r["has_header"]]
+    if missing:
+        raise ExportFormatError(f"no header row with {EXPECTED_HEADER} in {missing}")
 
 
 def parse_export(text: DataFrame) -> DataFrame:
