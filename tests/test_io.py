@@ -1,6 +1,5 @@
 """Export loader (S1-S4, D5), table sink (S5-S7) and CSV report sink."""
 
-import math
 import os
 
 import pytest

@@ -164,3 +164,12 @@ def test_decimal_sums_make_shared_rows_identical(spark):
         ("EUR - LIM", "A", 0), ("EUR - LIM", "LA", 0)]
     la = [r for r in exact if r.OwnerGrpd == "LA"][0]
     assert la.W == 0.6 and isinstance(la.W, float)
+
+
+def test_append_dedup_keeps_first_part(spark):
+    from weekshare.operators.setops import append_dedup
+    a = spark.createDataFrame([("x", 1.0), ("y", float("nan")), ("z", None)], "k string, v double")
+    b = spark.createDataFrame([("x", 1.0), ("y", float("nan")), ("z", None), ("w", 2.0)], "k string, v double")
+    got = {r.k: r.part for r in append_dedup(a, b).collect()}
+    # Equal rows (NULL = NULL, NaN = NaN) keep the first part; new rows are part 1.
+    assert got == {"x": 0, "y": 0, "z": 0, "w": 1}

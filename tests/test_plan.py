@@ -7,7 +7,7 @@ import pytest
 from weekshare.plans import catalog
 from weekshare.plans.market_share import market_share
 from weekshare.plans.reports import report
-from weekshare.plans.views import GATEWAY, VIEWS
+from weekshare.plans.views import VIEWS
 from weekshare.session import shared_dir
 from weekshare.sources.export import prepare_base
 from weekshare.sources.fixture import export_from_tables

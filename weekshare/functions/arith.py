@@ -42,7 +42,3 @@ def ieee_divide_sql(x: str, t: str) -> str:
             f"ELSE {x} / {t} END")
 
 
-def nan_to_null(col) -> Column:
-    """NaN becomes NULL; everything else is unchanged."""
-    col = F.col(col) if isinstance(col, str) else col
-    return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)

@@ -60,19 +60,6 @@ class RuleSet:
         (a WHERE clause treats that as FALSE)."""
         return " OR ".join(f"({condition_sql(c)})" for _, c in self.rules)
 
-    def any_rule(self) -> Column:
-        """TRUE exactly where ``column()`` is not the fallback (never NULL)."""
-        return F.expr(f"coalesce({self.any_sql()}, FALSE)")
-
-    def columns_used(self) -> list[str]:
-        seen: list[str] = []
-        for _, cond in self.rules:
-            for alt in cond:
-                for column, _, _ in alt:
-                    if column not in seen:
-                        seen.append(column)
-        return seen
-
 
 def _is(column, value):
     return (column, "=", value)

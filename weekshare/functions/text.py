@@ -50,5 +50,3 @@ def clean_header(name: str) -> str:
     return _HEADER_JUNK.sub("", name)
 
 
-def clean_headers(names) -> list[str]:
-    return [clean_header(n) for n in names]

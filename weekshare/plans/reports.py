@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import DateLike
 from ..functions.sqltext import ident, lit
-from ..operators.setops import append_dedup
 from ..operators.share import format_report
 from ..sources.schema import REPORT_COLUMNS
 from .market_share import market_share
@@ -60,11 +59,6 @@ def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1,
     return report_rows(base, [name], as_of, back_weeks, tons_type).drop("report")
 
 
-def report_from_frames(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Append-and-deduplicate for two separately built view frames."""
-    return append_dedup(first.select(*REPORT_COLUMNS), second.select(*REPORT_COLUMNS))
-
-
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
                   names=None, mode: str = "overwrite", tons_type: str = "double") -> dict[str, str]:
     """Write the report files in one job; returns ``{report: folder}``.

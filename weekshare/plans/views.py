@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.sqltext import in_list, lit
@@ -42,8 +41,6 @@ class ViewSpec:
             keep += f" AND {dest} IN {in_list(self.only_destinations)}"
         return f"coalesce({keep}, FALSE)"
 
-    def in_view(self, origin: str = "`Origen`", dest: str = "`Destino`") -> Column:
-        return F.expr(self.in_view_sql(origin, dest))
 
     def threshold_sql(self, grupo: str = "`Grupo`") -> str:
         if not self.topn_prefix:
