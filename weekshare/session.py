@@ -8,7 +8,6 @@ session and its configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,8 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.codegen.cache.maxEntries",
-                os.environ.get("WEEKSHARE_CODEGEN_CACHE", "1000"))
+        # A long-lived session runs many distinct plans; keep their generated
+        # classes (a static setting, so it is set at build time).
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
