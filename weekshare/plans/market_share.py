@@ -12,9 +12,10 @@ Plan, for any number of views over one base table:
    holds a third of all rows costs no more than any other.
 3. On that small result: label each view's group, expand one row per view
    that keeps it, trim carrier codes and re-sum by (view, group, carrier).
-4. One hash exchange by (view, group) on that small result; the re-sum,
-   top-N bucket, collapse, rank, shares and key all reuse it. Two exchanges
-   in all, both after map-side reduction.
+4. One hash exchange by group label on that small result; the re-sum,
+   top-N bucket, collapse, rank, shares, key and the reports' cross-view
+   deduplication all reuse it. Two exchanges in all, both after map-side
+   reduction.
 
 No Python UDF, no collect, no sort before the sink (O1 is the sink's job).
 """
@@ -119,9 +120,11 @@ def group_rows(base: DataFrame, views, as_of, back_weeks: int = 1,
                     .selectExpr(f"explode(array({', '.join(entries)})) AS e", "`Owner`", *weeks)
                     .where("e.keep")
                     .selectExpr("e.view AS view", "e.Grupo AS Grupo", trim, *weeks))
-    # One hash partitioning by (view, group) serves the re-sum below and every
-    # later window and aggregate; the rows are few (route classes x carriers).
-    return resum(labelled.repartition(*PART), ["view", "Grupo", "Owner"], views[0].weeks)
+    # One hash partitioning by group label serves the re-sum below, every
+    # later window and aggregate (all keyed by view and group) and the
+    # report's cross-view deduplication; the rows are few (route classes x
+    # carriers), and a label's rows from all views are only a few times that.
+    return resum(labelled.repartition("Grupo"), ["view", "Grupo", "Owner"], views[0].weeks)
 
 
 def _threshold_sql(views: list[ViewSpec]) -> str:
