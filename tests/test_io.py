@@ -109,3 +109,22 @@ def test_write_reports_files(spark, tmp_path):
     assert sorted(r.Grupo for r in awb) == ["EUR - GRU", "EUR - LIM", "EUR - LIM", "EUR - SAO"]
     for name, path in written.items():
         assert any(f.endswith(".csv") for f in os.listdir(path))
+
+
+def test_bad_years_load_and_are_reported(spark, tmp_path):
+    from weekshare.plans.quality import bad_weeks
+    d = tmp_path / "exports"
+    d.mkdir()
+    rows = DATA[:1] + [
+        "0,10,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
+        "99999,10,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
+        "2026,1e30,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
+        "2026,54,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
+    ]
+    write_export(d / "w.csv", rows)
+    base = load_base(spark, str(d), "2026-03-11")
+    got = sorted(((r.Year, r.Semana, r.RelWeek) for r in base.collect()), key=repr)
+    assert got == sorted([(0, 10, None), (2026, 10, 10), (2026, 54, 54), (2026, None, None),
+                          (99999, 10, None)], key=repr)
+    flagged = sorted(((r.Year, r.Semana) for r in bad_weeks(base).collect()), key=repr)
+    assert flagged == sorted([(0, 10), (2026, 54), (2026, None), (99999, 10)], key=repr)

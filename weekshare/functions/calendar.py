@@ -50,15 +50,22 @@ def iso_year_sql(date: str) -> str:
     return f"CAST(extract(YEAROFWEEK FROM {date}) AS BIGINT)"
 
 
+def _make_date_sql(year: str, month: int, day: int) -> str:
+    # Years outside 1..9999 give NULL instead of an ANSI error, so one bad
+    # export row cannot fail a load; the invalid-week check reports it.
+    return (f"CASE WHEN {year} BETWEEN 1 AND 9999 "
+            f"THEN make_date(CAST({year} AS INT), {month}, {day}) END")
+
+
 def weeks_in_year_sql(year: str) -> str:
     """ISO weeks (52 or 53) of an ISO year (T2): 28 December always falls in
     the year's last ISO week."""
-    return f"CAST(weekofyear(make_date(CAST({year} AS INT), 12, 28)) AS BIGINT)"
+    return f"CAST(weekofyear({_make_date_sql(year, 12, 28)}) AS BIGINT)"
 
 
 def _iso_year_start_sql(year: str) -> str:
     # 4 January is always in ISO week 1; its Monday starts the ISO year.
-    return f"trunc(make_date(CAST({year} AS INT), 1, 4), 'week')"
+    return f"trunc({_make_date_sql(year, 1, 4)}, 'week')"
 
 
 def year_delta_sql(year: str, current_year: str) -> str:
@@ -68,7 +75,9 @@ def year_delta_sql(year: str, current_year: str) -> str:
     Years at or after ``current_year`` give 0, as an empty range does (N23).
     """
     days = f"datediff({_iso_year_start_sql(current_year)}, {_iso_year_start_sql(year)})"
-    return f"greatest(CAST(0 AS BIGINT), CAST(floor({days} / 7) AS BIGINT))"
+    weeks = f"CAST(floor({days} / 7) AS BIGINT)"
+    # Clamp at 0 but keep NULL for an unknown year (``greatest`` would skip it).
+    return f"CASE WHEN {weeks} < 0 THEN CAST(0 AS BIGINT) ELSE {weeks} END"
 
 
 def rel_week_sql(semana: str, year: str, as_of: DateLike) -> str:

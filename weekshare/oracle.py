@@ -60,9 +60,9 @@ base AS (
     PaisOrigenSegmento, PaisDestinoAWB, PostaDestinoAWB, TipoVuelo,
     CASE WHEN Owner = 'QT ' THEN 'AV ' ELSE Owner END AS Owner,
     CASE WHEN isnan(Tons) THEN NULL ELSE Tons END AS Tons,
-    (Semana - greatest(0, datediff('day', date_trunc('week', make_date(Year::INT, 1, 4)),
-        date_trunc('week', make_date({CUR_YEAR}::INT, 1, 4))) // 7))::BIGINT AS RelWeek
-  FROM export
+    (Semana - (CASE WHEN d < 0 THEN 0 ELSE d END))::BIGINT AS RelWeek
+  FROM (SELECT *, datediff('day', date_trunc('week', make_date(Year::INT, 1, 4)),
+          date_trunc('week', make_date({CUR_YEAR}::INT, 1, 4))) // 7 AS d FROM export) e
 )"""
 
 DESTINO = ("CASE WHEN PaisDestinoAWB IN ('CHILE') THEN PaisDestinoAWB "

@@ -30,7 +30,7 @@ def _to_long(col: Column) -> Column:
     as_double = col.try_cast("double")
     return F.coalesce(
         col.try_cast("long"),
-        F.when(as_double == F.floor(as_double), F.floor(as_double).cast("long")))
+        F.when(as_double == F.floor(as_double), F.floor(as_double).try_cast("long")))
 
 
 def read_export_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
