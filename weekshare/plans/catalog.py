@@ -109,13 +109,13 @@ def _label(view_name):
 
 
 def q_tracked_rows(spark, d):
+    # One pass with a conditional count per view, then the single row is
+    # unpivoted: no per-row expansion of the facts.
     b = base(spark, d).selectExpr(f"{R.destination_sql()} AS Destino",
                                   *[f"{v.origin.sql()} AS o_{v.name}" for v in ALL])
-    entries = [f"named_struct('view', '{v.name}', 'keep', {v.in_view_sql(f'o_{v.name}')})"
-               for v in ALL]
-    return (b.selectExpr(f"explode(array({', '.join(entries)})) AS e")
-            .groupBy(F.col("e.view").alias("view"))
-            .agg(F.sum(F.col("e.keep").cast("long")).alias("n")))
+    counts = b.selectExpr(*[f"count_if({v.in_view_sql(f'o_{v.name}')}) AS n_{v.name}" for v in ALL])
+    pairs = ", ".join(f"'{v.name}', n_{v.name}" for v in ALL)
+    return counts.selectExpr(f"stack({len(ALL)}, {pairs}) AS (view, n)")
 
 
 # --- pivot, top-N, branches, shares ----------------------------------------
