@@ -173,3 +173,16 @@ def test_append_dedup_keeps_first_part(spark):
     got = {r.k: r.part for r in append_dedup(a, b).collect()}
     # Equal rows (NULL = NULL, NaN = NaN) keep the first part; new rows are part 1.
     assert got == {"x": 0, "y": 0, "z": 0, "w": 1}
+
+
+def test_country_beats_airport_and_null_segment_country(spark):
+    rows = [dict(PaisDestinoAWB="CHILE", PostaDestinoAWB="GRU", Owner="LA ", Tons=1.0),
+            # NULL segment country: "!= 'USA'" is unknown, so only the waybill
+            # country could still make the row USA, and here it is not.
+            dict(SCL, RegionOrigenSegmento="North America", RegionOrigenAWB="North America",
+                 PaisOrigenSegmento=None, PaisOrigenAWB="CANADA", Owner="LA ", Tons=2.0),
+            dict(SCL, RegionOrigenSegmento="North America", RegionOrigenAWB="North America",
+                 PaisOrigenSegmento="MEXICO", PaisOrigenAWB="USA", Owner="LA ", Tons=4.0)]
+    got = sorted((r.Grupo, r.W) for r in run(spark, GATEWAY, rows).collect())
+    # Row 1 is CHILE (country first), not GRU, and lands in EUR - CHILE PAX.
+    assert got == [("EUR - CHILE PAX", 1.0), ("USA - CHILE PAX", 4.0)]
