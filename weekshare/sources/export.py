@@ -5,8 +5,9 @@ preamble rows and a header row, then data rows with twelve columns matched by
 position. Spark's CSV reader has no "skip the first rows" option, so the file
 is read as text columns and every line whose year does not parse is a reject.
 Rejects are counted per file (D5); a file must have exactly the three
-non-data lines, and one of them must be the expected header (S2, S3).
-Only the per-file counts and those few header lines reach the driver.
+non-data lines, and one of them must be the expected header (S2, S3). The
+check is one aggregate pass; only one summary row per file reaches the
+driver.
 """
 
 from __future__ import annotations
