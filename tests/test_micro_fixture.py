@@ -186,3 +186,15 @@ def test_country_beats_airport_and_null_segment_country(spark):
     got = sorted((r.Grupo, r.W) for r in run(spark, GATEWAY, rows).collect())
     # Row 1 is CHILE (country first), not GRU, and lands in EUR - CHILE PAX.
     assert got == [("EUR - CHILE PAX", 1.0), ("USA - CHILE PAX", 4.0)]
+
+
+def test_nan_tons_count_as_null_even_without_the_loader(spark):
+    from weekshare.sources.schema import BASE_COLUMNS, BASE_SCHEMA
+    from helpers import DEFAULTS
+    rows = []
+    for owner, tons in (("LA", 5.0), ("A", float("nan")), ("B", 1.0)):
+        d = dict(DEFAULTS, Owner=owner, Tons=tons, RelWeek=10)
+        rows.append(tuple(d[c] for c in BASE_COLUMNS))
+    base = spark.createDataFrame(rows, BASE_SCHEMA)
+    got = {r.OwnerGrpd: (r.Rank, r.W) for r in market_share(base, AWB, AS_OF, 1).collect()}
+    assert got == {"LA": (0, 5.0), "B": (1, 1.0), "A": (2, None)}

@@ -40,6 +40,8 @@ def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
     are added in (exact duplicate removal across views, N22).
     """
     offset = f"({int(anchor)} - {lag_sql(dest, lag_weeks)} - {rel_week})"
+    # NaN tons count as NULL even if the loader was bypassed.
+    tons = f"nanvl(CAST({tons} AS DOUBLE), CAST(NULL AS DOUBLE))"
     return [f"sum(CASE WHEN {offset} = {i} THEN CAST({tons} AS {tons_type}) "
             f"ELSE CAST(0 AS {tons_type}) END) AS {ident(w)}"
             for i, w in enumerate(week_columns(weeks))]
