@@ -5,7 +5,7 @@ Each check is a small aggregate; none collects fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -35,13 +35,24 @@ def latest_week(base: DataFrame, as_of: DateLike, back_weeks: int = 1) -> DataFr
 
 def lagged_weeks(base: DataFrame) -> DataFrame:
     """Weeks present for the late-reporting airports in the newest year (D3):
-    ``Year, PostaDestinoAWB, Semana, n``."""
-    newest = base.agg(F.max("Year").alias("Year"))
-    late = base.where(F.col("PostaDestinoAWB").isin(list(R.LATE_AIRPORTS)))
-    # The newest year is one row: a broadcast with a fixed size bound.
-    return (late.join(F.broadcast(newest), "Year")
-            .groupBy("Year", "PostaDestinoAWB", "Semana")
-            .agg(F.count(F.lit(1)).alias("n")))
+    ``Year, PostaDestinoAWB, Semana, n``.
+
+    One scan: a small aggregate keyed by year, with airport and week kept
+    only for late-airport rows (all other rows fold into one row per year);
+    the newest year is then taken from that small result.
+    """
+    late = F.col("PostaDestinoAWB").isin(list(R.LATE_AIRPORTS))
+    per_year = (base.groupBy("Year",
+                             F.when(late, F.col("PostaDestinoAWB")).alias("PostaDestinoAWB"),
+                             F.when(late, F.col("Semana")).alias("Semana"),
+                             late.alias("late"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    # The aggregate has at most years x (1 + late airports x 53) rows, so one
+    # unpartitioned window over it is bounded by the calendar, not the data.
+    newest = F.max("Year").over(Window.partitionBy())
+    return (per_year.withColumn("newest", newest)
+            .where("late AND Year = newest")
+            .select("Year", "PostaDestinoAWB", "Semana", "n"))
 
 
 def bad_weeks(base: DataFrame) -> DataFrame:
