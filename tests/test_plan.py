@@ -93,3 +93,13 @@ def test_fixture_never_broadcasts_fact_tables(spark):
             while j >= 0 and not ("Exchange" in lines[j] and indent[j] < indent[i]):
                 j -= 1
             assert j >= 0 and "BroadcastExchange" not in lines[j], lines[j]
+
+
+def test_every_registered_query_scans_the_fact_table_once(spark):
+    import __spark_entry__ as entry
+    for name, q in entry.queries().items():
+        df = q(spark, SF0001)
+        df.collect()
+        final = plan_text(df).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"FileScan parquet \[l_orderkey", final)) == 1, name
+        assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final, name
