@@ -101,5 +101,6 @@ def test_every_registered_query_scans_the_fact_table_once(spark):
         df = q(spark, SF0001)
         df.collect()
         final = plan_text(df).split("== Initial Plan ==")[0]
-        assert len(re.findall(r"FileScan parquet \[l_orderkey", final)) == 1, name
+        # At most once: AQE may replace a plan whose result is empty.
+        assert len(re.findall(r"FileScan parquet \[l_orderkey", final)) <= 1, name
         assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final, name
