@@ -10,8 +10,8 @@ keys. The DuckDB oracle states the same mapping in SQL.
 Plan: ``orders`` joins ``customer`` first (keeping one small integer per
 order), then ``lineitem`` joins that and ``part``. Only the columns used are
 read. The two fact tables are never broadcast: ``lineitem`` joins orders as a
-shuffled hash join with orders as the build side (order keys are unique, so
-no build partition is skewed; AQE splits a skewed probe partition). The
+sort-merge join (both sides spill to disk if a partition outgrows memory,
+and AQE splits a skewed partition; a hash join could not spill). The
 dimension joins are left to Catalyst's size check
 (``spark.sql.autoBroadcastJoinThreshold``, re-checked at runtime by AQE): a
 small ``customer`` or ``part`` is broadcast, a large one is shuffled. The
@@ -103,7 +103,7 @@ def export_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .selectExpr("o_orderkey", "c_nationkey % 5 AS dest_code"))
     rows = (lineitem
             .selectExpr("*", f"CAST(l_partkey % {len(ORIGIN_TABLE)} AS INT) AS origin_code")
-            .join(order_dest.hint("shuffle_hash"), lineitem.l_orderkey == order_dest.o_orderkey)
+            .join(order_dest.hint("merge"), lineitem.l_orderkey == order_dest.o_orderkey)
             .join(part, lineitem.l_partkey == part.p_partkey)
             .join(origin_table(spark).hint("broadcast"), "origin_code"))
 
