@@ -15,7 +15,7 @@ def test_command_line_weekly_run(spark, tmp_path):
     written = main(["--exports", str(exports), "--base", base, "--out", out,
                     "--as-of", "2026-03-11", "--back-weeks", "1"])
     assert read_base(spark, base).count() == 4
-    assert all(any(f.endswith(".csv") for f in os.listdir(p)) for p in written.values())
+    assert all(os.path.isfile(p) and p.endswith(".csv") for p in written.values())
 
 
 def test_sql_views(spark, tmp_path):

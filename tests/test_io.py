@@ -107,8 +107,16 @@ def test_write_reports_files(spark, tmp_path):
     awb = report(base, "awb", "2026-03-11", 1).collect()
     # EUR - GRU (base view) and EUR - SAO (SAO view) both appear once.
     assert sorted(r.Grupo for r in awb) == ["EUR - GRU", "EUR - LIM", "EUR - LIM", "EUR - SAO"]
-    for name, path in written.items():
-        assert any(f.endswith(".csv") for f in os.listdir(path))
+    assert sorted(os.path.basename(p) for p in written.values()) == [
+        "dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv"]
+    lines = open(written["awb"], encoding="utf-8").read().splitlines()
+    assert lines[0] == ",".join(REPORT_COLUMNS) and len(lines) == 1 + len(awb)
+    # Part 0 (AWB view) rows first, then the SAO view's rows.
+    assert [line.split(",")[2] for line in lines[1:]] == ["EUR - GRU", "EUR - LIM", "EUR - LIM", "EUR - SAO"]
+    # A second run replaces the files.
+    write_reports(base, str(tmp_path), "2026-03-11", 1)
+    assert sorted(f for f in os.listdir(tmp_path) if f.endswith(".csv")) == [
+        "dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv"]
 
 
 def test_bad_years_load_and_are_reported(spark, tmp_path):

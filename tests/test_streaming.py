@@ -15,8 +15,8 @@ def test_weekly_refresh_processes_new_files_once(spark, tmp_path):
     q = start_weekly_refresh(spark, str(exports), base, str(out), as_of=as_of, checkpoint=ckpt)
     q.awaitTermination(300)
     assert read_base(spark, base).count() == 2
-    assert sorted(f for f in os.listdir(out) if f.startswith("report=")) == [
-        "report=dfWeekAWB", "report=dfWeekFeeder", "report=dfWeekGTWY"]
+    assert sorted(f for f in os.listdir(out) if f.endswith(".csv")) == [
+        "dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv"]
     # A new week's export replaces the table; the old file is not re-read.
     write_export(exports / "week11.csv", DATA)
     q = start_weekly_refresh(spark, str(exports), base, str(out), as_of=as_of, checkpoint=ckpt)

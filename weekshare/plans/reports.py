@@ -60,12 +60,16 @@ def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1,
 
 
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
-                  names=None, mode: str = "overwrite", tons_type: str = "double") -> dict[str, str]:
-    """Write the report files in one job; returns ``{report: folder}``.
+                  names=None, mode: str = "overwrite", tons_type: str = "double",
+                  fixed_names: bool = True) -> dict[str, str]:
+    """Write the report files in one job; returns ``{report: path}``.
 
-    Each report lands in ``<out_dir>/report=<file name>/`` as one CSV file
-    with a header and no index column; NaN shares are empty fields. A report
-    is small (groups x shown carriers), so each is one task.
+    Each report is one CSV file with a header and no index column; NaN
+    shares are empty fields. A report is small (groups x shown carriers), so
+    each is written by one task into ``<out_dir>/report=<file name>/``. With
+    ``fixed_names`` that single file is then moved to ``<out_dir>/<file
+    name>.csv``, the path a spreadsheet links to (a rename on the file
+    system; no data passes through the driver).
     """
     names = list(names or REPORTS)
     rows = report_rows(base, names, as_of, back_weeks, tons_type)
@@ -83,4 +87,29 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
      .csv(out_dir))
-    return {n: f"{out_dir.rstrip('/')}/report={REPORTS[n][0]}" for n in names}
+    root = out_dir.rstrip("/")
+    folders = {n: f"{root}/report={REPORTS[n][0]}" for n in names}
+    if not fixed_names:
+        return folders
+    return {n: _publish(base.sparkSession, folder, f"{root}/{REPORTS[n][0]}.csv")
+            for n, folder in folders.items()}
+
+
+def _publish(spark, folder: str, target: str) -> str:
+    """Move the one CSV part file of ``folder`` to ``target``."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_dir, dst = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = src_dir.getFileSystem(conf)
+    if not fs.exists(src_dir):
+        return folder  # an empty report writes no folder
+    parts = [st.getPath() for st in fs.listStatus(src_dir)
+             if st.getPath().getName().startswith("part-") and st.getPath().getName().endswith(".csv")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one CSV part file in {folder}, found {len(parts)}")
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    if not fs.rename(parts[0], dst):
+        raise RuntimeError(f"could not move {parts[0]} to {target}")
+    fs.delete(src_dir, True)
+    return target
