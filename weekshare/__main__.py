@@ -3,8 +3,9 @@
     python -m weekshare --exports DIR --base TABLE_OR_PATH --out DIR \
         [--as-of YYYY-MM-DD] [--back-weeks 1]
 
-Loads the export file(s), replaces the base table, and writes the three
-report files from one scan of the new table. Uses the active or default
+Loads the export file(s), replaces the base table, prints the newest week
+loaded against the week being reported (D2), and writes the three report
+files from one scan of the new table. Uses the active or default
 Spark session (``spark-submit`` supplies the cluster's).
 """
 
@@ -15,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from .plans.quality import latest_week
 from .plans.reports import write_reports
 from .sources.export import load_base
 from .sources.warehouse import read_base, save_base
@@ -32,7 +34,12 @@ def main(argv=None) -> dict[str, str]:
              else dt.datetime.now(dt.timezone.utc).date())
     spark = SparkSession.builder.appName("weekshare-weekly").getOrCreate()
     save_base(load_base(spark, args.exports, as_of), args.base)
-    written = write_reports(read_base(spark, args.base), args.out, as_of, args.back_weeks)
+    base = read_base(spark, args.base)
+    fresh = latest_week(base, as_of, args.back_weeks).first()  # one row (D2)
+    if fresh is not None:
+        print(f"newest week loaded: {fresh.Year}-W{fresh.Semana}; reporting "
+              f"{fresh.expected_year}-W{fresh.expected_week}; current: {fresh.is_current}")
+    written = write_reports(base, args.out, as_of, args.back_weeks)
     for name, path in written.items():
         print(f"{name}: {path}")
     return written
