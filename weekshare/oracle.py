@@ -310,3 +310,12 @@ ORACLE: dict[str, str] = {
         "WHERE NOT coalesce(Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28)), FALSE) "
         "GROUP BY ALL"),
 }
+
+
+def view_sql_on(table: str, view: str, as_of: str = AS_OF, back_weeks: int = BACK_WEEKS) -> str:
+    """One view's report over a ready base table ``table`` (for randomized
+    cross-engine checks), with its own calendar."""
+    anchor = f"(weekofyear(DATE '{as_of}') - {back_weeks})"
+    ctes = [c.replace(ANCHOR, anchor) for c in view_ctes(view)]
+    return ("WITH base AS (SELECT * FROM " + table + ")," + ",".join(ctes)
+            + f"\nSELECT {REPORT} FROM report")
