@@ -40,8 +40,8 @@ def recode(col, mapping: dict[str, str] = CARRIER_RECODE) -> Column:
     return col if out is None else out.otherwise(col)
 
 
-# Removed from export header names: white space, leading digits, parentheses
-# and ampersands.
+# Pattern removed from export header names (white space,
+# leading digits, parentheses and ampersands).
 _HEADER_JUNK = re.compile(r"\s+|^\d+|\(|\)|&")
 
 
