@@ -96,9 +96,16 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
 
 
 def _publish(spark, folder: str, target: str) -> str:
-    """Move the one CSV part file of ``folder`` to ``target``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Move the one CSV part file of ``folder`` to ``target``.
+
+    Uses the Hadoop file system of the session; a session without one (Spark
+    Connect) keeps the report folder as written.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM handle on this client
+        return folder
     src_dir, dst = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
     fs = src_dir.getFileSystem(conf)
     if not fs.exists(src_dir):
