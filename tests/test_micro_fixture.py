@@ -198,3 +198,24 @@ def test_nan_tons_count_as_null_even_without_the_loader(spark):
     base = spark.createDataFrame(rows, BASE_SCHEMA)
     got = {r.OwnerGrpd: (r.Rank, r.W) for r in market_share(base, AWB, AS_OF, 1).collect()}
     assert got == {"LA": (0, 5.0), "B": (1, 1.0), "A": (2, None)}
+
+
+def test_recent_only_prefilter_is_opt_in_and_prunes_week_partitions(spark, tmp_path):
+    import re
+    from weekshare.sources.warehouse import read_base, save_base
+    rows = [dict(LIM, Owner="LA ", Tons=5.0), dict(LIM, Owner="A ", Tons=3.0),
+            dict(LIM, Owner="OLD ", Tons=9.0, Semana=2),          # outside the five weeks
+            dict(GRU, Owner="LA ", Tons=4.0, Semana=8),           # lagged week 8 is W for GRU
+            dict(GRU, Owner="Z ", Tons=1.0, Semana=10)]           # week 10 is outside GRU's window
+    path = str(tmp_path / "base_by_week")
+    save_base(prepare_base(export_df(spark, rows), AS_OF), path, partition_by_week=True)
+    base = read_base(spark, path)
+    full = {(r.Grupo, r.OwnerGrpd): r.W for r in market_share(base, AWB, AS_OF, 1).collect()}
+    recent_df = market_share(base, AWB, AS_OF, 1, recent_only=True)
+    recent = {(r.Grupo, r.OwnerGrpd): r.W for r in recent_df.collect()}
+    # By default carriers without tons in the five weeks still form rows.
+    assert full[("EUR - LIM", "OLD")] == 0.0 and full[("EUR - GRU", "Z")] == 0.0
+    assert recent == {k: v for k, v in full.items() if k not in {("EUR - LIM", "OLD"), ("EUR - GRU", "Z")}}
+    plan = recent_df._sc._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        recent_df._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[.*RelWeek", plan)

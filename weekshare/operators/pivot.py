@@ -30,6 +30,12 @@ def lag_sql(dest: str, lag_weeks: dict[str, int]) -> str:
     return f"CASE {arms} ELSE 0 END"
 
 
+def offset_sql(anchor: int, lag_weeks: dict[str, int], dest: str = "`Destino`",
+               rel_week: str = "`RelWeek`") -> str:
+    """Week column index of a row: 0 for the newest reported week."""
+    return f"({int(anchor)} - {lag_sql(dest, lag_weeks)} - {rel_week})"
+
+
 def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
                   dest: str = "`Destino`", tons: str = "`Tons`",
                   rel_week: str = "`RelWeek`", tons_type: str = "double") -> list[str]:
@@ -39,7 +45,7 @@ def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
     such as ``decimal(18,6)``, whose sums do not depend on the order rows
     are added in (exact duplicate removal across views, N22).
     """
-    offset = f"({int(anchor)} - {lag_sql(dest, lag_weeks)} - {rel_week})"
+    offset = offset_sql(anchor, lag_weeks, dest, rel_week)
     # NaN tons count as NULL even if the loader was bypassed.
     tons = f"nanvl(CAST({tons} AS DOUBLE), CAST(NULL AS DOUBLE))"
     return [f"sum(CASE WHEN {offset} = {i} THEN CAST({tons} AS {tons_type}) "

@@ -30,7 +30,7 @@ REPORTS = {
 
 
 def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1,
-                tons_type: str = "double") -> DataFrame:
+                tons_type: str = "double", recent_only: bool = False) -> DataFrame:
     """``report, part`` plus the 14 report columns for the named reports,
     from one scan of ``base``. With fractional tons, a decimal ``tons_type``
     makes the sums of the two views of a report bit-identical, so shared
@@ -43,7 +43,7 @@ def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1,
                 raise ValueError(f"view {v.name} is in two requested reports")
             views.append(v)
             tag[v.name] = (name, part)
-    rows = market_share(base, views, as_of, back_weeks, tons_type)
+    rows = market_share(base, views, as_of, back_weeks, tons_type, recent_only)
     report_of = " ".join(f"WHEN {lit(v)} THEN {lit(r)}" for v, (r, _) in tag.items())
     part_of = " ".join(f"WHEN {lit(v)} THEN {p}" for v, (_, p) in tag.items())
     tagged = rows.selectExpr(f"CASE `view` {report_of} END AS report",
@@ -61,7 +61,7 @@ def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1,
 
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
                   names=None, mode: str = "overwrite", tons_type: str = "double",
-                  fixed_names: bool = True) -> dict[str, str]:
+                  fixed_names: bool = True, recent_only: bool = False) -> dict[str, str]:
     """Write the report files in one job; returns ``{report: path}``.
 
     Each report is one CSV file with a header and no index column; NaN
@@ -72,7 +72,7 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
     system; no data passes through the driver).
     """
     names = list(names or REPORTS)
-    rows = report_rows(base, names, as_of, back_weeks, tons_type)
+    rows = report_rows(base, names, as_of, back_weeks, tons_type, recent_only)
     file_of = " ".join(f"WHEN {lit(n)} THEN {lit(REPORTS[n][0])}" for n in names)
     out = (format_report(rows)
            .withColumn("report", F.expr(f"CASE `report` {file_of} END"))
