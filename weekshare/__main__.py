@@ -29,17 +29,23 @@ def main(argv=None) -> dict[str, str]:
     ap.add_argument("--out", required=True, help="report folder")
     ap.add_argument("--as-of", default=None, help="run date (default: today, UTC)")
     ap.add_argument("--back-weeks", type=int, default=1, help="weeks back of the newest week")
+    ap.add_argument("--partition-by-week", action="store_true",
+                    help="lay the base table out by RelWeek")
+    ap.add_argument("--recent-only", action="store_true",
+                    help="opt-in: read only the reported weeks (drops carriers without rows in them)")
     args = ap.parse_args(argv)
     as_of = (dt.date.fromisoformat(args.as_of) if args.as_of
              else dt.datetime.now(dt.timezone.utc).date())
     spark = SparkSession.builder.appName("weekshare-weekly").getOrCreate()
-    save_base(load_base(spark, args.exports, as_of), args.base)
+    save_base(load_base(spark, args.exports, as_of), args.base,
+              partition_by_week=args.partition_by_week)
     base = read_base(spark, args.base)
     fresh = latest_week(base, as_of, args.back_weeks).first()  # one row (D2)
     if fresh is not None:
         print(f"newest week loaded: {fresh.Year}-W{fresh.Semana}; reporting "
               f"{fresh.expected_year}-W{fresh.expected_week}; current: {fresh.is_current}")
-    written = write_reports(base, args.out, as_of, args.back_weeks)
+    written = write_reports(base, args.out, as_of, args.back_weeks,
+                            recent_only=args.recent_only)
     for name, path in written.items():
         print(f"{name}: {path}")
     return written
