@@ -136,3 +136,14 @@ def test_bad_years_load_and_are_reported(spark, tmp_path):
                           (99999, 10, None)], key=repr)
     flagged = sorted(((r.Year, r.Semana) for r in bad_weeks(base).collect()), key=repr)
     assert flagged == sorted([(0, 10), (2026, 54), (2026, None), (99999, 10)], key=repr)
+
+
+def test_windows_1252_export(spark, tmp_path):
+    d = tmp_path / "exports"
+    d.mkdir()
+    text = "Market export\n,,weekly\n" + HEADER + "\n" + DATA[0] + "\n"
+    (d / "w.csv").write_bytes(text.encode("cp1252"))
+    with pytest.raises(ExportFormatError):
+        load_base(spark, str(d), "2026-03-11")  # "Año" does not decode as UTF-8
+    base = load_base(spark, str(d), "2026-03-11", encoding="ISO-8859-1")
+    assert [r.Owner for r in base.collect()] == ["LA "]

@@ -29,6 +29,7 @@ def main(argv=None) -> dict[str, str]:
     ap.add_argument("--out", required=True, help="report folder")
     ap.add_argument("--as-of", default=None, help="run date (default: today, UTC)")
     ap.add_argument("--back-weeks", type=int, default=1, help="weeks back of the newest week")
+    ap.add_argument("--encoding", default="UTF-8", help="export character set (e.g. ISO-8859-1)")
     ap.add_argument("--partition-by-week", action="store_true",
                     help="lay the base table out by RelWeek")
     ap.add_argument("--recent-only", action="store_true",
@@ -37,7 +38,7 @@ def main(argv=None) -> dict[str, str]:
     as_of = (dt.date.fromisoformat(args.as_of) if args.as_of
              else dt.datetime.now(dt.timezone.utc).date())
     spark = SparkSession.builder.appName("weekshare-weekly").getOrCreate()
-    save_base(load_base(spark, args.exports, as_of), args.base,
+    save_base(load_base(spark, args.exports, as_of, encoding=args.encoding), args.base,
               partition_by_week=args.partition_by_week)
     base = read_base(spark, args.base)
     fresh = latest_week(base, as_of, args.back_weeks).first()  # one row (D2)

@@ -34,11 +34,18 @@ def _to_long(col: Column) -> Column:
         F.when(as_double == F.floor(as_double), F.floor(as_double).try_cast("long")))
 
 
-def read_export_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines of the export(s) as text columns plus the source file path."""
+def read_export_text(spark: SparkSession, path: str | list[str],
+                     encoding: str = "UTF-8") -> DataFrame:
+    """All lines of the export(s) as text columns plus the source file path.
+
+    ``encoding`` is the files' character set. Spreadsheet CSV exports are
+    often Windows-1252; ``ISO-8859-1`` reads their letters (such as "ñ" in
+    "Año") the same way, and it is one of the charsets Spark's CSV reader
+    accepts.
+    """
     return (spark.read.schema(EXPORT_TEXT_SCHEMA)
             .option("header", False).option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8")
+            .option("encoding", encoding)
             .csv(path)
             .withColumn("_file", F.col("_metadata.file_path")))
 
@@ -118,9 +125,14 @@ def prepare_base(export: DataFrame, as_of: DateLike,
 
 
 def load_base(spark: SparkSession, path: str | list[str], as_of: DateLike,
-              check: bool = True) -> DataFrame:
-    """Read weekly export file(s) into base-table rows."""
-    text = read_export_text(spark, path)
+              check: bool = True, encoding: str = "UTF-8") -> DataFrame:
+    """Read weekly export file(s) into base-table rows.
+
+    All files under ``path`` together form one export (a snapshot split into
+    parts); each file carries its own preamble and header. Point it at the
+    week's files only; the streaming refresh picks new files by itself.
+    """
+    text = read_export_text(spark, path, encoding)
     if check:
         check_export(text)
     return prepare_base(parse_export(text), as_of).select(*BASE_COLUMNS)
