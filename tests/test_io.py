@@ -102,8 +102,13 @@ def test_write_reports_files(spark, tmp_path):
     base = prepare_base(export_df(spark, [dict(Owner="LA ", Tons=2.0), dict(Owner="A ", Tons=1.0),
                                           dict(Owner="B ", Tons=1.0, PaisDestinoAWB="BRASIL",
                                                PostaDestinoAWB="GRU", Semana=8)]), "2026-03-11")
+    (tmp_path / "workbook.xlsx").write_bytes(b"keep me")
     written = write_reports(base, str(tmp_path), "2026-03-11", 1)
     assert set(written) == set(REPORTS)
+    assert (tmp_path / "workbook.xlsx").read_bytes() == b"keep me"  # other files are kept
+    # (the local file system keeps hidden .crc checksum files next to them)
+    assert sorted(f for f in os.listdir(tmp_path) if not f.startswith(".")) == [
+        "dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv", "workbook.xlsx"]
     awb = report(base, "awb", "2026-03-11", 1).collect()
     # EUR - GRU (base view) and EUR - SAO (SAO view) both appear once.
     assert sorted(r.Grupo for r in awb) == ["EUR - GRU", "EUR - LIM", "EUR - LIM", "EUR - SAO"]

@@ -66,10 +66,13 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
 
     Each report is one CSV file with a header and no index column; NaN
     shares are empty fields. A report is small (groups x shown carriers), so
-    each is written by one task into ``<out_dir>/report=<file name>/``. With
+    each is written by one task into the job's own staging folder
+    ``<out_dir>/_weekshare_reports/report=<file name>/``. With
     ``fixed_names`` that single file is then moved to ``<out_dir>/<file
     name>.csv``, the path a spreadsheet links to (a rename on the file
-    system; no data passes through the driver).
+    system; no data passes through the driver). Only those files are
+    replaced: anything else in ``out_dir`` (such as the workbook) is left
+    alone.
     """
     names = list(names or REPORTS)
     rows = report_rows(base, names, as_of, back_weeks, tons_type, recent_only)
@@ -79,6 +82,8 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
            .repartition("report")
            .sortWithinPartitions("report", "part", "Grupo", "Rank")
            .select("report", *REPORT_COLUMNS))
+    root = out_dir.rstrip("/")
+    staging = f"{root}/_weekshare_reports"
     (out.write.mode(mode)
      .partitionBy("report")
      .option("header", True)
@@ -86,13 +91,25 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
      .option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
-     .csv(out_dir))
-    root = out_dir.rstrip("/")
-    folders = {n: f"{root}/report={REPORTS[n][0]}" for n in names}
+     .csv(staging))
+    folders = {n: f"{staging}/report={REPORTS[n][0]}" for n in names}
     if not fixed_names:
         return folders
-    return {n: _publish(base.sparkSession, folder, f"{root}/{REPORTS[n][0]}.csv")
-            for n, folder in folders.items()}
+    published = {n: _publish(base.sparkSession, folder, f"{root}/{REPORTS[n][0]}.csv")
+                 for n, folder in folders.items()}
+    if all(p.endswith(".csv") for p in published.values()):
+        _remove(base.sparkSession, staging)
+    return published
+
+
+def _remove(spark, folder: str) -> None:
+    """Delete the job's staging folder (best effort)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # no JVM handle on this client; the folder stays
+        pass
 
 
 def _publish(spark, folder: str, target: str) -> str:
