@@ -37,11 +37,12 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text") -> DataFrame:
     t = turns.selectExpr(
-        f"`{conv_col}` AS conv_id", f"`{turn_col}` AS turn",
+        f"`{conv_col}` AS conv_id", f"coalesce('=' || cast(`{conv_col}` AS string), '') AS conv",
+        f"`{turn_col}` AS turn",
         f"coalesce(nullif(trim(`{role_col}`), ''), 'unknown') AS speaker",
         f"replace(coalesce(`{text_col}`, ''), '<|', '< |') AS body")
     t = t.selectExpr(
-        "conv_id", "turn", "speaker", "body",
+        "conv_id", "conv", "turn", "speaker", "body",
         f"coalesce(cast(floor(turn / {BLOCK}) AS long), -1) AS block",
         "lower(speaker) = 'system' AS is_system",
         "regexp_replace(speaker, '[^A-Za-z0-9_-]', '_') AS name")
@@ -49,34 +50,30 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     other = f"CASE WHEN is_system THEN '{OPEN}system\n' ELSE {user} END"
     own = f"'{OPEN}assistant\n'"
 
-    sums = (t.selectExpr("conv_id", "block", "speaker", "is_system",
+    sums = (t.selectExpr("conv", "block", "speaker", "is_system",
                          f"length({other}) + length(body) + {len(CLOSE)} AS width",
                          f"length({own}) - length({user}) AS gain")
-            .groupBy("conv_id", "block", "speaker", "is_system", "gain")
+            .groupBy("conv", "block", "speaker", "is_system", "gain")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("width")))
-    blocks = sums.groupBy("conv_id", "block").agg(F.sum("n").alias("n"), F.sum("width").alias("width"))
-    people = (sums.where("NOT is_system").groupBy("conv_id", "speaker")
-              .agg(F.first("gain").alias("gain"))
-              .withColumnRenamed("speaker", "perspective"))
+    blocks = sums.groupBy("conv", "block").agg(F.sum("n").alias("n"), F.sum("width").alias("width"))
+    people = (sums.where("NOT is_system").groupBy("conv", "speaker")
+              .agg(F.first("gain").alias("gain")).withColumnRenamed("speaker", "perspective"))
     spoken = sums.where("NOT is_system").selectExpr(
-        "conv_id AS c", "block AS b", "speaker AS s", "n AS own_n")
-    before = (Window.partitionBy("conv_id", "perspective").orderBy("block")
+        "conv", "block", "speaker AS perspective", "n AS own_n")
+    before = (Window.partitionBy("conv", "perspective").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = (blocks.join(people.withColumnRenamed("conv_id", "p_conv"),
-                          F.col("conv_id").eqNullSafe(F.col("p_conv")))
-              .join(spoken, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
-                    & (F.col("perspective") == F.col("s")), "left")
+    starts = (blocks.join(people, "conv")
+              .join(spoken, ["conv", "block", "perspective"], "left")
               .withColumn("own_n", F.coalesce("own_n", F.lit(0)))
-              .select(F.col("conv_id").alias("g_conv"), F.col("block").alias("g_block"), "perspective",
+              .select("conv", "block", "perspective",
                       F.coalesce(F.sum("n").over(before), F.lit(0)).alias("block_position"),
                       F.coalesce(F.sum(F.expr("width + gain * own_n")).over(before), F.lit(0))
                       .alias("block_start")))
-    rows = (t.join(starts, F.col("conv_id").eqNullSafe(F.col("g_conv"))
-                   & (F.col("block") == F.col("g_block")))
+    rows = (t.join(starts, ["conv", "block"])
             .withColumn("trained", F.expr("NOT is_system AND speaker = perspective"))
             .withColumn("head", F.expr(f"CASE WHEN trained THEN {own} ELSE {other} END"))
             .withColumn("n_chars", F.expr(f"length(head) + length(body) + {len(CLOSE)}").cast("long")))
-    inside = (Window.partitionBy("conv_id", "block", "perspective")
+    inside = (Window.partitionBy("conv", "block", "perspective")
               .orderBy(F.asc_nulls_first("turn"), "speaker", "body")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = (rows.withColumn("position", F.col("block_position") + F.count(F.lit(1)).over(inside) - 1)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import perspective, secrets
+from . import decontamination, packing, perspective, quality, secrets, sharding
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op4_hierarchical_quality": quality.op4_hierarchical_quality,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_greedy_tiling": decontamination.op7_greedy_tiling,
+    "op9_balanced_shards": sharding.op9_balanced_shards,
     "op10_perspective_rotation": perspective.op10_perspective_rotation,
 }
 
