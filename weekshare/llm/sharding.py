@@ -1,8 +1,9 @@
 """Balanced label propagation into shards (operator 9), DataFrame functions only.
 
-Documents with equal texts are linked. Every linked group starts spread
-evenly over the shards; then, round by round, each group votes for the shard
-that holds most of its members and the others ask to move there. Quotas per
+Documents with equal texts are linked. The linked groups start as even,
+contiguous stretches of one hash order, so few groups are cut; then, round by
+round, each group votes for the shard that holds most of its members and the
+others ask to move there. Quotas per
 (from, to) pair keep the sizes: opposite moves are exchanged one for one, the
 rest only fills free room. A full shard that had to refuse is closed, so a
 group larger than a shard fills the next one. Documents without links are
@@ -60,11 +61,14 @@ def propagate(groups: DataFrame, targets: list[int], rounds: int = ROUNDS) -> tu
     g = groups.withColumn("_b", F.pmod(F.xxhash64("grp"), F.lit(nb)))
     starts = offsets_before(g.groupBy("_b").agg(F.sum("n").alias("_n")), [], "_b", "_n").drop("_n")
     inside = Window.partitionBy("_b").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    linked = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
+    size, more = divmod(linked, k)
     state = (g.withColumn("_i", F.coalesce(F.sum("n").over(inside), F.lit(0)))
              .join(starts, "_b").withColumn("at", F.expr("before + _i"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-             .selectExpr("grp", "shard", f"cast(floor((at + n - 1 - shard) / {k}) "
-                         f"- floor((at - 1 - shard) / {k}) AS long) AS n").where("n > 0"))
+             .withColumn("lo", F.expr(f"shard * {size}L + least(shard, {more})"))
+             .withColumn("hi", F.expr(f"lo + {size}L + if(shard < {more}, 1, 0)"))
+             .selectExpr("grp", "shard", "least(at + n, hi) - greatest(at, lo) AS n").where("n > 0"))
     state = staged(state, "shard-state")
     load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     room = [targets[s] - load.get(s, 0) for s in range(k)]
