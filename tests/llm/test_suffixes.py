@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from weekshare.llm import chunks as C
+from weekshare.llm import suffixes as X
+
+from .cases import documents, mixed, words
+
+
+def brute(texts, ids):
+    """Every 100-byte string's first place in (id, row, offset) order."""
+    body = [(t or "").encode() for t in texts]
+    order = sorted(range(len(ids)), key=lambda x: (ids[x] is None, ids[x] or 0, x))
+    seen, out = set(), {}
+    for x in order:
+        b = body[x]
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - 99):
+            s = b[i:i + 100]
+            if s in seen:
+                gone[i:i + 100] = True
+            seen.add(s)
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = int((gone & ~np.append(False, gone[:-1])).sum()) if len(b) else 0
+        out[x] = (ids[x], len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    return sorted(out.values(), key=str)
+
+
+def repeated(seed=1):
+    rng = random.Random(seed)
+    passages = [words(rng, rng.randrange(20, 80), 5000) for _ in range(6)]
+    texts = mixed(seed, 12)
+    for _ in range(60):
+        parts = [words(rng, rng.randrange(0, 40), 5000) for _ in range(3)]
+        parts.insert(rng.randrange(4), rng.choice(passages))
+        parts.insert(rng.randrange(4), rng.choice(passages)[rng.randrange(50):])
+        texts.append(" ".join(parts))
+    texts += ["ab" * 300, "z" * 450, "z" * 99, "z" * 100, texts[20], texts[21][7:], "é" * 200]
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed, monkeypatch):
+    texts = repeated(seed)
+    ids = list(range(len(texts)))
+    random.Random(seed).shuffle(ids)
+    if seed == 2:
+        monkeypatch.setattr(X, "RANGE_BYTES", 4096)
+        monkeypatch.setattr(C, "CHUNK_BYTES", 4096)
+        monkeypatch.setattr(C.write_chunks, "__defaults__", (None, 4096, "doc_id", "text"))
+    got = X.drop_repeats(documents(spark, texts, ids)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(texts, ids)
+
+
+@pytest.mark.parametrize("texts,ids", [([], []), ([None], [None]), (["q" * 150, "q" * 150, "short"], [None, 3, None])])
+def test_edges(spark, texts, ids):
+    got = X.drop_repeats(documents(spark, texts, ids)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(texts, ids)
+
+
+def test_deep_shallow_order():
+    rng = random.Random(3)
+    strings = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(0, 100))) for _ in range(400)]
+    strings += [b"a" * 60 + bytes([rng.randrange(4) for _ in range(40)]) for _ in range(400)]
+    strings += strings[400:450]
+    m = X._rows(strings, 100)
+    order = X.deep_shallow(m)
+    assert sorted(order.tolist()) == list(range(len(strings)))
+    padded = [s.ljust(104, b"\0") for s in strings]
+    assert [padded[i] for i in order] == sorted(padded)
+    common = X.common_prefixes(m, order)
+    for k in range(1, len(order)):
+        a, b = padded[order[k - 1]], padded[order[k]]
+        n = next((i for i in range(104) if a[i] != b[i]), 104)
+        assert common[k] == n
+
+
+def test_every_string_has_one_anchor():
+    rng = random.Random(8)
+    texts = [words(rng, n, 50).encode() for n in (3, 40, 90)] + [b"", b"x" * 300]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    at, first, last, _ = X.anchors(data, offsets)
+    covered = np.concatenate([np.arange(f, z + 1) for f, z in zip(first, last)])
+    want = [o + i for o, t in zip(offsets, texts) for i in range(len(t) - 99)]
+    assert covered.tolist() == want
+    assert ((at >= last) & (at <= first + X.LENGTH - X.GRAM)).all()
+
+
+def test_keys_round_trip():
+    keys = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 999, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    assert (C.unpack_keys(C.pack_keys(keys)) == keys).all()
+    cuts = C.range_cuts(keys, 8)
+    assert cuts[0] == 0 and cuts[-1] == len(keys) and len(cuts) == 9
+    assert len(C.unpack_keys(b"")) == 0

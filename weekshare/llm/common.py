@@ -80,6 +80,8 @@ def number_rows(df: DataFrame, groups: list[str], key: str, out: str) -> DataFra
     df = df.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
     sums = offsets_before(df.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n")),
                           groups, "_b", "_n").drop("_n")
+    # By bucket too: else the join would deal the rows by group alone.
+    sums = sums.repartition(*groups, "_b")
     w = Window.partitionBy(*groups, "_b").orderBy(key)
     return (df.withColumn("_i", F.row_number().over(w) - 1)
             .join(sums, [*groups, "_b"])

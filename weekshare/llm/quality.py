@@ -36,7 +36,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import read_table, staged, text_batches
 from .tokens import flat, hash_words, lowered, split
 
-SAMPLE = 16_000         # labelled rows the models are fitted on, at most
+SAMPLE = 10_000         # labelled rows the models are fitted on, at most
 BITS = 18               # hashed words: 2 ** BITS weights per model
 BINS = 24               # per measure
 ROUNDS = 80             # gradient steps

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontamination, packing, perspective, quality, secrets, sharding
+from . import (decontamination, lm, minhash, packing, perspective, quality,
+               secrets, sharding, suffixes, winnowing)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_deleted_interpolation": lm.op2_deleted_interpolation,
+    "op3_minhash_near_duplicates": minhash.op3_minhash_near_duplicates,
     "op4_hierarchical_quality": quality.op4_hierarchical_quality,
+    "op5_deep_shallow_dedup": suffixes.op5_deep_shallow_dedup,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_greedy_tiling": decontamination.op7_greedy_tiling,
+    "op8_winnowing": winnowing.op8_winnowing,
     "op9_balanced_shards": sharding.op9_balanced_shards,
     "op10_perspective_rotation": perspective.op10_perspective_rotation,
 }

@@ -20,7 +20,8 @@ row of each range is passed to the range above it.
 Defined cases: a null text is empty; an empty text has an empty fingerprint
 (two empty ones are alike, 1.0; an empty and another one 0.0); a text shorter
 than ``k`` is one gram, one shorter than a window one window; null ids come
-last in the order; equal ids are ordered by text; more columns are ignored.
+last in the order; equal and null ids are ordered by a hash of the text; the
+only document is its own next one; more columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buckets_of, read_table
+from .common import buckets_of, read_table, staged
 
 GRAM = 8            # code points per k-gram
 WINDOW = 16         # k-grams per window; a power of two
@@ -88,51 +89,85 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .selectExpr("doc_id", f"{rendered('kept')} AS fingerprint"))
 
 
-def _id_range(docs: DataFrame, n: int) -> str:
-    """SQL: number of the id range of ``doc_id`` (-1 for null ids).
+def _ranges(ids: DataFrame, n: int) -> str:
+    """SQL: number of the range ``doc_id`` lies in; ranges of null ids (by the
+    hash ``s``) are below all others.
 
-    ``n`` quantiles of the ids at most are read by the driver; they are
-    searched in two levels, so each row compares with about ``2 * sqrt(n)``.
+    The driver reads at most ``n`` quantiles of the ids. They are searched in
+    two levels, so a row compares with about ``2 * sqrt(n)`` of them.
     """
-    marks = docs.selectExpr(
-        f"percentile_approx(doc_id, array({', '.join(str(i / n) for i in range(1, n))}), 10000) AS q").first()
-    marks = sorted(set(marks["q"] or [])) if marks else []
+    at = ", ".join(str(i / n) for i in range(1, n))
+    found = ids.agg(F.expr(f"percentile_approx(doc_id, array({at}), 10000)").alias("q")).first()["q"]
+    marks = sorted(set(found or []))
+    none = "cast(shiftrightunsigned(s, 57) AS int) - 64"
     if not marks:
-        return "CASE WHEN doc_id IS NULL THEN -1 ELSE 0 END"
+        return f"CASE WHEN doc_id IS NULL THEN {none} ELSE 0 END"
     width = max(1, round(len(marks) ** 0.5))
     groups = [marks[i:i + width] for i in range(0, len(marks), width)]
     tops = ", ".join(f"{g[0]}L" for g in groups)
     fine = ", ".join("array(" + ", ".join(f"{m}L" for m in g) + ")" for g in groups)
-    coarse = f"size(filter(array({tops}), m -> m <= doc_id))"
-    return (f"CASE WHEN doc_id IS NULL THEN -1 ELSE transform(array({coarse}), g -> CASE WHEN g = 0 "
-            f"THEN 0 ELSE (g - 1) * {width} + size(filter(array({fine})[g - 1], m -> m <= doc_id)) "
-            "END)[0] END")
+    return (f"CASE WHEN doc_id IS NULL THEN {none} ELSE transform(array(size(filter(array({tops}), "
+            f"m -> m <= doc_id))), g -> CASE WHEN g = 0 THEN 0 ELSE (g - 1) * {width} + "
+            f"size(filter(array({fine})[g - 1], m -> m <= doc_id)) END)[0] END")
+
+
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Window]:
+    """``doc_id, t, next_t`` (null at the end of a range: then ``head_t`` is it),
+    and the window that orders a range."""
+    spark = docs.sparkSession
+    rows = (docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"coalesce(`{text_col}`, '') AS t")
+            .withColumn("s", F.expr("shiftrightunsigned(xxhash64(t), 1)")))
+    part = _ranges(rows.select("doc_id"), min(4096, buckets_of(spark)))
+    rows = rows.withColumn("part", F.expr(part))
+    # The first row of each range, for the last row of the range before it:
+    # as many rows as ranges.
+    tops = staged(rows.groupBy("part").agg(F.max(F.struct("doc_id", "s")).alias("top")), "winnow-tops")
+    tops = F.broadcast(tops.withColumnRenamed("part", "top_part"))
+    heads = (rows.join(tops, F.expr("part = top_part AND doc_id <=> top.doc_id AND s = top.s"))
+             .groupBy("part").agg(F.max("t").alias("t")))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("part"))
+    heads = staged(heads.select(
+        F.col("part").alias("head_part"),
+        F.coalesce(F.lead("t").over(order), F.first("t").over(order)).alias("head_t")), "winnow-heads")
+    inside = Window.partitionBy("part").orderBy(F.desc_nulls_last("doc_id"), F.desc("s"), F.desc("t"))
+    rows = (rows.withColumn("next_t", F.lead("t").over(inside))
+            .join(heads, F.col("part") == F.col("head_part"))
+            .withColumn("head_t", F.expr("CASE WHEN next_t IS NULL THEN head_t END")))
+    return rows.select("part", "doc_id", "s", "t", "next_t", "head_t"), inside
 
 
 def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """Each text's and its edited text's fingerprint, and how alike they are."""
     span = w + k - 1
-    rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"coalesce(`{text_col}`, '') AS t")
-    part = _id_range(rows.select("doc_id"), min(1024, buckets_of(docs.sparkSession)))
-    # a: windows inside the part that stays; z: the others, which begin at ``cut``.
-    rows = (rows.withColumn("part", F.expr(part))
-            .withColumn("n", F.expr("length(t)")).withColumn("m", F.expr("cast(floor(n / 3) AS int)"))
+    rows, inside = with_next(docs, id_col, text_col)
+    order = ["part", "doc_id", "s", "t"]
+    # stay: the part both texts share, with all its windows; rest and edit: the
+    # text and the edited text from the first window that reaches further.
+    rows = (rows.withColumn("n", F.expr("length(t)")).withColumn("m", F.expr("cast(floor(n / 3) AS int)"))
             .withColumn("cut", F.expr(f"greatest(n - m - {span - 1}, 0)"))
-            .withColumn("stay", F.expr("substring(t, 1, n - m)"))
+            .withColumn("new_end", F.expr("substring(coalesce(next_t, head_t), 1, m)"))
+            .withColumn("stay", F.expr(f"CASE WHEN n - m < {span} THEN '' ELSE substring(t, 1, n - m) END"))
             .withColumn("rest", F.expr("substring(t, cut + 1, n)"))
-            .withColumn("a", F.expr(f"CASE WHEN n - m < {span} THEN array() ELSE "
-                                    f"{kept_hashes('stay', k=k, w=w)} END"))
-            .withColumn("z", F.expr(kept_hashes("rest", "cut", k, w)))
+            .withColumn("edit", F.expr("concat(substring(t, cut + 1, n - m - cut), new_end)"))
+            .withColumn("edited_sha256", F.expr("sha2(concat(substring(t, 1, n - m), new_end), 256)"))
+            .select(*order, "head_t", "n", "edited_sha256",
+                    F.expr(kept_hashes("stay", k=k, w=w)).alias("a"),
+                    F.expr(kept_hashes("rest", "cut", k, w)).alias("z"),
+                    F.expr(kept_hashes("edit", "cut", k, w)).alias("e"))
             .withColumn("kept", F.expr("array_distinct(concat(a, z))"))
-            .withColumn("h", F.expr(hashes("kept")))
-            .select("doc_id", "part", "t", "n", "m", "cut", "kept", "h"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("t")]
-    inside = Window.partitionBy("part").orderBy(*order)
-    rows = (rows.withColumn("next_t", F.lead("t").over(inside))
-            .withColumn("next_h", F.lead("h").over(inside)))
-    # The first row of each range: as many rows as ranges.
-    heads = (docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"coalesce(`{text_col}`, '') AS t")
-             .withColumn("part", F.expr(part)).groupBy("part")
-             .agg(F.max(F.struct("doc_id")).alias("top")).where("part >= 0"))
-    return rows, heads
+            .withColumn("kept_edited", F.expr("array_distinct(concat(a, e))"))
+            .withColumn("h", F.expr(hashes("kept"))).withColumn("he", F.expr(hashes("kept_edited")))
+            .select(*order, "head_t", "n", "edited_sha256", "h", "he",
+                    F.expr(rendered("kept")).alias("fingerprint"),
+                    F.expr(rendered("kept_edited")).alias("edited_fingerprint")))
+    return (rows.withColumn("hn", F.lead("h").over(inside))
+            .withColumn("hn", F.expr(f"CASE WHEN head_t IS NULL THEN hn ELSE "
+                                     f"{hashes(kept_hashes('head_t', k=k, w=w))} END"))
+            .selectExpr("doc_id", "cast(n AS long) AS n_chars", "edited_sha256", "fingerprint",
+                        "edited_fingerprint", f"{likeness('h', 'he')} AS near_edited",
+                        f"{likeness('h', 'hn')} AS near_next"))
+
+
+def op8_winnowing(spark, sf_dir: str) -> DataFrame:
+    return with_edited(read_table(spark, sf_dir, "documents"))
