@@ -76,7 +76,7 @@ def test_against_brute_force(spark, k, percent):
 def test_blocks_give_the_same(spark, monkeypatch):
     texts, ids = near_copies(5), None
     ids = list(range(len(texts)))
-    for name, value in (("BLOCK", 3), ("BLOCK_SHINGLES", 300), ("SMALL", 2)):
+    for name, value in (("BLOCK", 3), ("BLOCK_SHINGLES", 300), ("SMALL", 2), ("BROADCAST_ROWS", 0)):
         monkeypatch.setattr(M, name, value)
     got = M.near_duplicates(documents(spark, texts, ids), 3, 85).select("doc_id", "_n", "_component").collect()
     assert sorted(map(tuple, got)) == sorted(brute(texts, ids, 3, 85))

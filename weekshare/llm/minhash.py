@@ -49,6 +49,7 @@ BANDS = PERMS // ROWS
 BLOCK = 1024                # members compared with each other at a time
 BLOCK_SHINGLES = 400_000    # and their shingles
 SMALL = 32                  # buckets up to this size are compared row by row
+BROADCAST_ROWS = 400_000    # cluster members (48 bytes each) that may be broadcast
 
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 32, PERMS, dtype=np.uint32) | np.uint32(1)
@@ -338,9 +339,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     sized = staged(clusters.join(classes.select("cid", "rid", "n"), "cid"), "minhash-clusters")
     totals = sized.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
     body = rows.select(F.col("_rid").alias("rid"), F.col(f"`{text_col}`").alias("body"))
-    texts = (_block_pairs(sized.join(totals, "key"),
-                          f"greatest(ceil(m / {BLOCK}), ceil(s / {BLOCK_SHINGLES}))")
-             .select(*_PAIR, "block", "cid", "rid").join(body, "rid").drop("rid"))
+    wanted = staged(_block_pairs(sized.join(totals, "key"),
+                                 f"greatest(ceil(m / {BLOCK}), ceil(s / {BLOCK_SHINGLES}))")
+                    .select(*_PAIR, "block", "cid", "rid"), "minhash-wanted")
+    # Members are a small part of all rows: when they are few enough, their
+    # texts are picked where they lie instead of shuffling every text.
+    few = wanted.count() <= BROADCAST_ROWS
+    texts = body.join(F.broadcast(wanted) if few else wanted, "rid").drop("rid")
     links = components(_by_pair(texts).mapInArrow(_confirm(shingle_words, percent), "a long, b long"))
 
     least = (classes.select("digest", "cid", "least").join(links, F.col("cid") == F.col("node"), "left")
