@@ -54,21 +54,22 @@ BROADCAST_ROWS = 400_000    # cluster members (48 bytes each) that may be broadc
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 32, PERMS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, PERMS, dtype=np.uint32)
-_TILE = 8192                # shingles per step, so a step's minima stay in cache
 
 
 def minima(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """``PERMS`` minima per text over its distinct shingle hashes."""
-    out = np.full((len(offsets) - 1, PERMS), 0xFFFFFFFF, np.uint32)
+    """``PERMS`` minima per text over its distinct shingle hashes; one
+    permutation at a time, so each pass runs along the hashes."""
+    out = np.full((PERMS, len(offsets) - 1), 0xFFFFFFFF, np.uint32)
+    some = np.flatnonzero(np.diff(offsets))
+    starts = offsets[some]
     x = (h >> np.uint64(32)).astype(np.uint32)
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    for a in range(0, len(x), _TILE):
-        part = x[a:a + _TILE, None] * _A + _B
-        of = owner[a:a + _TILE]
-        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        rows = of[first]
-        out[rows] = np.minimum(out[rows], np.minimum.reduceat(part, first, axis=0))
-    return out
+    y = np.empty_like(x)
+    if len(some):
+        for j in range(PERMS):
+            np.multiply(x, _A[j], out=y)
+            np.add(y, _B[j], out=y)
+            out[j, some] = np.minimum.reduceat(y, starts)
+    return np.ascontiguousarray(out.T)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
