@@ -38,3 +38,23 @@ def same(a, b, tol=1e-12):
             return a == b
         return abs(a - b) <= tol * max(1.0, abs(a), abs(b))
     return a == b
+
+
+def three_branch(bucketed, part, weeks=5):
+    """The report's three branches as a literal append (U1), to check the
+    single-pass form: named competitors, the bucket and the home carrier."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from weekshare.operators.topn import BUCKET, HOME, NAMED
+    from weekshare.sources.schema import week_columns
+    sums = [F.sum(c).alias(c) for c in week_columns(weeks)]
+    keys = [*part, "OwnerGrpd"]
+
+    def branch(cls):
+        return bucketed.where(F.col("cls") == cls).groupBy(*keys).agg(*sums)
+
+    order = Window.partitionBy(*part).orderBy(F.col("W").desc_nulls_last(), F.col("OwnerGrpd").asc())
+    named = branch(NAMED).withColumn("Rank", F.row_number().over(order).cast("long"))
+    bucket = branch(BUCKET).withColumn("Rank", F.lit(BUCKET).cast("long"))
+    home = branch(HOME).withColumn("Rank", F.lit(HOME).cast("long"))
+    return named.unionByName(bucket).unionByName(home)

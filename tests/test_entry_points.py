@@ -16,10 +16,6 @@ def test_command_line_weekly_run(spark, tmp_path):
                     "--as-of", "2026-03-11", "--back-weeks", "1"])
     assert read_base(spark, base).count() == 4
     assert all(os.path.isfile(p) and p.endswith(".csv") for p in written.values())
-    written = main(["--exports", str(exports), "--base", base, "--out", out, "--as-of", "2026-03-11",
-                    "--partition-by-week", "--recent-only"])
-    assert read_base(spark, base).count() == 4
-    assert all(os.path.isfile(p) for p in written.values())
 
 
 def test_sql_views(spark, tmp_path):

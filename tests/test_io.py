@@ -6,8 +6,7 @@ import pytest
 
 from weekshare.plans.reports import REPORTS, report, write_reports
 from weekshare.session import shared_dir
-from weekshare.sources.export import ExportFormatError, load_base, read_export_text, reject_counts
-from weekshare.sources.report_csv import write_report_csv
+from weekshare.sources.export import ExportFormatError, load_base
 from weekshare.sources.schema import BASE_COLUMNS, BASE_SCHEMA, REPORT_COLUMNS
 from weekshare.sources.warehouse import ensure_table, read_base, save_base
 
@@ -31,12 +30,20 @@ DATA = [
 ]
 
 
+AS_OF = "2026-03-11"
+
+
+def refused(spark, path, **kw):
+    with pytest.raises(ExportFormatError) as e:
+        load_base(spark, path if isinstance(path, list) else str(path), AS_OF, **kw)
+    return e.value
+
+
 def test_load_export(spark, tmp_path):
-    d = tmp_path / "exports"
-    d.mkdir()
-    write_export(d / "week10.csv", DATA[:2])
-    write_export(d / "week11.csv", DATA[2:])
-    base = load_base(spark, str(d), "2026-03-11")
+    a, b = tmp_path / "part1.csv", tmp_path / "part2.csv"
+    write_export(a, DATA[:2])
+    write_export(b, DATA[2:])
+    base = load_base(spark, [str(a), str(b)], AS_OF)
     assert base.schema == BASE_SCHEMA
     rows = sorted(base.collect(), key=lambda r: r.Owner)
     assert [r.Owner for r in rows] == ["AV ", "B ", "C ", "LA "]
@@ -44,20 +51,64 @@ def test_load_export(spark, tmp_path):
     assert by_owner["B "].Tons is None  # NaN tons become NULL
     assert by_owner["C "].Semana == 52 and by_owner["C "].RelWeek == 52 - 52
     assert by_owner["LA "].RelWeek == 10
-    counts = {os.path.basename(r._file): r.rejects for r in reject_counts(read_export_text(spark, str(d))).collect()}
-    assert counts == {"week10.csv": 3, "week11.csv": 3}
 
 
-def test_export_with_wrong_preamble_or_header_fails(spark, tmp_path):
-    bad = tmp_path / "bad.csv"
-    with open(bad, "w") as f:
-        f.write(HEADER + "\n" + DATA[0] + "\n")
-    with pytest.raises(ExportFormatError):
-        load_base(spark, str(bad), "2026-03-11")
-    swapped = tmp_path / "swapped.csv"
-    write_export(swapped, DATA[:1], header=HEADER.replace("Año,Semana", "Semana,Año"))
-    with pytest.raises(ExportFormatError):
-        load_base(spark, str(swapped), "2026-03-11")
+def test_two_snapshots_are_not_added_up(spark, tmp_path):
+    write_export(tmp_path / "week10.csv", DATA[:2])
+    assert load_base(spark, str(tmp_path), AS_OF).count() == 2      # one file: fine
+    write_export(tmp_path / "week11.csv", DATA)
+    assert "one snapshot" in str(refused(spark, tmp_path))
+
+
+def test_preamble_of_any_length(spark, tmp_path):
+    for name, top in (("none", ""), ("blank", "Market export\n\n,,weekly\n\n"), ("long", "a\nb\nc\nd\n")):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(top + HEADER + "\n" + DATA[0] + "\n", encoding="utf-8")
+        assert load_base(spark, str(path), AS_OF).count() == 1, name
+
+
+@pytest.mark.parametrize("fault,text", [
+    ("header_missing", "Market export\n" + DATA[0]),
+    ("header_missing", HEADER.replace("Año,Semana", "Semana,Año") + "\n" + DATA[0]),
+    ("header_missing", HEADER.replace("Tipo Vuelo", "") + "\n" + DATA[0]),
+    ("second_header", HEADER + "\n" + DATA[0] + "\n" + HEADER),
+    ("stray_rows", HEADER + "\n" + DATA[0] + "\n" + DATA[1].replace("2026", "xx")),
+    ("stray_rows", DATA[0] + "\n" + HEADER),
+    ("unfit_tons", HEADER + "\n" + DATA[0].replace(",40", ',"1.234,5"')),
+    ("unfit_tons", HEADER + "\n" + DATA[0].replace(",40", ',"1,234.5"')),
+    ("unfit_tons", HEADER + "\n" + DATA[0].replace(",40", ",n/a")),
+    ("unfit_week", HEADER + "\n" + DATA[0].replace("2026,10", "2026,xx")),
+    ("malformed_rows", HEADER + "\n2026,10,Europe"),
+    ("malformed_rows", HEADER + "\n" + DATA[0] + ",13th"),
+    ("invalid_weeks", HEADER + "\n" + DATA[0].replace("2026,10", "2026,54")),
+    ("invalid_weeks", HEADER + "\n" + DATA[0].replace("2026,10", "99999,10")),
+    ("invalid_weeks", HEADER + "\n" + DATA[0].replace("2026,10", "2026,")),
+])
+def test_what_does_not_fit_refuses_the_load(spark, tmp_path, fault, text):
+    path = tmp_path / "w.csv"
+    path.write_text(text + "\n", encoding="utf-8")
+    good = tmp_path / "good.csv"
+    write_export(good, DATA)
+    error = refused(spark, [str(path), str(good)])
+    assert f"'{fault}': 1" in str(error) and "1 export file(s)" in str(error)
+    failures = error.failures.collect()
+    assert [os.path.basename(r._file) for r in failures] == ["w.csv"]
+    assert failures[0][fault] == 1
+
+
+def test_declared_decimal_comma(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    write_export(path, [DATA[0].replace(",40", ',"1234,5"'), DATA[1]])
+    assert "unfit_tons" in str(refused(spark, path))
+    base = load_base(spark, str(path), AS_OF, decimal_mark=",")
+    assert sorted(r.Tons for r in base.collect()) == [15.0, 1234.5]
+    write_export(path, [DATA[0].replace(",40", ',"1.234,5"')])
+    assert "unfit_tons" in str(refused(spark, path, decimal_mark=","))
+
+
+def test_empty_export_is_refused(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("")
+    assert "no rows" in str(refused(spark, tmp_path / "w.csv"))
 
 
 def test_save_and_read_base_table(spark, tmp_path):
@@ -76,26 +127,6 @@ def test_save_and_read_base_table(spark, tmp_path):
     assert read_base(spark, "weekshare_test_base").count() == 4
 
 
-def test_report_csv(spark, tmp_path):
-    rows = [("1B", 1, "B", "x", 0.5, float("nan"), None, float("inf"), 0.25, 2.0, 0.0, None, 1.0, 1.0, 1),
-            ("0B", 0, "B", "LA", 0.5, float("nan"), None, float("-inf"), 0.75, 2.0, 0.0, None, -1.0, 3.0, 1),
-            ("0A", 0, "A", "LA ", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0)]
-    schema = ("excelKEY string, Rank long, Grupo string, OwnerGrpd string, Wr double, Wm1r double, "
-              "Wm2r double, Wm3r double, Wm4r double, W double, Wm1 double, Wm2 double, Wm3 double, "
-              "Wm4 double, part int")
-    df = spark.createDataFrame(rows, schema)
-    out = str(tmp_path / "report")
-    write_report_csv(df, out)
-    files = [f for f in os.listdir(out) if f.endswith(".csv")]
-    assert len(files) == 1
-    lines = open(os.path.join(out, files[0]), encoding="utf-8").read().splitlines()
-    assert lines[0] == ",".join(REPORT_COLUMNS)
-    # Part 0 first, then group and rank order; NaN and NULL as empty fields.
-    assert lines[1].startswith("0A,0,A,LA ,")
-    assert lines[2].split(",")[:8] == ["0B", "0", "B", "LA", "0.5", "", "", "-Infinity"]
-    assert lines[3].split(",")[:4] == ["1B", "1", "B", "x"]
-
-
 def test_write_reports_files(spark, tmp_path):
     from helpers import export_df
     from weekshare.sources.export import prepare_base
@@ -124,23 +155,63 @@ def test_write_reports_files(spark, tmp_path):
         "dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv"]
 
 
-def test_bad_years_load_and_are_reported(spark, tmp_path):
-    from weekshare.plans.quality import bad_weeks
-    d = tmp_path / "exports"
-    d.mkdir()
-    rows = DATA[:1] + [
-        "0,10,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
-        "99999,10,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
-        "2026,1e30,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
-        "2026,54,Europe,Europe,EU_DE,ALEMANIA,ALEMANIA,PERU,LIM,PAX,A ,1",
-    ]
-    write_export(d / "w.csv", rows)
-    base = load_base(spark, str(d), "2026-03-11")
-    got = sorted(((r.Year, r.Semana, r.RelWeek) for r in base.collect()), key=repr)
-    assert got == sorted([(0, 10, None), (2026, 10, 10), (2026, 54, 54), (2026, None, None),
-                          (99999, 10, None)], key=repr)
-    flagged = sorted(((r.Year, r.Semana) for r in bad_weeks(base).collect()), key=repr)
-    assert flagged == sorted([(0, 10), (2026, 54), (2026, None), (99999, 10)], key=repr)
+def test_reports_are_published_every_week(spark, tmp_path):
+    from helpers import export_df
+    from weekshare.sources.export import prepare_base
+    rows = prepare_base(export_df(spark, [dict(Owner="LA ", Tons=2.0), dict(Owner="A ", Tons=1.0)]), AS_OF)
+    write_reports(rows, str(tmp_path), AS_OF, 1)
+    full = {n: (tmp_path / f"{REPORTS[n][0]}.csv").read_text() for n in REPORTS}
+    assert all(len(t.splitlines()) > 1 for t in full.values())
+    # Without rows each file is the header alone, and nothing else is left.
+    written = write_reports(rows.where("Owner = 'nobody'"), str(tmp_path), AS_OF, 1)
+    for n, path in written.items():
+        assert open(path, encoding="utf-8").read().splitlines() == [",".join(REPORT_COLUMNS)]
+    visible = sorted(f for f in os.listdir(tmp_path) if not f.startswith("."))
+    assert visible == ["dfWeekAWB.csv", "dfWeekFeeder.csv", "dfWeekGTWY.csv"]
+    # One report with rows, the others without.
+    feeder = prepare_base(export_df(spark, [dict(RegionOrigenAWB="Asia", ZonaOrigenAWB="AS_China",
+                                                 RegionOrigenSegmento=None, PaisOrigenSegmento=None)]), AS_OF)
+    write_reports(feeder, str(tmp_path), AS_OF, 1)
+    sizes = {f: len((tmp_path / f).read_text().splitlines()) for f in visible}
+    assert sizes == {"dfWeekAWB.csv": 1, "dfWeekFeeder.csv": 2, "dfWeekGTWY.csv": 1}
+
+
+def test_nan_and_infinite_shares_in_the_file(spark, tmp_path):
+    from helpers import export_df
+    from weekshare.sources.export import prepare_base
+    rows = [dict(Owner="LA ", Tons=5.0), dict(Owner="X ", Tons=-5.0)]
+    written = write_reports(prepare_base(export_df(spark, rows), AS_OF), str(tmp_path), AS_OF, 1, ["awb"])
+    lines = [x.split(",") for x in open(written["awb"], encoding="utf-8").read().splitlines()]
+    by_rank = {x[1]: x for x in lines[1:]}
+    assert by_rank["0"][4:6] == ["Infinity", ""] and by_rank["1"][4:6] == ["-Infinity", ""]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    from helpers import export_df
+    from pyspark.sql import functions as F
+    from weekshare.sources.export import prepare_base
+    path = str(tmp_path / "base")
+    base = prepare_base(export_df(spark, [dict(Owner="LA "), dict(Owner="A ")]), AS_OF)
+    save_base(base, path)
+    with pytest.raises(Exception):
+        save_base(base.withColumn("Owner", F.raise_error(F.lit("stop"))), path)
+    assert read_base(spark, path).count() == 2
+    assert sorted(os.listdir(tmp_path)) == ["base"]
+
+
+def test_weekly_run_from_the_command_line(spark, tmp_path, capsys):
+    from weekshare.__main__ import main
+    write_export(tmp_path / "w.csv", DATA + [DATA[0].replace("PERU,LIM", "BRASIL,GRU")])
+    args = ["--base", str(tmp_path / "base"), "--out", str(tmp_path / "out"), "--as-of", AS_OF]
+    main(["--exports", str(tmp_path / "w.csv"), *args])
+    said = capsys.readouterr().out
+    assert "newest week loaded: 2026-W10; reporting 2026-W10; current: True" in said
+    assert "late airport GRU, 2026: weeks [10]" in said
+    before = read_base(spark, str(tmp_path / "base")).count()
+    write_export(tmp_path / "bad.csv", DATA + [DATA[0].replace("2026,10", "99999,10")])
+    with pytest.raises(ExportFormatError, match="invalid_weeks"):
+        main(["--exports", str(tmp_path / "bad.csv"), *args])
+    assert read_base(spark, str(tmp_path / "base")).count() == before
 
 
 def test_windows_1252_export(spark, tmp_path):
@@ -150,5 +221,5 @@ def test_windows_1252_export(spark, tmp_path):
     (d / "w.csv").write_bytes(text.encode("cp1252"))
     with pytest.raises(ExportFormatError):
         load_base(spark, str(d), "2026-03-11")  # "Año" does not decode as UTF-8
-    base = load_base(spark, str(d), "2026-03-11", encoding="ISO-8859-1")
+    base = load_base(spark, str(d), AS_OF, encoding="ISO-8859-1")
     assert [r.Owner for r in base.collect()] == ["LA "]

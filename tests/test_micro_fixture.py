@@ -166,15 +166,6 @@ def test_decimal_sums_make_shared_rows_identical(spark):
     assert la.W == 0.6 and isinstance(la.W, float)
 
 
-def test_append_dedup_keeps_first_part(spark):
-    from weekshare.operators.setops import append_dedup
-    a = spark.createDataFrame([("x", 1.0), ("y", float("nan")), ("z", None)], "k string, v double")
-    b = spark.createDataFrame([("x", 1.0), ("y", float("nan")), ("z", None), ("w", 2.0)], "k string, v double")
-    got = {r.k: r.part for r in append_dedup(a, b).collect()}
-    # Equal rows (NULL = NULL, NaN = NaN) keep the first part; new rows are part 1.
-    assert got == {"x": 0, "y": 0, "z": 0, "w": 1}
-
-
 def test_country_beats_airport_and_null_segment_country(spark):
     rows = [dict(PaisDestinoAWB="CHILE", PostaDestinoAWB="GRU", Owner="LA ", Tons=1.0),
             # NULL segment country: "!= 'USA'" is unknown, so only the waybill
@@ -200,22 +191,45 @@ def test_nan_tons_count_as_null_even_without_the_loader(spark):
     assert got == {"LA": (0, 5.0), "B": (1, 1.0), "A": (2, None)}
 
 
-def test_recent_only_prefilter_is_opt_in_and_prunes_week_partitions(spark, tmp_path):
-    import re
-    from weekshare.sources.warehouse import read_base, save_base
-    rows = [dict(LIM, Owner="LA ", Tons=5.0), dict(LIM, Owner="A ", Tons=3.0),
-            dict(LIM, Owner="OLD ", Tons=9.0, Semana=2),          # outside the five weeks
-            dict(GRU, Owner="LA ", Tons=4.0, Semana=8),           # lagged week 8 is W for GRU
-            dict(GRU, Owner="Z ", Tons=1.0, Semana=10)]           # week 10 is outside GRU's window
-    path = str(tmp_path / "base_by_week")
-    save_base(prepare_base(export_df(spark, rows), AS_OF), path, partition_by_week=True)
-    base = read_base(spark, path)
-    full = {(r.Grupo, r.OwnerGrpd): r.W for r in market_share(base, AWB, AS_OF, 1).collect()}
-    recent_df = market_share(base, AWB, AS_OF, 1, recent_only=True)
-    recent = {(r.Grupo, r.OwnerGrpd): r.W for r in recent_df.collect()}
-    # By default carriers without tons in the five weeks still form rows.
-    assert full[("EUR - LIM", "OLD")] == 0.0 and full[("EUR - GRU", "Z")] == 0.0
-    assert recent == {k: v for k, v in full.items() if k not in {("EUR - LIM", "OLD"), ("EUR - GRU", "Z")}}
-    plan = recent_df._sc._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
-        recent_df._jdf.queryExecution(), "formatted")
-    assert re.search(r"PartitionFilters: \[.*RelWeek", plan)
+def test_single_pass_equals_the_literal_union(spark):
+    from helpers import three_branch
+    from weekshare.operators.collapse import collapse_buckets
+    from weekshare.plans.market_share import PART, bucketed_rows
+    views = [AWB, AWB_SAO, GATEWAY, GATEWAY_SAO, FEEDER]
+    bucketed = bucketed_rows(prepare_base(export_df(spark, micro_rows()), AS_OF), views, AS_OF, 1)
+    cols = ["view", "Rank", "Grupo", "OwnerGrpd", "W", "Wm1", "Wm2", "Wm3", "Wm4"]
+    one = collapse_buckets(bucketed, PART).select(*cols).collect()
+    three = three_branch(bucketed, PART).select(*cols).collect()
+    assert sorted(map(str, one)) == sorted(map(str, three))
+
+
+def test_threshold_of_a_null_label_by_number_of_prefixes(spark):
+    from dataclasses import replace
+    want = {0: {None: 5, "ASIA - X": 5, "EUR - X": 5, "Z": 5},
+            1: {None: 10, "ASIA - X": 10, "EUR - X": 5, "Z": 5},
+            2: {None: 10, "ASIA - X": 10, "EUR - X": 7, "Z": 5}}
+    for n, expected in want.items():
+        view = replace(FEEDER, topn_prefix=(("ASIA", 10), ("EUR", 7))[:n])
+        df = spark.createDataFrame([(g,) for g in expected], "Grupo string")
+        got = df.selectExpr("Grupo", f"{view.threshold_sql()} AS n").collect()
+        assert {r.Grupo: r.n for r in got} == expected
+
+
+def test_old_carriers_keep_their_rank(spark):
+    # A carrier without tons in the five weeks still takes a place.
+    rows = [dict(LIM, Owner=f"{o} ", Tons=t) for o, t in (("A", 9.0), ("B", 8.0), ("M", 1.0))]
+    rows += [dict(LIM, Owner="OLD ", Tons=5.0, Semana=2), dict(LIM, Owner="N ", Tons=0.5)]
+    got = {r.OwnerGrpd: (r.Rank, r.W) for r in run(spark, AWB, rows).collect()}
+    assert got == {"A": (1, 9.0), "B": (2, 8.0), "M": (3, 1.0), "N": (4, 0.5), "Otros": (99, 0.0)}
+
+
+def test_newest_week_across_the_year_boundary(spark):
+    from weekshare.plans.quality import lagged_weeks, latest_week
+    rows = [dict(LIM, Year=2020, Semana=53), dict(GRU, Year=2020, Semana=52), dict(LIM, Year=2019, Semana=52)]
+    bad = [dict(LIM, Year=99999, Semana=10), dict(LIM, Year=2020, Semana=54), dict(LIM, Year=None, Semana=1)]
+    base = prepare_base(export_df(spark, rows + bad), "2021-01-06")
+    r = latest_week(base, "2021-01-06", 1).first()
+    assert tuple(r) == (2020, 53, 2020, 53, True)
+    assert tuple(latest_week(base, "2021-01-13", 1).first()) == (2020, 53, 2021, 1, False)
+    assert tuple(latest_week(base.where("Year = 99999"), "2021-01-13", 1).first()) == (None, None, 2021, 1, False)
+    assert [tuple(x) for x in lagged_weeks(base).collect()] == [(2020, "GRU", 52, 1)]

@@ -95,9 +95,37 @@ def test_fixture_never_broadcasts_fact_tables(spark):
             assert j >= 0 and "BroadcastExchange" not in lines[j], lines[j]
 
 
+def test_sao_view_alone_pushes_its_own_destinations(spark, base_path):
+    df = market_share(read_base(spark, base_path), VIEWS["awb_sao"], catalog.AS_OF, 1)
+    pushed = re.search(r"PushedFilters: \[(.*)\]", initial_plan(df)).group(1)
+    assert "In(PostaDestinoAWB, [GRU,VCP])" in pushed.replace("VCP,GRU", "GRU,VCP")
+    assert "CHILE" not in pushed and "LIM" not in pushed
+
+
+def test_fixture_filters_rows_before_the_fact_shuffle(spark):
+    text = simple_plan(catalog.QUERIES["view_gateway"](spark, SF0001)).split("== Initial Plan ==")[-1]
+    lines = text.splitlines()
+    indent = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "FileScan parquet [l_orderkey" in line)
+    above, level = [], indent[at]
+    for i in range(at - 1, -1, -1):
+        if indent[i] < level:
+            level = indent[i]
+            above.append(lines[i])
+    joins = [x for x in above if "Join" in x or "Exchange hashpartitioning(l_orderkey" in x]
+    first = next(i for i, x in enumerate(joins) if "Exchange" in x)
+    assert first == 2, joins          # part and origin first, then the shuffle by order
+
+
+def test_three_branches_need_one_scan_in_the_initial_plan(spark):
+    text = initial_plan(catalog.QUERIES["three_branch_union"](spark, SF0001)).split("\n\n")[0]
+    assert text.count("Scan parquet") == 4    # lineitem, part, orders, customer
+
+
 def test_every_registered_query_scans_the_fact_table_once(spark):
-    import __spark_entry__ as entry
-    for name, q in entry.queries().items():
+    for name, q in catalog.QUERIES.items():
+        if name.startswith("export_"):
+            continue                  # renders files: rows, and the list of files
         df = q(spark, SF0001)
         df.collect()
         final = plan_text(df).split("== Initial Plan ==")[0]

@@ -2,43 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-NAN = float("nan")
-POS_INF = float("inf")
-NEG_INF = float("-inf")
-
-
-def ieee_divide(x, t) -> Column:
-    """``x / t`` with IEEE results where plain ANSI division would fail.
-
-    NULL in -> NULL; NaN in -> NaN; 0/0 -> NaN; x/0 -> +/-Infinity by the sign
-    of ``x`` (a negative-zero denominator counts as +0). The NaN arm comes
-    before the sign tests because Spark orders NaN above every number.
-    """
-    x = F.col(x) if isinstance(x, str) else x
-    t = F.col(t) if isinstance(t, str) else t
-    x = x.cast("double")
-    t = t.cast("double")
-    return (
-        F.when(x.isNull() | t.isNull(), F.lit(None).cast("double"))
-        .when(F.isnan(x) | F.isnan(t), F.lit(NAN))
-        .when(t == 0.0,
-              F.when(x == 0.0, F.lit(NAN))
-              .when(x > 0.0, F.lit(POS_INF))
-              .otherwise(F.lit(NEG_INF)))
-        .otherwise(x / t)
-    )
-
-
 def ieee_divide_sql(x: str, t: str) -> str:
-    """SQL text of ``ieee_divide`` over two SQL expressions."""
+    """``x / t`` over two SQL expressions, with IEEE results where plain ANSI
+    division would fail: NULL in -> NULL; NaN in -> NaN; 0/0 -> NaN; x/0 ->
+    +/-Infinity by the sign of ``x`` (a negative-zero denominator counts as
+    +0). The NaN arm comes before the sign tests because Spark orders NaN
+    above every number.
+    """
     x, t = f"CAST({x} AS DOUBLE)", f"CAST({t} AS DOUBLE)"
     return (f"CASE WHEN {x} IS NULL OR {t} IS NULL THEN CAST(NULL AS DOUBLE) "
             f"WHEN isnan({x}) OR isnan({t}) THEN CAST('NaN' AS DOUBLE) "
             f"WHEN {t} = 0.0D THEN CASE WHEN {x} = 0.0D THEN CAST('NaN' AS DOUBLE) "
             f"WHEN {x} > 0.0D THEN CAST('Infinity' AS DOUBLE) ELSE CAST('-Infinity' AS DOUBLE) END "
             f"ELSE {x} / {t} END")
-
-

@@ -86,6 +86,17 @@ def rel_week_sql(semana: str, year: str, as_of: DateLike) -> str:
     return f"CAST(CAST({semana} AS BIGINT) - {delta} AS BIGINT)"
 
 
+def expected_week_sql(date: str, back_weeks: int) -> tuple[str, str]:
+    """ISO year and week that a run on ``date`` reports as its newest."""
+    day = f"date_sub({date}, {7 * int(back_weeks)})"
+    return iso_year_sql(day), iso_week_sql(day)
+
+
+def week_monday_sql(semana: str, year: str) -> str:
+    """Monday of an ISO week; NULL for a year outside 1..9999."""
+    return f"date_add({_iso_year_start_sql(year)}, CAST(7 * ({semana} - 1) AS INT))"
+
+
 # --- Python values --------------------------------------------------------------
 
 def anchor_value(as_of: DateLike, back_weeks: int = 1) -> int:
@@ -114,6 +125,11 @@ def anchor_week(as_of: DateLike, back_weeks: int = 1) -> Column:
     return F.lit(anchor_value(as_of, back_weeks)).cast("long")
 
 
+def expected_week(as_of: DateLike, back_weeks: int = 1) -> tuple[Column, Column]:
+    year, week = expected_week_sql(date_sql(as_of), back_weeks)
+    return F.expr(year), F.expr(week)
+
+
 def weeks_in_year(year: str) -> Column:
     return F.expr(weeks_in_year_sql(ident(year)))
 

@@ -143,11 +143,16 @@ def destination(fallback: str = FALLBACK) -> Column:
     return F.expr(destination_sql(fallback))
 
 
-def destination_tracked_sql() -> str:
-    """Raw-column form of ``destination() != fallback``; pushable to Parquet
-    (NULL where unknown, which a WHERE clause treats as FALSE)."""
-    return (f"(`PaisDestinoAWB` IN {in_list(DEST_COUNTRIES)} "
-            f"OR `PostaDestinoAWB` IN {in_list(DEST_AIRPORTS)})")
+def destination_tracked_sql(only: tuple | None = None) -> str:
+    """Raw-column form of ``destination() != fallback``, or of ``destination()
+    IN only``, for the scan; pushable to Parquet (NULL where unknown, which a
+    WHERE clause treats as FALSE). It may keep a row whose country beats the
+    airport; the exact test follows on the classified row."""
+    countries = [c for c in DEST_COUNTRIES if only is None or c in only]
+    airports = [a for a in DEST_AIRPORTS if only is None or a in only]
+    tests = ([f"`PaisDestinoAWB` IN {in_list(countries)}"] if countries else []) + (
+        [f"`PostaDestinoAWB` IN {in_list(airports)}"] if airports else [])
+    return f"({' OR '.join(tests) or 'FALSE'})"
 
 
 @dataclass(frozen=True)

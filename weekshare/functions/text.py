@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sqltext import lit
+
 # Characters with the Unicode White_Space property. The warehouse TRIM strips
 # all of them; Spark's one-argument ``trim`` strips only U+0020, so the set is
 # passed explicitly and the work stays a native string trim.
@@ -42,11 +42,9 @@ def recode(col, mapping: dict[str, str] = CARRIER_RECODE) -> Column:
 
 # Pattern removed from export header names (white space,
 # leading digits, parentheses and ampersands).
-_HEADER_JUNK = re.compile(r"\s+|^\d+|\(|\)|&")
-
-
-def clean_header(name: str) -> str:
-    """Normalise one header name of a source export."""
-    return _HEADER_JUNK.sub("", name)
+HEADER_JUNK = r"(?U)\s+|^\d+|\(|\)|&"
 
 
+def clean_header_sql(cell: str) -> str:
+    """One header cell normalised."""
+    return f"regexp_replace(coalesce({cell}, ''), {lit(HEADER_JUNK)}, '')"

@@ -41,9 +41,11 @@ def week_sums_sql(anchor: int, lag_weeks: dict[str, int], weeks: int = 5,
                   rel_week: str = "`RelWeek`", tons_type: str = "double") -> list[str]:
     """``sum(CASE WHEN offset = i THEN Tons ELSE 0 END) AS <week i>``.
 
-    ``tons_type`` is the type summed in: ``double`` (default) or a decimal
-    such as ``decimal(18,6)``, whose sums do not depend on the order rows
-    are added in (exact duplicate removal across views, N22).
+    ``tons_type`` is the type summed in: ``double`` (default) or a decimal,
+    whose sums do not depend on the order rows are added in (exact duplicate
+    removal across views, N22). A decimal rounds each row's tons half up to
+    its scale, and a row beyond its range stops the report with an error:
+    ``decimal(38,6)`` holds tons below 1e32 to a millionth.
     """
     offset = offset_sql(anchor, lag_weeks, dest, rel_week)
     # NaN tons count as NULL even if the loader was bypassed.

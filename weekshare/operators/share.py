@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.arith import ieee_divide_sql
 from ..functions.sqltext import ident
@@ -27,14 +26,10 @@ def share_of_group(df: DataFrame, part: list[str], weeks: int = 5) -> DataFrame:
           for i, (w, r) in enumerate(zip(wk, share_columns(weeks)))])
 
 
+# ``excelKEY``: the rank as text followed by the group label.
 REPORT_KEY_SQL = "concat(CAST(`Rank` AS STRING), `Grupo`)"
 
 
-def report_key() -> Column:
-    """``excelKEY``: the rank as text followed by the group label."""
-    return F.expr(REPORT_KEY_SQL)
-
-
 def format_report(df: DataFrame) -> DataFrame:
     """Sink form of a report: NaN shares become NULL (empty CSV fields)."""
     cols = []

@@ -65,6 +65,8 @@ base AS (
           date_trunc('week', make_date({CUR_YEAR}::INT, 1, 4))) // 7 AS d FROM export) e
 )"""
 
+# The reporting rules below (destination, origins, labels and
+# thresholds) must equal the source system's codes and labels.
 DESTINO = ("CASE WHEN PaisDestinoAWB IN ('CHILE') THEN PaisDestinoAWB "
            "WHEN PostaDestinoAWB IN ('GRU', 'VCP', 'LIM') THEN PostaDestinoAWB ELSE 'Otros' END")
 
@@ -249,6 +251,15 @@ def _tracked_sql() -> str:
     return _with() + "\nUNION ALL\n".join(selects)
 
 
+# A row's week is a real ISO week.
+VALID = "Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28))"
+# The day whose ISO week a run reports as its newest.
+REPORTED = f"(DATE '{AS_OF}' - {7 * BACK_WEEKS})"
+# The rendered export files: one per year and last digit of the tons.
+_RENDERED = """rendered AS (SELECT *, Year || '-' || f || '.csv' AS _file, f = 8 AND Semana > 50 AS stray,
+  CASE f WHEN 6 THEN 0 WHEN 7 THEN 2 ELSE 1 END::BIGINT AS heads
+  FROM (SELECT *, trunc(Tons)::INT % 10 AS f FROM export) e)"""
+
 ORACLE: dict[str, str] = {
     "base_scan": base_sql("SELECT * FROM base"),
     "weeks_in_year": base_sql(
@@ -298,13 +309,40 @@ ORACLE: dict[str, str] = {
     "report_feeder": report_sql("feeder", None),
     "report_gateway": report_sql("gateway", "gateway_sao"),
     "latest_week": base_sql(
-        f"SELECT Year, max(Semana) AS Semana, {CUR_YEAR}::BIGINT AS expected_year, "
-        f"{ANCHOR}::BIGINT AS expected_week, "
-        f"coalesce(Year = {CUR_YEAR} AND max(Semana) = {ANCHOR}, FALSE) AS is_current "
-        "FROM base WHERE Year = (SELECT max(Year) FROM base) GROUP BY Year"),
+        f"SELECT Year, max(Semana) AS Semana, isoyear({REPORTED})::BIGINT AS expected_year, "
+        f"weekofyear({REPORTED})::BIGINT AS expected_week, "
+        f"coalesce(Year = isoyear({REPORTED}) AND max(Semana) = weekofyear({REPORTED}), FALSE) AS is_current "
+        f"FROM base WHERE {VALID} AND Year = (SELECT max(Year) FROM base WHERE {VALID}) GROUP BY Year"),
     "lagged_weeks": base_sql(
         "SELECT Year, PostaDestinoAWB, Semana, count(*) AS n FROM base "
         "WHERE PostaDestinoAWB IN ('GRU', 'VCP') AND Year = (SELECT max(Year) FROM base) GROUP BY ALL"),
+    "week_validity": base_sql(
+        "SELECT Year, Semana, weekofyear(make_date(Year::INT, 12, 28))::BIGINT AS weeks, "
+        f"coalesce({VALID}, FALSE) AS valid, count(*) AS n FROM base GROUP BY Year, Semana"),
+    "expected_week": base_sql(
+        "SELECT Year, Semana, strftime(run, '%Y-%m-%d') AS run_date, "
+        f"isoyear(run - {7 * BACK_WEEKS})::BIGINT AS expected_year, "
+        f"weekofyear(run - {7 * BACK_WEEKS})::BIGINT AS expected_week FROM (SELECT DISTINCT Year, Semana, "
+        "(date_trunc('week', make_date(Year::INT, 1, 4))::DATE + (7 * (Semana - 1))::INT)::DATE AS run "
+        "FROM base) r"),
+    "export_parse": _with(_RENDERED) + """SELECT _file, Year, CASE WHEN f = 3 AND Semana = 51 THEN NULL
+    WHEN f = 4 AND Semana = 50 THEN 60 ELSE Semana END AS Semana, PostaDestinoAWB, Owner,
+  CASE WHEN f IN (1, 2) THEN NULL ELSE Tons END AS Tons, f = 3 AND Semana = 51 AS _unfit_week,
+  f IN (1, 2) AS _unfit_tons, f = 5 AND Semana = 9 AS _malformed
+FROM rendered WHERE NOT stray""",
+    "export_rejects": _with(_RENDERED) + """SELECT *, header_missing + second_header + stray_rows + malformed_rows
+  + unfit_week + unfit_tons + invalid_weeks = 0 AS ok FROM (
+  SELECT _file, count(*) + 2 + heads AS rows, count(*) FILTER (WHERE NOT stray) AS data_rows,
+    count(*) FILTER (WHERE stray) + 2 + heads AS rejects,
+    CASE WHEN heads = 0 THEN 1 ELSE 0 END::BIGINT AS header_missing,
+    CASE WHEN heads = 2 THEN 1 ELSE 0 END::BIGINT AS second_header,
+    (CASE WHEN heads > 0 AND f <> 9 AND count(*) FILTER (WHERE stray) > 0 THEN 1 ELSE 0 END
+     + CASE WHEN f = 9 AND count(*) FILTER (WHERE NOT stray) > 0 THEN 1 ELSE 0 END)::BIGINT AS stray_rows,
+    count(*) FILTER (WHERE f = 5 AND Semana = 9) AS malformed_rows,
+    count(*) FILTER (WHERE f = 3 AND Semana = 51) AS unfit_week,
+    count(*) FILTER (WHERE f IN (1, 2)) AS unfit_tons,
+    count(*) FILTER (WHERE f = 4 AND Semana = 50) AS invalid_weeks
+  FROM rendered GROUP BY _file, f, heads) s""",
     "bad_weeks": base_sql(
         "SELECT Year, Semana, count(*) AS n FROM base "
         "WHERE NOT coalesce(Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28)), FALSE) "

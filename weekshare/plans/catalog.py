@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.calendar import anchor_week, iso_year, rel_week, weeks_in_year, year_delta
+from ..functions.calendar import (anchor_week, expected_week_sql, iso_year, rel_week,
+                                  week_monday_sql, weeks_in_year, year_delta)
 from ..functions.text import recode, unicode_trim
 from ..operators.collapse import collapse_buckets
-from ..operators.setops import three_branch
 from ..operators.share import format_report
-from ..sources.export import prepare_base
-from ..sources.fixture import export_from_tables
+from ..sources.export import export_summary, mark_rows, prepare_base
+from ..sources.fixture import export_from_tables, rendered_export
 from ..sources.schema import REPORT_COLUMNS, share_columns, week_columns
 from . import quality
 from .market_share import (PART, bucketed_rows, classified_rows, group_rows,
@@ -45,6 +45,16 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_base(export_from_tables(spark, sf_dir), AS_OF)
 
 
+def q_export_parse(spark, d):
+    return (mark_rows(rendered_export(spark, d)).where("_kind = 'data'")
+            .select("_file", "Year", "Semana", "PostaDestinoAWB", "Owner", "Tons",
+                    "_unfit_week", "_unfit_tons", "_malformed"))
+
+
+def q_export_rejects(spark, d):
+    return export_summary(mark_rows(rendered_export(spark, d)))
+
+
 def _count(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
@@ -147,8 +157,8 @@ def _branch(test):
 
 
 def q_three_branch_union(spark, d):
-    rows = three_branch(bucketed_rows(base(spark, d), ALL, AS_OF, BACK_WEEKS), PART)
-    return rows.select("view", "Rank", "Grupo", "OwnerGrpd", *week_columns())
+    # All three branches from one pass; the literal union is in tests/.
+    return _ranked(spark, d).select("view", "Rank", "Grupo", "OwnerGrpd", *week_columns())
 
 
 def q_share_of_group(spark, d):
@@ -194,8 +204,22 @@ def q_bad_weeks(spark, d):
     return quality.bad_weeks(base(spark, d))
 
 
+def q_week_validity(spark, d):
+    return quality.week_validity(base(spark, d))
+
+
+def q_expected_week(spark, d):
+    year, week = expected_week_sql("run_date", BACK_WEEKS)
+    return (base(spark, d).select("Year", "Semana").distinct()
+            .selectExpr("Year", "Semana", f"{week_monday_sql('Semana', 'Year')} AS run_date")
+            .selectExpr("Year", "Semana", "CAST(run_date AS STRING) AS run_date",
+                        f"{year} AS expected_year", f"{week} AS expected_week"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "base_scan": q_base_scan,
+    "export_parse": q_export_parse,
+    "export_rejects": q_export_rejects,
     "weeks_in_year": q_weeks_in_year,
     "year_delta": q_year_delta,
     "relative_week": q_relative_week,
@@ -222,4 +246,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_week": q_latest_week,
     "lagged_weeks": q_lagged_weeks,
     "bad_weeks": q_bad_weeks,
+    "week_validity": q_week_validity,
+    "expected_week": q_expected_week,
 }

@@ -31,7 +31,7 @@ from ..functions.calendar import anchor_value
 from ..functions.sqltext import ident, lit
 from ..functions.text import UNICODE_WHITE_SPACE
 from ..operators.collapse import collapse_buckets
-from ..operators.pivot import lagged_pivot, offset_sql, resum
+from ..operators.pivot import lagged_pivot, resum
 from ..operators.share import REPORT_KEY_SQL, share_of_group
 from ..operators.topn import bucket_topn
 from ..sources.schema import report_columns, week_columns
@@ -68,50 +68,40 @@ def scan_predicate_sql(views: Sequence[ViewSpec]) -> str:
     Written only with ``=``, ``!=``, ``IN``, ``AND``, ``OR`` and ``IS NOT
     NULL`` on base columns, so Parquet receives it as pushed filters.
     """
-    views = _as_list(views)
-    origin_any = " OR ".join(f"({rs.any_sql()})" for rs in _origin_sets(views))
-    return f"`Owner` IS NOT NULL AND {R.destination_tracked_sql()} AND ({origin_any})"
+    tests = []
+    for v in _as_list(views):
+        test = f"{R.destination_tracked_sql(v.only_destinations)} AND ({v.origin.any_sql()})"
+        if test not in tests:
+            tests.append(test)
+    return f"`Owner` IS NOT NULL AND ({' OR '.join(f'({t})' for t in tests)})"
 
 
 def route_classes(base: DataFrame, views, as_of, back_weeks: int = 1,
-                  tons_type: str = "double", recent_only: bool = False) -> DataFrame:
+                  tons_type: str = "double") -> DataFrame:
     """Step 1-2: the big aggregate. One row per (origin classes, Destino,
-    flight type if a label uses it, raw Owner) with the week sums.
-
-    ``recent_only`` (opt-in) keeps only rows inside their own reported
-    weeks. That changes results (N5): a carrier or group with no rows in the
-    five weeks no longer appears or takes a top-N slot. In exchange the scan
-    gets a ``RelWeek`` range that prunes week partitions (see
-    ``save_base(partition_by_week=True)``) or skips row groups.
-    """
+    flight type if a label uses it, raw Owner) with the week sums."""
     views = _as_list(views)
     sets = _origin_sets(views)
     need_flight = any(v.label.uses_flight_type for v in views)
     anchor, lags, weeks = anchor_value(as_of, back_weeks), views[0].lag_weeks, views[0].weeks
-    scan = scan_predicate_sql(views)
-    if recent_only:
-        oldest = anchor - (weeks - 1) - max(lags.values(), default=0)
-        scan += f" AND `RelWeek` BETWEEN {oldest} AND {anchor}"
-    rows = base.where(scan).selectExpr(
+    rows = base.where(scan_predicate_sql(views)).selectExpr(
         f"{R.destination_sql()} AS Destino",
         *[f"{rs.sql()} AS _o{i}" for i, rs in enumerate(sets)],
         *(["`TipoVuelo`"] if need_flight else []),
         "`Owner`", "`Tons`", "`RelWeek`")
-    if recent_only:  # exact, per destination lag
-        rows = rows.where(f"{offset_sql(anchor, lags)} BETWEEN 0 AND {weeks - 1}")
     keys = ["Destino", *[f"_o{i}" for i in range(len(sets))],
             *(["TipoVuelo"] if need_flight else []), "Owner"]
     return lagged_pivot(rows, keys, anchor, lags, weeks, tons_type)
 
 
 def group_rows(base: DataFrame, views, as_of, back_weeks: int = 1,
-               tons_type: str = "double", recent_only: bool = False) -> DataFrame:
+               tons_type: str = "double") -> DataFrame:
     """Step 3: ``view, Grupo, Owner, W..Wm4`` (the pivoted carriers per
     group, A1-A2) for every view, from one scan."""
     views = _as_list(views)
     sets = _origin_sets(views)
     weeks = week_columns(views[0].weeks)
-    classes = route_classes(base, views, as_of, back_weeks, tons_type, recent_only)
+    classes = route_classes(base, views, as_of, back_weeks, tons_type)
     flight = "`TipoVuelo`" if "TipoVuelo" in classes.columns else "CAST(NULL AS STRING)"
     trim = f"trim(BOTH {lit(UNICODE_WHITE_SPACE)} FROM `Owner`) AS Owner"
 
@@ -148,28 +138,27 @@ def _threshold_sql(views: list[ViewSpec]) -> str:
 
 
 def bucketed_rows(base: DataFrame, views, as_of, back_weeks: int = 1,
-                  tons_type: str = "double", recent_only: bool = False) -> DataFrame:
+                  tons_type: str = "double") -> DataFrame:
     """Group rows with ``OwnerGrpd``, ``cls`` and ``rn``."""
     views = _as_list(views)
-    rows = group_rows(base, views, as_of, back_weeks, tons_type, recent_only)
+    rows = group_rows(base, views, as_of, back_weeks, tons_type)
     return bucket_topn(rows, PART, _threshold_sql(views), views[0].home, views[0].others)
 
 
 def market_share(base: DataFrame, views, as_of, back_weeks: int = 1,
-                 tons_type: str = "double", recent_only: bool = False) -> DataFrame:
+                 tons_type: str = "double") -> DataFrame:
     """Market-share report rows.
 
     ``views`` is one ``ViewSpec`` (result: the 14 report columns) or several
     (result: ``view`` plus the 14 columns, all from one scan of ``base``).
     ``as_of`` (a date) fixes the calendar; ``back_weeks`` picks the newest
-    week. ``tons_type='decimal(18,6)'`` sums exactly (results are still
-    reported as doubles). ``recent_only`` is the opt-in week prefilter of
-    ``route_classes`` (changes results; off by default).
+    week. A decimal ``tons_type`` sums exactly (results are still reported as
+    doubles); see ``operators.pivot`` for its range and rounding.
     """
     single = isinstance(views, ViewSpec)
     views = _as_list(views)
     weeks = views[0].weeks
-    bucketed = bucketed_rows(base, views, as_of, back_weeks, tons_type, recent_only)
+    bucketed = bucketed_rows(base, views, as_of, back_weeks, tons_type)
     ranked = collapse_buckets(bucketed, PART, weeks)
     shared = share_of_group(ranked, PART, weeks)
     cols = [f"{REPORT_KEY_SQL} AS excelKEY"] + [

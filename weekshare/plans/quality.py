@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.calendar import DateLike, anchor_week, iso_year, weeks_in_year
+from ..functions.calendar import DateLike, expected_week, weeks_in_year
+
+
+def _valid():
+    """Year and week form a real ISO week; never NULL."""
+    return F.coalesce(F.col("Semana").between(F.lit(1), weeks_in_year("Year")), F.lit(False))
 
 
 def owners_present(base: DataFrame) -> DataFrame:
@@ -18,18 +23,19 @@ def owners_present(base: DataFrame) -> DataFrame:
 
 
 def latest_week(base: DataFrame, as_of: DateLike, back_weeks: int = 1) -> DataFrame:
-    """Newest (Year, Semana) loaded against the expected report week.
+    """Newest valid (Year, Semana) loaded against the reported week.
 
-    One row: ``Year, Semana, expected_year, expected_week, is_current``.
+    The reported week is the ISO week ``back_weeks`` weeks before the run
+    date, which may lie in the year before. One row: ``Year, Semana,
+    expected_year, expected_week, is_current``; without a valid week the
+    first two are NULL.
     """
-    newest = base.where(F.col("Year").isNotNull()).agg(
-        F.max(F.struct("Year", "Semana")).alias("m"))
+    year, week = expected_week(as_of, back_weeks)
+    newest = base.where(_valid()).agg(F.max(F.struct("Year", "Semana")).alias("m"))
     return newest.select(
         F.col("m.Year").alias("Year"), F.col("m.Semana").alias("Semana"),
-        iso_year(as_of).alias("expected_year"),
-        anchor_week(as_of, back_weeks).alias("expected_week"),
-        F.coalesce((F.col("m.Year") == iso_year(as_of))
-                   & (F.col("m.Semana") == anchor_week(as_of, back_weeks)),
+        year.alias("expected_year"), week.alias("expected_week"),
+        F.coalesce((F.col("m.Year") == year) & (F.col("m.Semana") == week),
                    F.lit(False)).alias("is_current"))
 
 
@@ -42,7 +48,8 @@ def lagged_weeks(base: DataFrame) -> DataFrame:
     the newest year is then taken from that small result.
     """
     late = F.col("PostaDestinoAWB").isin(list(R.LATE_AIRPORTS))
-    per_year = (base.groupBy("Year",
+    # Only real weeks: the small aggregate is then bounded by the calendar.
+    per_year = (base.where(_valid()).groupBy("Year",
                              F.when(late, F.col("PostaDestinoAWB")).alias("PostaDestinoAWB"),
                              F.when(late, F.col("Semana")).alias("Semana"),
                              late.alias("late"))
@@ -57,6 +64,13 @@ def lagged_weeks(base: DataFrame) -> DataFrame:
 
 def bad_weeks(base: DataFrame) -> DataFrame:
     """(Year, Semana) pairs that are not a real ISO week (D4): ``Year, Semana, n``."""
-    valid = F.col("Semana").between(F.lit(1), weeks_in_year("Year"))
-    return (base.where(~F.coalesce(valid, F.lit(False)))
-            .groupBy("Year", "Semana").agg(F.count(F.lit(1)).alias("n")))
+    return (base.where(~_valid()).groupBy("Year", "Semana")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def week_validity(base: DataFrame) -> DataFrame:
+    """Every loaded (Year, Semana) with the rule D4 applies:
+    ``Year, Semana, weeks, valid, n``."""
+    return (base.groupBy("Year", "Semana").agg(F.count(F.lit(1)).alias("n"))
+            .select("Year", "Semana", weeks_in_year("Year").alias("weeks"),
+                    _valid().alias("valid"), "n"))

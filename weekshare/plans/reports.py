@@ -11,12 +11,15 @@ ordered by group and rank (O1). The order is applied only at the sink.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import DateLike
 from ..functions.sqltext import ident, lit
 from ..operators.share import format_report
+from ..sources.files import Files
 from ..sources.schema import REPORT_COLUMNS
 from .market_share import market_share
 from .views import AWB, AWB_SAO, FEEDER, GATEWAY, GATEWAY_SAO
@@ -30,7 +33,7 @@ REPORTS = {
 
 
 def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1,
-                tons_type: str = "double", recent_only: bool = False) -> DataFrame:
+                tons_type: str = "double") -> DataFrame:
     """``report, part`` plus the 14 report columns for the named reports,
     from one scan of ``base``. With fractional tons, a decimal ``tons_type``
     makes the sums of the two views of a report bit-identical, so shared
@@ -43,7 +46,7 @@ def report_rows(base: DataFrame, names, as_of: DateLike, back_weeks: int = 1,
                 raise ValueError(f"view {v.name} is in two requested reports")
             views.append(v)
             tag[v.name] = (name, part)
-    rows = market_share(base, views, as_of, back_weeks, tons_type, recent_only)
+    rows = market_share(base, views, as_of, back_weeks, tons_type)
     report_of = " ".join(f"WHEN {lit(v)} THEN {lit(r)}" for v, (r, _) in tag.items())
     part_of = " ".join(f"WHEN {lit(v)} THEN {p}" for v, (_, p) in tag.items())
     tagged = rows.selectExpr(f"CASE `view` {report_of} END AS report",
@@ -60,22 +63,22 @@ def report(base: DataFrame, name: str, as_of: DateLike, back_weeks: int = 1,
 
 
 def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: int = 1,
-                  names=None, mode: str = "overwrite", tons_type: str = "double",
-                  fixed_names: bool = True, recent_only: bool = False) -> dict[str, str]:
+                  names=None, tons_type: str = "double") -> dict[str, str]:
     """Write the report files in one job; returns ``{report: path}``.
 
-    Each report is one CSV file with a header and no index column; NaN
-    shares are empty fields. A report is small (groups x shown carriers), so
-    each is written by one task into the job's own staging folder
-    ``<out_dir>/_weekshare_reports/report=<file name>/``. With
-    ``fixed_names`` that single file is then moved to ``<out_dir>/<file
-    name>.csv``, the path a spreadsheet links to (a rename on the file
-    system; no data passes through the driver). Only those files are
-    replaced: anything else in ``out_dir`` (such as the workbook) is left
-    alone.
+    Each report is one CSV file ``<out_dir>/<file name>.csv`` with a header and
+    no index column, replaced on every run: a report without rows is a file
+    with the header alone. NaN shares are empty fields. A report is small
+    (groups x shown carriers), so each is written by one task.
+
+    The job writes to its own folder beside the targets and each file is
+    swapped in by renames (``Files.swap``), so no reader finds a report missing for
+    longer than a rename takes; the folder is removed whatever happens. Nothing else in
+    ``out_dir`` (such as the workbook) is touched.
     """
+    spark = base.sparkSession
     names = list(names or REPORTS)
-    rows = report_rows(base, names, as_of, back_weeks, tons_type, recent_only)
+    rows = report_rows(base, names, as_of, back_weeks, tons_type)
     file_of = " ".join(f"WHEN {lit(n)} THEN {lit(REPORTS[n][0])}" for n in names)
     out = (format_report(rows)
            .withColumn("report", F.expr(f"CASE `report` {file_of} END"))
@@ -83,57 +86,28 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
            .sortWithinPartitions("report", "part", "Grupo", "Rank")
            .select("report", *REPORT_COLUMNS))
     root = out_dir.rstrip("/")
-    staging = f"{root}/_weekshare_reports"
-    (out.write.mode(mode)
-     .partitionBy("report")
-     .option("header", True)
+    staging = f"{root}/_weekshare_reports_{uuid.uuid4().hex}"
+    fs = Files(spark, root)
+    try:
+        _csv(out.write.partitionBy("report"), staging)
+        written = {}
+        for n in names:
+            name = REPORTS[n][0]
+            part = fs.only_file(f"{staging}/report={name}", ".csv")
+            if part is None:                     # no rows: the header alone
+                _csv(out.where("false").drop("report").coalesce(1).write, f"{staging}/empty_{name}")
+                part = fs.only_file(f"{staging}/empty_{name}", ".csv")
+            written[n] = f"{root}/{name}.csv"
+            fs.swap(part, written[n])
+        return written
+    finally:
+        fs.remove(staging)
+
+
+def _csv(writer, path: str) -> None:
+    (writer.option("header", True)
      .option("nullValue", "")
      .option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
-     .csv(staging))
-    folders = {n: f"{staging}/report={REPORTS[n][0]}" for n in names}
-    if not fixed_names:
-        return folders
-    published = {n: _publish(base.sparkSession, folder, f"{root}/{REPORTS[n][0]}.csv")
-                 for n, folder in folders.items()}
-    if all(p.endswith(".csv") for p in published.values()):
-        _remove(base.sparkSession, staging)
-    return published
-
-
-def _remove(spark, folder: str) -> None:
-    """Delete the job's staging folder (best effort)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # no JVM handle on this client; the folder stays
-        pass
-
-
-def _publish(spark, folder: str, target: str) -> str:
-    """Move the one CSV part file of ``folder`` to ``target``.
-
-    Uses the Hadoop file system of the session; a session without one (Spark
-    Connect) keeps the report folder as written.
-    """
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # no JVM handle on this client
-        return folder
-    src_dir, dst = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
-    fs = src_dir.getFileSystem(conf)
-    if not fs.exists(src_dir):
-        return folder  # an empty report writes no folder
-    parts = [st.getPath() for st in fs.listStatus(src_dir)
-             if st.getPath().getName().startswith("part-") and st.getPath().getName().endswith(".csv")]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one CSV part file in {folder}, found {len(parts)}")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(parts[0], dst):
-        raise RuntimeError(f"could not move {parts[0]} to {target}")
-    fs.delete(src_dir, True)
-    return target
+     .csv(path))

@@ -17,8 +17,8 @@ class ViewSpec:
     ``topn`` is the row-number threshold: competitors ranked ``>= topn`` by
     the newest week go to the others bucket, so 5 shows four named
     competitors (N8). ``topn_prefix`` overrides it for groups whose label
-    starts with a prefix; a NULL label takes the override, as the two-arm
-    ``CASE`` of the feeder view does (W3).
+    starts with a prefix (the first that fits); a NULL label takes the first
+    override, as in the feeder view, whatever the number of prefixes (W3).
     """
     name: str
     origin: R.RuleSet
@@ -45,13 +45,14 @@ class ViewSpec:
     def threshold_sql(self, grupo: str = "`Grupo`") -> str:
         if not self.topn_prefix:
             return str(int(self.topn))
-        if len(self.topn_prefix) == 1:
-            ((prefix, n),) = self.topn_prefix
-            return (f"CASE WHEN NOT startswith({grupo}, {lit(prefix)}) THEN {int(self.topn)} "
-                    f"ELSE {int(n)} END")
-        arms = " ".join(f"WHEN startswith({grupo}, {lit(p)}) THEN {int(n)}"
-                        for p, n in self.topn_prefix)
-        return f"CASE {arms} ELSE {int(self.topn)} END"
+        # One rule for any number of prefixes: a label that misses all of them
+        # takes ``topn``; a NULL label is not known to miss any, so it falls
+        # through to the first prefix's threshold.
+        (_, first), *_ = self.topn_prefix
+        hits = [f"startswith({grupo}, {lit(p)})" for p, _ in self.topn_prefix]
+        arms = " ".join(f"WHEN {h} THEN {int(n)}" for h, (_, n) in zip(hits, self.topn_prefix))
+        return (f"CASE WHEN NOT ({' OR '.join(hits)}) THEN {int(self.topn)} {arms} "
+                f"ELSE {int(first)} END")
 
 
 # The five configured views.

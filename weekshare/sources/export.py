@@ -1,107 +1,152 @@
 """Weekly source export -> base fact table (C6: S1-S4, P11, T4, D5).
 
-The export is a CSV file per week (or several), each starting with two
-preamble rows and a header row, then data rows with twelve columns matched by
-position. Spark's CSV reader has no "skip the first rows" option, so the file
-is read as text columns and every line whose year does not parse is a reject.
-Rejects are counted per file (D5); a file must have exactly the three
-non-data lines, and one of them must be the expected header (S2, S3). The
-check is one aggregate pass; only failing files reach the driver.
+An export is one CSV snapshot: preamble lines, a header row, then data rows
+with twelve cells matched by position. It may come as a declared list of
+parts, each with its own preamble and header. A load is exact or refused:
+
+* one pass reads the cells as text, types them, marks every row and writes
+  the result to the shared folder;
+* a small aggregate over the marks of that table gives one summary row per
+  file; any file with a fault (no or a second header, stray rows among the
+  data, cells that do not fit the declared types, short or long rows, weeks
+  that do not exist) refuses the whole load with the counts;
+* otherwise the same table, read back, is the base table's rows.
+
+Nothing is parsed twice and no unfit cell becomes NULL unnoticed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.calendar import DateLike, rel_week_sql
+from ..functions.calendar import DateLike, rel_week_sql, weeks_in_year_sql
 from ..functions.sqltext import ident, lit
-from ..functions.text import CARRIER_RECODE
-from .schema import (BASE_COLUMNS, BASE_SCHEMA, EXPECTED_HEADER, EXPORT_COLUMNS,
-                     EXPORT_PREAMBLE_ROWS, EXPORT_TEXT_SCHEMA)
+from ..functions.text import CARRIER_RECODE, clean_header_sql
+from ..session import shared_dir
+from .schema import BASE_COLUMNS, BASE_SCHEMA, EXPECTED_HEADER, EXPORT_COLUMNS, EXPORT_TEXT_SCHEMA
+
+CELLS = [f"_c{i}" for i in range(len(EXPORT_COLUMNS))]
+# Faults of a file, in the order they are reported.
+FAULTS = ("header_missing", "second_header", "stray_rows", "malformed_rows", "unfit_week",
+          "unfit_tons", "invalid_weeks")
 
 
 class ExportFormatError(ValueError):
-    """The export does not have the expected preamble or header."""
+    """The export cannot be loaded exactly. ``failures`` (a DataFrame, one row
+    per failing file, see ``export_summary``) has the counts."""
+
+    def __init__(self, message: str, failures: DataFrame | None = None):
+        super().__init__(message)
+        self.failures = failures
+
 
+def long_sql(cell: str) -> str:
+    """A whole number, also in the form ``12.0`` that spreadsheets write; else NULL."""
+    number = f"try_cast({cell} AS DOUBLE)"
+    return (f"coalesce(try_cast({cell} AS BIGINT), CASE WHEN {number} = floor({number}) "
+            f"THEN try_cast(floor({number}) AS BIGINT) END)")
 
-def _to_long(col: Column) -> Column:
-    # Spreadsheet exports may write whole numbers as "12.0".
-    as_double = col.try_cast("double")
-    return F.coalesce(
-        col.try_cast("long"),
-        F.when(as_double == F.floor(as_double), F.floor(as_double).try_cast("long")))
+
+def decimal_sql(cell: str, decimal_mark: str = ".") -> str:
+    """A number with the declared decimal mark and no other marks; else NULL."""
+    if decimal_mark == ".":
+        return f"try_cast({cell} AS DOUBLE)"
+    if decimal_mark != ",":
+        raise ValueError(f"decimal_mark must be '.' or ',', got {decimal_mark!r}")
+    return f"CASE WHEN NOT contains({cell}, '.') THEN try_cast(replace({cell}, ',', '.') AS DOUBLE) END"
 
 
 def read_export_text(spark: SparkSession, path: str | list[str],
                      encoding: str = "UTF-8") -> DataFrame:
-    """All lines of the export(s) as text columns plus the source file path.
+    """All rows as text cells, with their file, their place in it (``_at``) and
+    the raw line of rows with more or fewer cells (``_line``).
 
     ``encoding`` is the files' character set. Spreadsheet CSV exports are
     often Windows-1252; ``ISO-8859-1`` reads their letters (such as "ñ" in
     "Año") the same way, and it is one of the charsets Spark's CSV reader
     accepts.
     """
-    return (spark.read.schema(EXPORT_TEXT_SCHEMA)
+    return (spark.read.schema(StructType([*EXPORT_TEXT_SCHEMA.fields, StructField("_line", StringType())]))
             .option("header", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_line")
             .option("encoding", encoding)
             .csv(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
-
-
-def reject_counts(text: DataFrame) -> DataFrame:
-    """Rows per file whose year does not parse (D5): ``_file, rejects``."""
-    return (text.where(_to_long(F.col("_c0")).isNull())
-            .groupBy("_file").agg(F.count(F.lit(1)).alias("rejects")))
-
+            .selectExpr(*CELLS, "_line", "_metadata.file_path AS _file",
+                        "struct(_metadata.file_block_start AS block, "
+                        "monotonically_increasing_id() AS row) AS _at"))
 
-def _clean_cell_sql(cell: str) -> str:
-    # The header-cleaning rule of ``clean_header`` (S2), with Unicode classes.
-    return f"regexp_replace(coalesce({cell}, ''), '(?U)\\\\s+|^\\\\d+|\\\\(|\\\\)|&', '')"
 
+def mark_rows(text: DataFrame, decimal_mark: str = ".") -> DataFrame:
+    """Typed export rows with marks: ``_kind`` (data, header, other) and, for
+    data rows, ``_unfit_week``, ``_unfit_tons``, ``_malformed``.
 
-def export_summary(text: DataFrame) -> DataFrame:
-    """One row per file: ``_file, rows, rejects, has_header`` in one pass."""
-    reject = _to_long(F.col("_c0")).isNull()
-    header = reject
-    for pos, name in EXPECTED_HEADER.items():
-        header = header & (F.expr(_clean_cell_sql(f"_c{pos}")) == F.lit(name))
-    return text.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(reject.cast("long")).alias("rejects"),
-        F.max(header).alias("has_header"))
-
-
-def check_export(text: DataFrame, preamble_rows: int = EXPORT_PREAMBLE_ROWS) -> None:
-    """Raise unless every file has exactly ``preamble_rows`` rejects, one of
-    them the expected header.
-
-    One scan. Only failing files reach the driver: up to 20 are named in the
-    error (the list is for a message), and they are counted only when there
-    are any.
+    A row is data when its first cell is a year. The header is the row whose
+    cleaned names fit and whose cells are all filled (S2).
     """
-    bad = export_summary(text).where(f"rejects != {int(preamble_rows)} OR NOT has_header")
-    sample = bad.limit(20).collect()
-    if not sample:
-        return
-    detail = {r["_file"]: {"rejects": r["rejects"], "has_header": r["has_header"]} for r in sample}
-    raise ExportFormatError(
-        f"{bad.count()} export file(s) without exactly {preamble_rows} non-data rows "
-        f"or without a header row {EXPECTED_HEADER}; for example {detail}")
-
-
-def parse_export(text: DataFrame) -> DataFrame:
-    """Typed export rows (S3, S4): data lines only, named by position."""
-    typed = []
-    for i, name in enumerate(EXPORT_COLUMNS):
-        raw = F.col(f"_c{i}")
-        if name in ("Year", "Semana"):
-            typed.append(_to_long(raw).alias(name))
-        elif name == "Tons":
-            typed.append(raw.try_cast("double").alias(name))
-        else:
-            typed.append(raw.alias(name))
-    return text.where(_to_long(F.col("_c0")).isNotNull()).select(*typed)
+    header = " AND ".join([f"{clean_header_sql(f'_c{i}')} = {lit(name)}" for i, name in EXPECTED_HEADER.items()]
+                          + [f"coalesce({c}, '') != ''" for c in CELLS])
+    year, week, tons = long_sql("_c0"), long_sql("_c1"), decimal_sql("_c11", decimal_mark)
+    typed = {"Year": year, "Semana": week, "Tons": tons}
+    return text.selectExpr(
+        *[f"{typed.get(name, cell)} AS {ident(name)}" for cell, name in zip(CELLS, EXPORT_COLUMNS)],
+        "_file", "_at",
+        f"CASE WHEN {year} IS NOT NULL THEN 'data' WHEN coalesce({header}, FALSE) THEN 'header' "
+        "ELSE 'other' END AS _kind",
+        f"trim(coalesce(_c1, '')) != '' AND {week} IS NULL AS _unfit_week",
+        f"trim(coalesce(_c11, '')) != '' AND ({tons}) IS NULL AS _unfit_tons",
+        "_line IS NOT NULL AS _malformed")
+
+
+def export_summary(marked: DataFrame) -> DataFrame:
+    """One row per file (D5): ``_file``, counts of data and reject rows, one
+    count per fault, and ``ok``.
+
+    Rows before the header that are no data are the preamble, however many
+    there are (blank lines included). Any other row that is neither data nor
+    the header is a stray row, and so is data before the header.
+    """
+    data, other, head = "_kind = 'data'", "_kind = 'other'", "_kind = 'header'"
+    per_file = marked.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"count_if({data})").alias("data_rows"),
+        F.expr(f"count_if(NOT {data})").alias("rejects"),
+        F.expr(f"count_if({head})").alias("headers"),
+        F.expr(f"min(_at) FILTER (WHERE {head})").alias("head"),
+        F.expr(f"max(_at) FILTER (WHERE {other})").alias("last_other"),
+        F.expr(f"min(_at) FILTER (WHERE {data})").alias("first_data"),
+        F.expr(f"count_if({data} AND _malformed)").alias("malformed_rows"),
+        F.expr(f"count_if({data} AND _unfit_week)").alias("unfit_week"),
+        F.expr(f"count_if({data} AND _unfit_tons)").alias("unfit_tons"),
+        F.expr(f"count_if({data} AND NOT _unfit_week AND NOT coalesce("
+               f"Semana BETWEEN 1 AND {weeks_in_year_sql('Year')}, FALSE))").alias("invalid_weeks"))
+    faults = per_file.selectExpr(
+        "_file", "rows", "data_rows", "rejects",
+        "CAST(headers = 0 AS BIGINT) AS header_missing",
+        "greatest(headers - 1, 0) AS second_header",
+        "CAST(coalesce(last_other > head, FALSE) AS BIGINT) "
+        "+ CAST(coalesce(first_data < head, FALSE) AS BIGINT) AS stray_rows",
+        "malformed_rows", "unfit_week", "unfit_tons", "invalid_weeks")
+    return faults.withColumn("ok", F.expr(" + ".join(FAULTS) + " = 0"))
+
+
+def refuse_faults(summary: DataFrame, one_file: bool) -> None:
+    """Raise if a file has a fault, or if an undeclared second file is there.
+    One row of totals reaches the driver."""
+    totals = summary.agg(F.count(F.lit(1)).alias("files"), F.expr("count_if(NOT ok)").alias("failing"),
+                         *[F.sum(f).alias(f) for f in FAULTS]).first()
+    if totals["files"] == 0:
+        raise ExportFormatError("the export holds no rows")
+    if totals["failing"]:
+        counts = {f: totals[f] for f in FAULTS if totals[f]}
+        raise ExportFormatError(f"{totals['failing']} export file(s) cannot be loaded exactly: {counts}",
+                                summary.where("NOT ok"))
+    if one_file and totals["files"] > 1:
+        raise ExportFormatError(f"{totals['files']} files found: an export is one snapshot; "
+                                "name its parts as a list")
 
 
 def prepare_base(export: DataFrame, as_of: DateLike,
@@ -129,14 +174,15 @@ def prepare_base(export: DataFrame, as_of: DateLike,
 
 
 def load_base(spark: SparkSession, path: str | list[str], as_of: DateLike,
-              check: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """Read weekly export file(s) into base-table rows.
+              encoding: str = "UTF-8", decimal_mark: str = ".") -> DataFrame:
+    """Read one export snapshot into base-table rows (C6), or refuse it.
 
-    All files under ``path`` together form one export (a snapshot split into
-    parts); each file carries its own preamble and header. Point it at the
-    week's files only; the streaming refresh picks new files by itself.
+    ``path`` is one file (or a folder holding one), or the list of the
+    snapshot's parts. Two snapshots are never added up.
     """
-    text = read_export_text(spark, path, encoding)
-    if check:
-        check_export(text)
-    return prepare_base(parse_export(text), as_of).select(*BASE_COLUMNS)
+    marked = mark_rows(read_export_text(spark, path, encoding), decimal_mark)
+    folder = shared_dir(spark, f"export-{uuid.uuid4().hex}")
+    marked.write.parquet(folder)
+    rows = spark.read.schema(marked.schema).parquet(folder)
+    refuse_faults(export_summary(rows), one_file=isinstance(path, str))
+    return prepare_base(rows.where("_kind = 'data'"), as_of).select(*BASE_COLUMNS)

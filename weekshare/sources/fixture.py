@@ -7,9 +7,10 @@ becomes one export row, its destination from the ordering customer's nation,
 its carrier from the part's brand and its origin from the part and supplier
 keys. The DuckDB oracle states the same mapping in SQL.
 
-Plan: ``orders`` joins ``customer`` first (keeping one small integer per
-order), then ``lineitem`` joins that and ``part``. Only the columns used are
-read. The two fact tables are never broadcast: ``lineitem`` joins orders as a
+Plan: ``lineitem`` first meets ``part`` and the origin table, whose filters
+(no carrier, untracked origins) drop rows before anything is shuffled;
+``orders`` meets ``customer`` (keeping one small integer per order); the
+surviving rows of both are then joined. Only the columns used are read. The two fact tables are never broadcast: ``lineitem`` joins orders as a
 sort-merge join (both sides spill to disk if a partition outgrows memory,
 and AQE splits a skewed partition; a hash join could not spill). The
 dimension joins are left to Catalyst's size check
@@ -23,9 +24,11 @@ inlined into the ``lineitem`` scan as lookup expressions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_week_sql, iso_year_sql
 from ..functions.sqltext import lit
+from .schema import EXPECTED_HEADER, EXPORT_COLUMNS
 
 # Origin lookup by ``l_partkey % 25``: region, zone, country.
 ORIGIN_TABLE = (
@@ -103,9 +106,9 @@ def export_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .selectExpr("o_orderkey", "c_nationkey % 5 AS dest_code"))
     rows = (lineitem
             .selectExpr("*", f"CAST(l_partkey % {len(ORIGIN_TABLE)} AS INT) AS origin_code")
-            .join(order_dest.hint("merge"), lineitem.l_orderkey == order_dest.o_orderkey)
             .join(part, lineitem.l_partkey == part.p_partkey)
-            .join(origin_table(spark).hint("broadcast"), "origin_code"))
+            .join(origin_table(spark).hint("broadcast"), "origin_code")
+            .join(order_dest.hint("merge"), lineitem.l_orderkey == order_dest.o_orderkey))
 
     ship = "CAST(l_shipdate AS DATE)"
     return rows.selectExpr(
@@ -123,3 +126,39 @@ def export_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_carrier_sql('p_brand')} AS Owner",
         "CAST(l_quantity AS DOUBLE) AS Tons",
     )
+
+
+# Faults that the rendered files hold, by the last digit of the whole tons:
+# decimal comma, no number, a word for a week, a week that does not exist, a
+# short line, no header, two headers, stray rows, data before the header.
+# Files of digit 0 are clean.
+def rendered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived export as the text cells ``read_export_text`` gives: one
+    synthetic file per year and last digit of the tons, with preamble, header
+    and the faults above. Rows stand at place 100, the preamble before it."""
+    export = export_from_tables(spark, sf_dir).withColumn("f", F.expr("CAST(Tons AS INT) % 10"))
+    cells = {
+        "Year": "CASE WHEN f = 8 AND Semana > 50 THEN 'year' WHEN Semana % 2 = 0 "
+                "THEN concat(Year, '.0') ELSE CAST(Year AS STRING) END",
+        "Semana": "CASE WHEN f = 3 AND Semana = 51 THEN 'last' WHEN f = 4 AND Semana = 50 THEN '60' "
+                  "ELSE CAST(Semana AS STRING) END",
+        "Tons": "CASE WHEN f = 1 THEN replace(CAST(Tons AS STRING), '.', ',') WHEN f = 2 THEN 'n/a' "
+                "ELSE CAST(Tons AS STRING) END"}
+    file = "concat(Year, '-', f, '.csv') AS _file"
+    place = "named_struct('block', 0L, 'row', {}) AS _at"
+    data = export.selectExpr(
+        *[f"{cells.get(c, c)} AS _c{i}" for i, c in enumerate(EXPORT_COLUMNS)],
+        "CASE WHEN f = 5 AND Semana = 9 THEN 'short' END AS _line", file, place.format("100L"))
+    names = [lit(EXPECTED_HEADER.get(i, c)) for i, c in enumerate(EXPORT_COLUMNS)]
+    names[0], names[1] = lit("1 (A\u00f1o)"), lit(" Sem ana&")
+    empty = ["CAST(NULL AS STRING)"] * (len(names) - 1)
+    lines = export.select("Year", "f").distinct()
+    preamble = [lines.selectExpr(*[f"{c} AS _c{i}" for i, c in enumerate([lit(title), *empty])],
+                                 f"{lit(title)} AS _line", file, place.format(f"{at}L"))
+                for at, title in enumerate(("Market export", "weekly"))]
+    headers = [lines.where(test).selectExpr(*[f"{c} AS _c{i}" for i, c in enumerate(names)],
+                                            "CAST(NULL AS STRING) AS _line", file, place.format(at))
+               for test, at in (("f != 6", "CASE WHEN f = 9 THEN 500L ELSE 2L END"), ("f = 7", "3L"))]
+    for part in (*preamble, *headers):
+        data = data.unionByName(part)
+    return data

@@ -37,10 +37,6 @@ EXPORT_TEXT_SCHEMA = T.StructType(
 # (year, week, carrier). The rest of the original header is not known.
 EXPECTED_HEADER = {0: "Año", 1: "Semana", 10: "Owner"}
 
-# Number of non-data lines at the top of every export: two preamble rows and
-# the header row.
-EXPORT_PREAMBLE_ROWS = 3
-
 
 def week_columns(weeks: int = 5) -> list[str]:
     """``W, Wm1, ..., Wm{weeks-1}``: newest week first."""
@@ -56,10 +52,3 @@ def report_columns(weeks: int = 5) -> list[str]:
 
 
 REPORT_COLUMNS = tuple(report_columns())
-REPORT_SCHEMA = T.StructType(
-    [T.StructField("excelKEY", T.StringType(), True),
-     T.StructField("Rank", T.LongType(), True),
-     T.StructField("Grupo", T.StringType(), True),
-     T.StructField("OwnerGrpd", T.StringType(), True)]
-    + [T.StructField(c, T.DoubleType(), True) for c in share_columns()]
-    + [T.StructField(c, T.DoubleType(), True) for c in week_columns()])

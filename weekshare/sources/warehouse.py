@@ -4,14 +4,16 @@ Each weekly run replaces the whole table. By default the table is
 unpartitioned (the reports read every week, N5), but rows are clustered
 within each file by destination so that the Parquet min/max statistics let
 the reports' pushed destination filter skip row groups of untracked
-destinations. ``partition_by_week`` adds a ``RelWeek`` partition layout for
-reports that opt into the recent-weeks prefilter.
+destinations.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import Files
 from .schema import BASE_COLUMNS, BASE_SCHEMA
 
 CLUSTER_COLUMNS = ("PaisDestinoAWB", "PostaDestinoAWB")
@@ -29,28 +31,28 @@ def ensure_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet")
 
 
-def save_base(df: DataFrame, target: str, cluster: bool = True,
-              partition_by_week: bool = False) -> None:
+def save_base(df: DataFrame, target: str, cluster: bool = True) -> None:
     """Replace the table or Parquet folder with ``df``.
 
-    ``overwrite`` writes through a commit protocol, so a lost executor only
-    re-runs its tasks. With ``partition_by_week`` the table is laid out by
-    ``RelWeek``, so reports run with ``recent_only`` read only the weeks
-    they report. The write does not shuffle: a hot week, even a third of all
-    rows, stays spread over the tasks that read it, each writing one sorted
-    file per week it holds.
+    The write does not shuffle: a hot week, even a third of all rows, stays
+    spread over the tasks that read it. A lost executor only re-runs its
+    tasks. A folder is written beside the old one and swapped in when it is
+    complete, so a failed load leaves the old table as it was.
     """
     out = df.select(*BASE_COLUMNS)
-    if cluster or partition_by_week:
-        out = out.sortWithinPartitions(*(["RelWeek"] if partition_by_week else []),
-                                       *(CLUSTER_COLUMNS if cluster else ()))
-    writer = out.write.mode("overwrite").format("parquet")
-    if partition_by_week:
-        writer = writer.partitionBy("RelWeek")
-    if _is_path(target):
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+    if cluster:
+        out = out.sortWithinPartitions(*CLUSTER_COLUMNS)
+    if not _is_path(target):
+        out.write.mode("overwrite").format("parquet").saveAsTable(target)
+        return
+    target = target.rstrip("/")
+    files = Files(df.sparkSession, target)
+    new = f"{target}.new-{uuid.uuid4().hex}"
+    try:
+        out.write.parquet(new)
+        files.swap(new, target)
+    finally:
+        files.remove(new)
 
 
 def read_base(spark: SparkSession, source: str) -> DataFrame:
