@@ -7,8 +7,8 @@ points therefore share a kept hash, and nothing shorter than ``k`` can match.
 
 Hash and position travel in one long (31 bits of hash above 31 bits of
 reversed position), so the smallest value is the smallest hash, rightmost.
-Window minima come from ``log2 w`` passes of pairwise ``least``, each doubling
-the window: no loop per window. Long texts are cut into stretches of ``STRETCH``
+Window minima come from ``log4 w`` passes that take the ``least`` of four
+values, each making the window four times as wide: no loop per window. Long texts are cut into stretches of ``STRETCH``
 windows that overlap by one window, so memory does not follow text length.
 
 Edited texts (the last third replaced by the next document's beginning) share
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import buckets_of, read_table, staged
 
 GRAM = 8            # code points per k-gram
-WINDOW = 16         # k-grams per window; a power of two
+WINDOW = 16         # k-grams per window; a power of four
 STRETCH = 32_768    # windows handled at a time
 MASK = 0x7FFFFFFF
 
@@ -45,9 +45,10 @@ def _kept(chunk: str, base: str, k: int, w: int) -> str:
               f"(g, i) -> shiftleft(xxhash64(g) & {MASK}L, 32) | ({MASK}L - ({base}) - i))")
     expr, step = packed, 1
     while step < w:
-        expr = (f"transform(array({expr}), h{step} -> zip_with(h{step}, "
-                f"slice(h{step}, {step + 1}, size(h{step})), (a, b) -> least(a, b)))[0]")
-        step *= 2
+        ahead = ", ".join(f"get(h{step}, j + {n * step})" for n in (1, 2, 3))
+        expr = (f"transform(array({expr}), h{step} -> transform(h{step}, "
+                f"(a, j) -> least(a, {ahead})))[0]")
+        step *= 4
     return (f"transform(array({expr}), m -> array_distinct(slice(m, 1, "
             f"greatest(size(m) - {w - 1}, least(size(m), 1)))))[0]")
 
