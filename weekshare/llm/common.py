@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -87,8 +87,3 @@ def number_rows(df: DataFrame, groups: list[str], key: str, out: str) -> DataFra
             .join(sums, [*groups, "_b"])
             .withColumn(out, F.col("before") + F.col("_i"))
             .drop("_b", "_i", "before"))
-
-
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times inside one expression."""
-    return F.transform(F.array(value), body)[0]
