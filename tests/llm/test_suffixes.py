@@ -42,11 +42,14 @@ def repeated(seed=1):
     return texts
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed,hot", [(1, None), (2, None), (2, 4)])
+def test_against_brute_force(spark, seed, hot, monkeypatch):
     texts = repeated(seed)
     ids = list(range(len(texts)))
     random.Random(seed).shuffle(ids)
+    if hot:
+        monkeypatch.setattr(X, "HOT", hot)
+        monkeypatch.setattr(X, "STRETCH", 70)
     if seed == 2:
         monkeypatch.setattr(X, "RANGE_BYTES", 4096)
         monkeypatch.setattr(C, "CHUNK_BYTES", 4096)
@@ -66,7 +69,7 @@ def test_deep_shallow_order():
     strings = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(0, 100))) for _ in range(400)]
     strings += [b"a" * 60 + bytes([rng.randrange(4) for _ in range(40)]) for _ in range(400)]
     strings += strings[400:450]
-    m = X._rows(strings, 100)
+    m = np.frombuffer(b"".join(s.ljust(104, b"\0") for s in strings), np.uint8).reshape(-1, 104)
     order = X.deep_shallow(m)
     assert sorted(order.tolist()) == list(range(len(strings)))
     padded = [s.ljust(104, b"\0") for s in strings]

@@ -20,7 +20,9 @@ sparse:
 
 Within a chunk equal surroundings of an anchor are sent once (its earliest),
 so a passage shared by a third of all rows costs a row per chunk, plus one
-per distinct neighbourhood at its edges.
+per distinct neighbourhood at its edges. A piece with over ``HOT`` occurrences
+is not gathered in one range: its strings are dealt one by one, each by a
+hash of its whole content, so that only equal strings meet.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` lose nothing;
 null ids come last; repeated ids are documents of their own, ordered by their
@@ -44,23 +46,42 @@ from .tokens import mix
 LENGTH = 100                        # bytes of a string
 GRAM = 37                           # bytes of an anchor's piece
 WINDOW = LENGTH - GRAM + 1          # 64 pieces per string: one bit each
+# A piece is hashed as five overlapping eight-byte words, each times an odd factor.
+PLACES = (0, 8, 16, 24, GRAM - 8)
+FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                       0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+STRETCH = 1 << 15                   # positions hashed at a time, to stay in cache
 SHALLOW = 5                         # eight-byte characters before the tries
 FEW = 12                            # groups up to this size are compared directly
-RANGE_BYTES = 16 << 20              # text per key range
+RANGE_BYTES = 4 << 20               # text per key range
+HOT = 100_000                       # occurrences from which a piece is dealt by whole strings
 
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 # --- anchors -------------------------------------------------------------
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each position on."""
-    n = len(data) - GRAM + 1
-    eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
-    h = mix(eight[:n].copy())
-    for at in (8, 16, 24, GRAM - 8):
-        h = mix(h ^ eight[at:at + n])
-    return h
+def _words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, without copying."""
+    return np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
+
+
+def gram_hashes(eight: np.ndarray, at) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each position in ``at`` (a slice or an
+    index array) on."""
+    h = None
+    for place, factor in zip(PLACES, FACTORS):
+        part = eight[at.start + place:at.stop + place] if isinstance(at, slice) else eight[at + place]
+        h = part * factor if h is None else h + part * factor
+    return mix(h)
+
+
+def string_hashes(eight: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hash of the ``LENGTH`` bytes from each start."""
+    out = mix(gram_hashes(eight, start) ^ np.uint64(LENGTH))
+    for at in (GRAM, LENGTH - GRAM):
+        out = mix(out ^ gram_hashes(eight, start + at))
+    return out
 
 
 def sliding_least(x: np.ndarray, w: int) -> np.ndarray:
@@ -80,20 +101,30 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     long = np.flatnonzero(size >= LENGTH)
     if not len(long):
         return none, none, none, np.zeros(0, np.uint64)
-    h = gram_hashes(data)
-    place = np.uint64(0x7FFFFFFF) - np.arange(len(h), dtype=np.uint64)
-    best = sliding_least((h & ~np.uint64(0x7FFFFFFF)) | place, WINDOW)
-    at = (np.uint64(0x7FFFFFFF) - (best & np.uint64(0x7FFFFFFF))).astype(np.int64)
-    inside = np.zeros(len(at) + 1, np.int64)
-    inside[offsets[long]] += 1
-    np.add.at(inside, offsets[long + 1] - LENGTH + 1, -1)
-    inside = np.cumsum(inside[:-1]) > 0
-    start = np.flatnonzero(inside)
-    at = at[start]
-    new = np.append(True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return at[first], start[first], start[last], h[at[first]]
+    eight = _words_at(data)
+    end = offsets[long + 1] - LENGTH                # last start of each document
+    opens = np.zeros(len(data), bool)
+    opens[offsets[long]] = True
+    firsts, found = [], []
+    for a in range(0, len(data) - LENGTH + 1, STRETCH):
+        b = min(a + STRETCH, len(data) - LENGTH + 1)
+        h = gram_hashes(eight, slice(a, b + WINDOW - 1))
+        place = np.uint64(0x7FFFFFFF) - np.arange(a, b + WINDOW - 1, dtype=np.uint64)
+        best = sliding_least((h & ~np.uint64(0x7FFFFFFF)) | place, WINDOW)
+        at = (np.uint64(0x7FFFFFFF) - (best & np.uint64(0x7FFFFFFF))).astype(np.int64)
+        new = opens[a:b].copy()
+        new[1:] |= at[1:] != at[:-1]
+        new[0] |= not found or at[0] != found[-1][-1]
+        new = np.flatnonzero(new)
+        if len(new):
+            firsts.append(new + a)
+            found.append(at[new])
+    first, at = np.concatenate(firsts), np.concatenate(found)
+    doc = np.searchsorted(offsets[long], first, "right") - 1
+    ok = (doc >= 0) & (first <= end[doc])           # not between documents
+    last = np.minimum(np.append(first[1:], len(data)) - 1, end[doc])
+    first, last, at = first[ok], last[ok], at[ok]
+    return at, first, last, gram_hashes(eight, at)
 
 
 # --- deep-shallow sorting ----------------------------------------------------
@@ -183,23 +214,31 @@ def common_prefixes(matrix: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows(parts: list[bytes], width: int) -> np.ndarray:
+def _gather(text: np.ndarray, start: np.ndarray, size: np.ndarray, width: int, step: int) -> np.ndarray:
+    """Rows of up to ``width`` bytes from each start on, in direction ``step``,
+    zero padded to whole eight-byte characters."""
     width = -(-width // 8) * 8
-    return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in parts), np.uint8).reshape(len(parts), width)
+    out = np.zeros((len(start), width), np.uint8)
+    column = np.arange(width)
+    for a in range(0, len(start), 1 << 13):
+        part = slice(a, a + (1 << 13))
+        use = column[None, :] < size[part, None]
+        at = np.where(use, start[part, None] + step * column[None, :], 0)
+        out[part] = np.where(use, text[at], 0)
+    return out
 
 
-def mark_repeats(left: list[bytes], right: list[bytes], low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def mark_repeats(left: np.ndarray, right: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Bit masks of the strings that occur earlier.
 
-    Item ``x`` stands for the strings that take ``j`` bytes of ``left[x]``
-    (reversed text before its anchor) and ``LENGTH - j`` of ``right[x]``, for
-    ``j`` in ``low[x]..high[x]``. Items are in order of position; bit ``j`` of
-    an item's mask says that an earlier item has the same string.
+    Item ``x`` stands for the strings that take ``j`` bytes of row ``x`` of
+    ``left`` (reversed text before its anchor) and ``LENGTH - j`` of ``right``,
+    for ``j`` in ``low[x]..high[x]``. Items are in order of position; bit ``j``
+    of an item's mask says that an earlier item has the same string.
     """
     masks = np.zeros(len(left), np.uint64)
     sides = []
-    for parts, width in ((left, WINDOW - 1), (right, LENGTH)):
-        matrix = _rows(parts, width)
+    for matrix in (left, right):
         order = deep_shallow(matrix)
         sides.append((order, common_prefixes(matrix, order)))
 
@@ -223,7 +262,7 @@ def mark_repeats(left: list[bytes], right: list[bytes], low: np.ndarray, high: n
 # --- passes over the chunks ------------------------------------------------
 
 def _keys(ranges: int):
-    """Chunk -> its distinct anchor keys, and whether each occurs twice here."""
+    """Chunk -> its distinct anchor keys, and how often each occurs here."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -235,44 +274,58 @@ def _keys(ranges: int):
                     pa.array(used, pa.int32()),
                     pa.array([batch.column("chunk")[i].as_py()] * len(used), pa.int64()),
                     pa.array([pack_keys(keys[cuts[b]:cuts[b + 1]]) for b in used], pa.binary()),
-                    pa.array([np.packbits(n[cuts[b]:cuts[b + 1]] > 1).tobytes() for b in used], pa.binary())],
-                    names=["part", "chunk", "keys", "twice"])
+                    pa.array([n[cuts[b]:cuts[b + 1]].astype("<u4").tobytes() for b in used], pa.binary())],
+                    names=["part", "chunk", "keys", "counts"])
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Key range -> for each chunk, which of its keys occur more than once."""
-    keys = [unpack_keys(k) for k in table.column("keys").to_pylist()]
-    sizes = [len(k) for k in keys]
-    twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in
-                            zip(table.column("twice").to_pylist(), sizes)])
-    uniq, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    often = ((n > 1) | (np.bincount(at, twice, len(uniq)) > 0))[at]
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"),
-                     "bits": pa.array([np.packbits(often[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])],
-                                      pa.binary())})
+def _repeated(hot: int):
+    """Key range -> for each chunk, which of its keys occur more than once,
+    and which more than ``hot`` times."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = [unpack_keys(k) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+        cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, counts, len(uniq))[at]
+
+        def bits(flags):
+            return pa.array([np.packbits(flags[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
+
+        return pa.table({"chunk": table.column("chunk"), "part": table.column("part"),
+                         "often": bits(total > 1), "hot": bits(total > hot)})
+    return run
 
 
 def _instances(batch: pa.RecordBatch, i: int, ranges: int):
-    """The chunk's repeated anchors in key order, one for equal surroundings.
+    """The chunk's repeated anchors in order of position; those of hot pieces
+    once for each of their strings.
 
-    Returns ids, offsets, anchors, and for each of them the number of its
+    Returns the chunk, the anchors, and for each of them the number of its
     representative (the earliest with the same surroundings).
     """
     ids, data, offsets = open_chunk(batch, i)
     at, first, last, key = anchors(data, offsets)
     keys, place = np.unique(key, return_inverse=True)
     cuts = range_cuts(keys, ranges)
-    bits = np.zeros(len(keys), bool)
+    often, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     for a in batch.column("bits")[i].as_py() or []:
         x, y = cuts[a["part"]], cuts[a["part"] + 1]
-        bits[x:y] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=y - x)
+        often[x:y] = np.unpackbits(np.frombuffer(a["often"], np.uint8), count=y - x)
+        hot[x:y] = np.unpackbits(np.frombuffer(a["hot"], np.uint8), count=y - x)
+    if len(place):
+        plain, many = np.flatnonzero((often & ~hot)[place]), np.flatnonzero(hot[place])
+        width = last[many] - first[many] + 1
+        start = np.repeat(first[many] - np.cumsum(width) + width, width) + np.arange(width.sum())
+        at = np.concatenate([at[plain], np.repeat(at[many], width)])
+        first, last = np.concatenate([first[plain], start]), np.concatenate([last[plain], start])
+        key = key[plain]
+        if len(start):
+            key = np.concatenate([key, string_hashes(_words_at(data), start)])
     doc = np.searchsorted(offsets, first, "right") - 1
     number = np.array([np.iinfo(np.int64).max if x is None else x for x in ids.to_pylist()], np.int64)
     unknown = np.array([x is None for x in ids.to_pylist()], bool)
-    use = np.flatnonzero(bits[place]) if len(place) else np.zeros(0, np.int64)
-    use = use[np.lexsort((at[use], doc[use], number[doc[use]], unknown[doc[use]]))]
+    use = np.lexsort((first, at, doc, number[doc], unknown[doc]))
     raw, seen, keep = data.tobytes(), {}, np.empty(len(use), np.int64)
     for k, x in enumerate(use.tolist()):
         keep[k] = seen.setdefault((raw[first[x]:last[x] + LENGTH], at[x] - first[x]), k)
@@ -314,29 +367,22 @@ STRINGS_SCHEMA = ("part int, chunk long, ids binary, unknown binary, docs binary
 
 def _mark(table: pa.Table) -> pa.Table:
     """Key range -> masks for each chunk's strings."""
-    left, right, order, sizes = [], [], [[] for _ in range(5)], []
-    lows, highs = [], []
-    for r in table.to_pylist():
-        high = np.frombuffer(r["high"], np.uint8).astype(np.int64)
-        low = np.frombuffer(r["low"], np.int16).astype(np.int64)
-        n = len(high)
-        sizes.append(n)
-        end = np.cumsum(high - low + LENGTH)
-        start = end - (high - low + LENGTH)
-        text = r["text"]
-        for s, e, h in zip(start.tolist(), end.tolist(), high.tolist()):
-            left.append(text[s:s + h][::-1])
-            right.append(text[s + h:e])
-        lows.append(low)
-        highs.append(high)
-        for column, v in zip(order, (np.unpackbits(np.frombuffer(r["unknown"], np.uint8), count=n),
-                                     np.frombuffer(r["ids"], "<i8"), np.full(n, r["chunk"]),
-                                     np.frombuffer(r["docs"], "<i8"), np.frombuffer(r["at"], "<i8"))):
-            column.append(v)
-    by = np.lexsort([np.concatenate(c) for c in reversed(order)])
+    def joined(name, kind):
+        return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+
+    high, low = joined("high", np.uint8).astype(np.int64), joined("low", np.int16).astype(np.int64)
+    sizes = [len(x) for x in table.column("high").to_pylist()]
+    unknown = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in
+                              zip(table.column("unknown").to_pylist(), sizes)])
+    chunk = np.repeat(table.column("chunk").to_numpy(), sizes)
+    by = np.lexsort((joined("at", "<i8"), joined("docs", "<i8"), chunk, joined("ids", "<i8"), unknown))
+    text = joined("text", np.uint8)
+    start = np.concatenate([[0], np.cumsum(high - low + LENGTH)])[:-1] + high
+    start, high, low = start[by], high[by], low[by]
+    left = _gather(text, start - 1, high, WINDOW - 1, -1)
+    right = _gather(text, start, LENGTH - low, LENGTH, 1)
     masks = np.empty(len(by), np.uint64)
-    masks[by] = mark_repeats([left[x] for x in by], [right[x] for x in by],
-                             np.concatenate(lows)[by], np.concatenate(highs)[by])
+    masks[by] = mark_repeats(left, right, low, high)
     cuts = np.concatenate([[0], np.cumsum(sizes)])
     return pa.table({"chunk": table.column("chunk"), "part": table.column("part"),
                      "masks": pa.array([masks[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
@@ -355,12 +401,13 @@ def _keep(ranges: int):
                 mask = np.full(len(keep), ~np.uint64(0))        # later equals: all repeat
                 for a in batch.column("answers")[i].as_py() or []:
                     mask[reps[part == a["part"]]] = np.frombuffer(a["masks"], "<u8")
-                change = np.zeros(len(data) + 1, np.int32)
+                repeats = np.zeros(len(data) + LENGTH, np.int32)      # by start
                 for j in range(WINDOW):
-                    hit = at[((mask >> np.uint64(j)) & np.uint64(1) > 0) & (at - j >= first) & (at - j <= last)] - j
-                    np.add.at(change, hit, 1)
-                    np.add.at(change, hit + LENGTH, -1)
-                gone = np.cumsum(change[:-1]) > 0
+                    hit = (mask >> np.uint64(j)) & np.uint64(1) > 0
+                    hit &= (at - j >= first) & (at - j <= last)
+                    repeats[at[hit] - j + LENGTH] = 1
+                total = np.cumsum(repeats, dtype=np.int32)
+                gone = total[LENGTH:] > total[:len(data)]   # one of the last LENGTH starts
                 edge = gone.copy()
                 edge[1:] &= ~gone[:-1]
                 begin = offsets[:-1][np.diff(offsets) > 0]
@@ -380,9 +427,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: what repeated strings of ``LENGTH`` bytes remove."""
     chunks = write_chunks(docs, id_col=id_col, text_col=text_col)
     ranges = ranges_for(chunks, RANGE_BYTES)
-    sent = chunks.mapInArrow(_keys(ranges), "part int, chunk long, keys binary, twice binary")
-    bits = staged(sent.groupBy("part").applyInArrow(_repeated, "chunk long, part int, bits binary"),
-                  "suffix-bits")
+    sent = chunks.mapInArrow(_keys(ranges), "part int, chunk long, keys binary, counts binary")
+    bits = staged(sent.groupBy("part").applyInArrow(
+        _repeated(HOT), "chunk long, part int, often binary, hot binary"), "suffix-bits")
     known = (chunks.join(answers_by_chunk(bits).withColumnRenamed("answers", "bits"), "chunk", "left"))
     strings = known.mapInArrow(_send_strings(ranges), STRINGS_SCHEMA)
     masks = staged(strings.groupBy("part").applyInArrow(_mark, "chunk long, part int, masks binary"),
