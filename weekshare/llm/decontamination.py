@@ -218,12 +218,9 @@ def leaked_pairs(docs: DataFrame, bench: DataFrame, k: int = SEED_WORDS, thresho
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"`{text_col}` AS text")
     out = None
     for table in seed_blocks(bench, k, threshold):
-        shared = spark.sparkContext.broadcast(table)
-
-        def run(batches, shared=shared):
+        def run(batches, table=table):
             for batch in text_batches(batches):
-                found = list(shared.value.matches(batch.column("text")))
-                table = shared.value
+                found = list(table.matches(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())),
                     pa.array([table.ids[f[1]] for f in found], pa.int64()),
@@ -242,12 +239,10 @@ def drop_leaking(docs: DataFrame, bench: DataFrame, k: int = SEED_WORDS, thresho
                  text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that cover a benchmark item."""
     for table in seed_blocks(bench, k, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(table)
-
-        def run(batches, shared=shared):
+        def run(batches, table=table):
             for batch in text_batches(batches, text_col):
                 keep = np.ones(batch.num_rows, bool)
-                for row, *_ in shared.value.matches(batch.column(batch.schema.get_field_index(text_col))):
+                for row, *_ in table.matches(batch.column(batch.schema.get_field_index(text_col))):
                     keep[row] = False
                 yield batch if keep.all() else batch.filter(pa.array(keep))
 
