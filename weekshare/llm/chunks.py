@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import plain_texts, staged, text_batches
 
-CHUNK_BYTES = 8 << 20           # text per chunk; a longer text is its own chunk
+CHUNK_BYTES = 4 << 20           # text per chunk; a longer text is its own chunk
 CHUNKS = ("chunk long, kind int, n_bytes long, ids array<long>, sizes array<long>, body binary")
 
 

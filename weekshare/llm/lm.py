@@ -43,7 +43,7 @@ from .tokens import hash_words, lowered, mix, split
 
 TEST_FOLDS = 10             # id hash modulo this: 0 is not learned from
 HELD_FOLDS = 10             # of the rest, the next digit: 0 is for the weights
-RANGE_BYTES = 16 << 20      # text per key range
+RANGE_BYTES = 8 << 20       # text per key range
 BUCKETS = 48                # of context counts, by powers of two
 STEP = 16                   # ratio bins per octave
 EM_ROUNDS = 200
