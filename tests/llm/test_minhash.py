@@ -105,6 +105,16 @@ def test_drop_keeps_columns_and_one_of_each(spark):
     assert all(r.text == texts[r.doc_id] for r in rows)
 
 
+def test_clashing_columns(spark):
+    names = ["digest", "best", "cid", "key", "i", "rid", "_n", "_stays", "_rid", "node", "c0"]
+    docs = documents(spark, ["a b c", "a b c", "d e"]).drop("rid")
+    for n in names:
+        docs = docs.selectExpr("*", f"'{n}' AS `{n}`")
+    out = M.drop_near_duplicates(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r[n] for n in ["doc_id", *names]) for r in out.collect()) == [(0, *names), (2, *names)]
+
+
 def test_estimate_is_unbiased():
     rng = np.random.default_rng(0)
     for share in (0.3, 0.6, 0.9):

@@ -38,5 +38,10 @@ def test_shingles():
     sets = [set(s[t == i].tolist()) for i in range(6)]
     assert [len(x) for x in sets] == [2, 1, 0, 1, 1, 1]
     assert sets[3] < sets[0] and sets[5] < sets[0] and not sets[1] & sets[0] and not sets[1] & sets[4]
+    for k in (2, 3, 5, 9):
+        for texts in (["a"], ["a b"], ["a b c", "d"], ["a", None, "b c d e"]):
+            s, t = T.shingles(*T.word_hashes(pa.array(texts)), k)
+            want = [0 if not x else max(1, len(x.split()) - k + 1) for x in texts]
+            assert np.bincount(t, minlength=len(texts)).tolist() == want
     d, cuts = T.distinct_per_text(np.array([3, 1, 3, 2], np.uint64), np.array([0, 0, 0, 2]), 4)
     assert d.tolist() == [1, 3, 2] and cuts.tolist() == [0, 2, 2, 3, 3]

@@ -320,6 +320,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
     Two documents are linked when ``100 * |A and B| >= percent * |A or B|``.
     """
+    names = docs.columns
+    return _near_duplicates(docs, shingle_words, percent, id_col, text_col).toDF(
+        *names, "_n", "_component", "_stays")
+
+
+def _near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: str,
+                     text_col: str) -> DataFrame:
+    """The same with the columns of ``docs`` named by place, so none can clash."""
+    id_col, text_col = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    docs = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     rows = sketch(docs, shingle_words, text_col).withColumn("_rid", F.monotonically_increasing_id())
     rows = staged(rows, "minhash-rows")
     me = f"struct(`{id_col}` IS NULL AS none, cast(`{id_col}` AS long) AS id, _rid AS rid)"
@@ -363,7 +373,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                          text_col: str = "text") -> DataFrame:
     """One document of each group, with the columns of ``docs``."""
-    stay = near_duplicates(docs, shingle_words, percent, text_col=text_col).where("_stays")
+    stay = _near_duplicates(docs, shingle_words, percent, "doc_id", text_col).where("_stays")
+    stay = stay.drop("_n", "_component", "_stays").toDF(*docs.columns)
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -374,7 +385,7 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int =
                                     for t in columns[at].to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, docs.schema)
+    return stay.mapInArrow(run, docs.schema)
 
 
 def op3_minhash_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -111,7 +111,7 @@ def shingles(words: np.ndarray, text: np.ndarray, k: int) -> tuple[np.ndarray, n
     n = len(words)
     counts = np.bincount(text)
     s = words.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, n)):
         s[:n - j] = mix(s[:n - j] + np.uint64(j)) + words[j:]
     whole = np.zeros(n, bool)
     whole[:max(0, n - k + 1)] = text[k - 1:] == text[:n - k + 1] if n >= k else False
