@@ -35,7 +35,9 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97 * (len(texts) - 500)
 
 
-def test_cases(spark):
+@pytest.mark.parametrize("limit", [0, Q.BROADCAST_SITES])
+def test_cases(spark, limit, monkeypatch):
+    monkeypatch.setattr(Q, "BROADCAST_SITES", limit)
     texts, labels = corpus(2, 300)
     texts += mixed()
     ids = list(range(len(texts) - 3)) + [None, None, 5]
@@ -49,6 +51,16 @@ def test_cases(spark):
         assert none.where("_kept").count() == len(texts)
 
 
+def test_clashing_columns(spark):
+    texts, labels = corpus(3, 200)
+    docs = documents(spark, texts)
+    want = {r.doc_id for r in Q.keep_good(docs, spark.createDataFrame(labels, LABELS)).collect()}
+    for n in ("_kept", "_toxic", "_p_junk", "s_host", "site_toxic", "__x", "_h", "n"):
+        docs = docs.selectExpr("*", f"'{n}' AS `{n}`")
+    out = Q.keep_good(docs, spark.createDataFrame(labels, LABELS))
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == want
+
+
 @pytest.mark.parametrize("host", [1, None])
 def test_sparse_sites_shrink(spark, host):
     rows = [(1.0, "a", "a/x")] * 300 + [(-9.0, "b", "b/x")] * 300 + [(9.0, "c", "c/x")] + [(0.0, None, "n")] * 3

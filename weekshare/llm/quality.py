@@ -41,6 +41,7 @@ BITS = 18               # hashed words: 2 ** BITS weights per model
 BINS = 24               # per measure
 ROUNDS = 80             # gradient steps
 RIDGE = 2e-4
+BROADCAST_SITES = 200_000       # host and path posteriors that may be broadcast
 REJECT = 0.5            # probability from which a document is rejected
 PRIOR_RANGE = (1.0, 1000.0)     # pseudo-documents a parent may weigh
 HEADS = ("toxic", "junk")
@@ -163,10 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: dict, text_col: str = "text", prefix: str = "_") -> DataFrame:
     """``docs`` with ``_toxic`` and ``_junk``: evidence as log odds at even prior."""
     at = docs.columns.index(text_col)
-    names = [*docs.columns, *(f"_{h}" for h in HEADS)]
+    names = [*docs.columns, *(f"{prefix}{h}" for h in HEADS)]
     heads, edges = model["heads"], model["edges"]
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -182,7 +183,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, extra)], names=names)
 
     return docs.mapInArrow(run, StructType(
-        [*docs.schema.fields, *(StructField(f"_{h}", DoubleType()) for h in HEADS)]))
+        [*docs.schema.fields, *(StructField(f"{prefix}{h}", DoubleType()) for h in HEADS)]))
 
 
 def _moments(sites: DataFrame, rate: str, parent: str) -> float:
@@ -228,25 +229,35 @@ def site_posteriors(scored: DataFrame, model: dict, host: str, path: str) -> Dat
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
              path: str = "concat_ws('/', source, lang)", id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
+             text_col: str = "text", prefix: str = "_") -> DataFrame:
     """``docs`` with ``_p_toxic``, ``_p_junk`` and ``_kept``.
 
-    ``host`` and ``path`` are SQL expressions over the columns of ``docs``.
+    ``host`` and ``path`` are SQL expressions over the columns of ``docs``;
+    no column of ``docs`` may begin with ``prefix``.
     """
     columns = [f"`{c}`" for c in docs.columns]
     model = train(docs, labels, id_col, text_col)
     needed = docs.selectExpr(f"`{text_col}`", f"{host} AS _h", f"{path} AS _p")
-    sites = site_posteriors(score(needed, model, text_col), model, "_h", "_p")
-    scored = score(docs, model, text_col).join(
-        sites, F.expr(f"({host}) <=> s_host AND ({path}) <=> s_path"), "left")
-    odds = {h: f"1 / (1 + exp(-(_{h} + site_{h})))" if h in model["heads"] else "0D" for h in HEADS}
-    return (scored.selectExpr(*columns, *(f"coalesce({p}, 0D) AS _p_{h}" for h, p in odds.items()))
-            .withColumn("_kept", F.expr(f"_p_toxic < {REJECT} AND _p_junk < {REJECT}")))
+    sites = staged(site_posteriors(score(needed, model, text_col), model, "_h", "_p"), "quality-sites")
+    few = sites.count() <= BROADCAST_SITES      # else Spark shuffles, splitting hot sites
+    sites = sites.toDF(*(f"{prefix}{c}" for c in sites.columns))
+    sites = F.broadcast(sites) if few else sites
+    scored = score(docs, model, text_col, prefix).join(
+        sites, F.expr(f"({host}) <=> {prefix}s_host AND ({path}) <=> {prefix}s_path"), "left")
+    odds = {h: f"1 / (1 + exp(-({prefix}{h} + {prefix}site_{h})))" if h in model["heads"] else "0D"
+            for h in HEADS}
+    kept = " AND ".join(f"{prefix}p_{h} < {REJECT}" for h in HEADS)
+    return (scored.selectExpr(*columns, *(f"coalesce({p}, 0D) AS {prefix}p_{h}" for h, p in odds.items()))
+            .withColumn(f"{prefix}kept", F.expr(kept)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents the classifier keeps, with the columns of ``docs``."""
-    return classify(docs, labels).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return (classify(docs, labels, prefix=prefix).where(f"{prefix}kept")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op4_hierarchical_quality(spark, sf_dir: str) -> DataFrame:
