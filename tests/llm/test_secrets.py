@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from weekshare.llm import secrets as S
 
@@ -60,6 +61,17 @@ def test_entropy_layer_finds_keys_and_spares_words():
     assert base == spans, "a span inside a base span adds nothing"
 
 
+def test_allow_list_is_linear():
+    name = "test_returns_none_when_the_input_is_empty_twice"
+    long = [f"a-lower-case-slug-of-{n}-words-" * 2 for n in (3, 60)]
+    long += [name, name + "_and_once_more_for_luck_2", "a" * 28 + "1", "a" * 5000 + "1", "abc/" * 2000 + "+"]
+    start = time.process_time()
+    for text in long:
+        S.all_spans(text)
+    assert time.process_time() - start < 2
+    assert S.allowed("src/main2/x") and S.allowed("/a-abc_1/2/") and not S.allowed("ab1/abc")
+
+
 def test_redaction():
     text = f'a token = "{HEXKEY}" b {KEY} c'
     assert S.redact(text) == 'a [SECRET]" b [SECRET] c'

@@ -53,7 +53,9 @@ ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),   # UUID
     re.compile(r"[A-Za-z]+"),                                             # a word
     re.compile(r"[0-9_=+/-]+"),                                           # numbers, rules
-    re.compile(r"(?:/?[a-z0-9_-]*[a-z]{3}[a-z0-9_-]*)+(?:/[a-z0-9_-]+)+/?"),  # a path
+    # A path, three letters together in its first part. No run inside a repeated
+    # run, so each character is read a fixed number of times.
+    re.compile(r"/?(?=[a-z0-9_-]*[a-z]{3})[a-z0-9_-]+(?:/[a-z0-9_-]+)+/?"),
     re.compile(r"[A-Za-z]+(?:[-_/=][A-Za-z]+)+"),                         # joined words
 )
 
@@ -83,7 +85,7 @@ def entropy_windows(s: str, window: int = WINDOW, thresholds=None) -> list[tuple
     thresholds = thresholds or THRESHOLDS
     if len(s) < window:
         return []
-    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]   # one enters before one leaves
     top = math.log2(window)
     counts: dict[str, int] = {}
     total = 0.0                                    # sum of c * log2 c
