@@ -69,7 +69,28 @@ def test_allow_list_is_linear():
     for text in long:
         S.all_spans(text)
     assert time.process_time() - start < 2
-    assert S.allowed("src/main2/x") and S.allowed("/a-abc_1/2/") and not S.allowed("ab1/abc")
+    assert S.PATH.fullmatch("src/main2/x") and S.PATH.fullmatch("/a-abc_1/2/") and not S.PATH.fullmatch("ab1/abc")
+
+
+def test_keys_behind_paths_and_whole_keys():
+    text = "see hooks/services/t024be7lh/n7x2k9q4w8z3v6m1p5 there"
+    assert S.redact(text) == "see hooks/services/[SECRET]/[SECRET] there"
+    for key in ("wJalrXUtnFEMIqKzMDENGxbPxR8f4C2YE7aMpL5k", "q8Zr4TmW2pLx9VbN6cKdwJalrXUtnFEMIqKzMDEN",
+                "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert S.redact(f"x {key}== y") == "x [SECRET] y", key
+    for plain in ("usr/lib/python3/dist-packages/k8s/v1beta1/utf8", "blog/how-to-earn-10k-a-month-in-2021/page2",
+                  "orders/123e4567-a89b-12d3-a456-426614174000/items", "images/1920x1080/section10/photo-3"):
+        assert S.all_spans(plain)[1] == [], plain
+
+
+def test_no_flagged_window_is_lost_outside_paths():
+    rng = random.Random(7)
+    for _ in range(500):
+        s = "".join(rng.choice("abcdefABCXYZ0123456789+/_-=") for _ in range(rng.randrange(20, 90)))
+        spans = S.key_spans(s)
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+        if not S.allowed(s) and not S.PATH.fullmatch(s):
+            assert all(any(x <= a and b <= y for x, y in spans) for a, b in S.entropy_windows(s))
 
 
 def test_redaction():

@@ -9,9 +9,12 @@ Two layers over each whole text:
   costs the same whatever the window. A window belongs to the narrowest
   character class that holds it (hex, alphanumeric, all key characters) and
   is flagged when its Shannon entropy reaches that class's threshold;
-  overlapping flagged windows merge into one ``entropy`` span. Allow-listed
-  candidates (identifiers, links, plain words) and spans that only repeat a
-  base span are dropped.
+  overlapping flagged windows merge and widen to the whole runs of key
+  characters they touch (a padding ``=`` ends a run), since the ends of a key
+  can lack digits; each is one ``entropy`` span. Allow-listed candidates
+  (UUIDs, words, numbers) and spans that only repeat a base span are dropped.
+  In a lower-case path each segment is judged alone: those of words and
+  numbers are spared, the others are spans where flagged windows touch them.
 
 Per-text work in one map over the scan: no shuffle, memory bounded by a batch.
 
@@ -48,16 +51,21 @@ WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 HEX_CHARS = frozenset("0123456789abcdefABCDEF")
 THRESHOLDS = {"hex": 3.0, "alnum": 3.6, "key": 3.8}
-# Allow-list: candidates that look random but are not secrets.
+# Allow-list: candidates and path segments that look random but are not secrets.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),   # UUID
     re.compile(r"[A-Za-z]+"),                                             # a word
     re.compile(r"[0-9_=+/-]+"),                                           # numbers, rules
-    # A path, three letters together in its first part. No run inside a repeated
-    # run, so each character is read a fixed number of times.
-    re.compile(r"/?(?=[a-z0-9_-]*[a-z]{3})[a-z0-9_-]+(?:/[a-z0-9_-]+)+/?"),
     re.compile(r"[A-Za-z]+(?:[-_/=][A-Za-z]+)+"),                         # joined words
 )
+# A path, three letters together in its first part. No run inside a repeated
+# run, so each character is read a fixed number of times.
+PATH = re.compile(r"/?(?=[a-z0-9_-]*[a-z]{3})[a-z0-9_-]+(?:/[a-z0-9_-]+)+/?")
+SEGMENT = re.compile(r"[a-z0-9_-]+")
+# Words and numbers between - and _: "utf8", "k8s", "1920x1080", not "n7x2k9".
+PIECE = re.compile(r"[a-z0-9]+")
+PLAIN_PIECE = re.compile(r"[a-z]*[0-9]*[a-z]*|[0-9]+[a-z]+[0-9]+")
+RUN = re.compile(r"[^=]+=*|=+")
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
           "spans string, n_entropy long")
@@ -123,15 +131,40 @@ def allowed(s: str) -> bool:
     return any(p.fullmatch(s) for p in ALLOWED)
 
 
+def plain_segment(s: str) -> bool:
+    """Whether a path segment is a UUID or made of words and numbers."""
+    return allowed(s) or all(PLAIN_PIECE.fullmatch(p) and not entropy_windows(p)
+                             for p in PIECE.findall(s))
+
+
+def key_spans(s: str) -> list[tuple[int, int]]:
+    """Spans of the candidate ``s`` that may hold a key: what flagged windows touch."""
+    flagged = [] if allowed(s) else entropy_windows(s)
+    if not flagged:
+        return []
+    path = PATH.fullmatch(s)
+    runs = [m.span() for m in (SEGMENT if path else RUN).finditer(s)
+            if not path or not plain_segment(m.group())]
+    spans: list[tuple[int, int]] = []
+    at = 0
+    for a, b in runs:                              # both lists are in order
+        while at < len(flagged) and flagged[at][1] <= a:
+            at += 1
+        if at == len(flagged):
+            break
+        if flagged[at][0] < b:
+            if spans and spans[-1][1] == a:
+                a = spans.pop()[0]
+            spans.append((a, b))
+    return spans
+
+
 def all_spans(text: str) -> tuple[list, list]:
     """Base spans, and base plus entropy spans."""
     base = base_spans(text)
     extra = []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if allowed(s):
-            continue
-        for a, b in entropy_windows(s):
+        for a, b in key_spans(m.group()):
             a, b = a + m.start(), b + m.start()
             if not any(x <= a and b <= y for x, _, y in base):
                 extra.append((a, 3, b))
