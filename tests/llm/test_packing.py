@@ -88,3 +88,29 @@ def test_local_search_empties_bins():
     bins = [[1, 1, Counter({6: 1, 3: 1})], [1, 1, Counter({5: 1, 4: 1})], [1, 8, Counter({1: 2})]]
     done = K.local_search(bins, 10)
     assert sum(b[0] for b in done) == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_ends_only_without_a_gain(seed):
+    """Hundreds of emptiest patterns without a partner do not end the search."""
+    rng = random.Random(seed)
+    # Even lengths fill their bins up to an odd rest of one: nobody can take anything in.
+    stuck = [[1, 901, Counter({99: 1})]] + [[1, 1, Counter({n: 1, 999 - n: 1})] for n in range(101, 480)]
+    late = [[1, 1, Counter({6: 1, 993: 1})], [1, 1, Counter({5: 1, 994: 1})]]
+    bins = [*stuck, *late]
+    rng.shuffle(bins)
+    done = K.local_search([[m, f, Counter(c)] for m, f, c in bins], 1000)
+    held = Counter()
+    for m, free, content in done:
+        assert m > 0 and free == 1000 - sum(k * v for k, v in content.items()) >= 0
+        for length, v in content.items():
+            held[length] += m * v
+    want = Counter()
+    for m, _, content in bins:
+        want.update(content)
+    assert held == want
+    total = sum(k * v for k, v in held.items())
+    open_ = [p for p in done if p[1]]
+    assert sum(p[0] for p in done) == -(-total // 1000) or not any(
+        K._exchange(a, b, 1000) for a in open_ for b in open_
+        if b[1] <= a[1] and (b is not a or a[0] > 1))

@@ -7,8 +7,9 @@
    driver. Best-fit decreasing packs it, treating equal bins as one pattern
    with a multiplicity; then local search moves a piece, or exchanges one for
    one or two for one between underfull patterns whenever that increases the
-   sum of squared fills, until bins empty or the lower bound is met. The work
-   depends on the number of different lengths, not of documents.
+   sum of squared fills, until no pair of patterns has such a change or the
+   lower bound is met. The work depends on the number of different patterns,
+   not of documents.
 3. Pieces are numbered within their length (in parallel, whatever the length's
    share) and look up their sequence and offset in the patterns' slot list,
    which is bounded by lengths, too.
@@ -38,7 +39,6 @@ from .common import number_rows, plain_texts, read_table, staged, text_batches
 
 CAPACITY = 1024
 END_ID = 2
-SEARCH_STEPS = 20_000       # local-search steps at most; every state is a valid packing
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -122,40 +122,106 @@ def _exchange(a: list, b: list, capacity: int):
     return found
 
 
-def local_search(bins: list[list], capacity: int, steps: int = SEARCH_STEPS) -> list[list]:
-    """Empty underfull bins by moves and exchanges that raise the squared fill."""
+class _Open:
+    """An underfull pattern, with bit masks that tell at once whether it can
+    give to another: bit ``x`` of ``one`` and ``two`` stands for a sum ``x`` of
+    one or two of its lengths, bit ``x`` of ``take_one`` and ``take_two`` for a
+    sum it can take in, with nothing or one length (one length) given back."""
+
+    def __init__(self, m: int, free: int, content: Counter):
+        self.bin = [m, free, content]
+        self.born = self.seen = 0
+        kinds = list(content)
+        self.one = self.two = back = 0
+        for x in kinds:
+            self.one |= 1 << x
+            back |= 1 << x
+            for y in kinds:
+                if x < y or x == y and content[x] > 1:
+                    self.two |= 1 << x + y
+        self.take_one, self.take_two = self._spread(back | 1, free), self._spread(back, free)
+
+    @staticmethod
+    def _spread(bits: int, room: int) -> int:
+        out, done = bits << 1, 1
+        while done < room:
+            step = min(done, room - done)
+            out |= out << step
+            done += step
+        return out
+
+    def fits(self, other: _Open) -> bool:
+        return bool(self.one & other.take_one or self.two & other.take_two)
+
+
+def local_search(bins: list[list], capacity: int) -> list[list]:
+    """Empty underfull bins by moves and exchanges that raise the squared fill.
+
+    Each giver remembers the newest pattern it was tried with, so a pair
+    without a gain is not tried again. Every gain raises the squared fill, so
+    the search ends.
+    """
     total = sum(m * (capacity - free) for m, free, _ in bins)
     bound = -(-total // capacity)
+    count = sum(p[0] for p in bins)
     full = [p for p in bins if p[1] == 0]
-    open_ = [p for p in bins if p[1]]
-    while steps and sum(p[0] for p in full) + sum(p[0] for p in open_) > bound:
-        open_.sort(key=lambda p: -p[1])             # the emptiest gives
-        done = False
-        for i, a in enumerate(open_):
-            for b in sorted(open_[i:], key=lambda p: p[1]):
-                if b is a and a[0] < 2:
-                    continue
-                steps = max(0, steps - 1)
-                change = _exchange(a, b, capacity)
-                if not change:
-                    continue
-                out, back = Counter(change[0]), Counter(change[1])
-                m = a[0] // 2 if a is b else min(a[0], b[0])
-                d = sum(change[0]) - sum(change[1])
-                a[0] -= m
-                b[0] -= m
-                new = ([m, a[1] + d, a[2] - out + back], [m, b[1] - d, b[2] - back + out])
-                for p in new:
-                    if p[2]:
-                        (open_ if p[1] else full).append(p)
-                open_[:] = [p for p in open_ if p[0]]
-                done = True
-                break
-            if done or not steps:
-                break
-        if not done:
-            break
-    return full + open_
+    known: dict[frozenset, _Open] = {}
+    newest: list[_Open] = []                        # by birth; a merged pattern is born again
+    clock = 0
+
+    def add(m: int, free: int, content: Counter) -> None:
+        nonlocal clock
+        if not free:
+            full.append([m, free, content])
+            return
+        key = frozenset(content.items())
+        p = known.get(key)
+        if p is None:
+            p = known[key] = _Open(0, free, content)
+        elif p.bin[0]:
+            newest.remove(p)
+        clock += 1
+        p.bin[0] += m
+        p.born, p.seen = clock, 0
+        newest.append(p)
+
+    for p in bins:
+        if p[1]:
+            add(*p)
+
+    def gain():
+        """The emptiest giver with its fullest taker and their best exchange."""
+        for a in sorted(newest, key=lambda p: -p.bin[1]):
+            fresh = []
+            for b in reversed(newest):
+                if b.born <= a.seen:
+                    break
+                if b.bin[1] <= a.bin[1] and (b is not a or a.bin[0] > 1) and a.fits(b):
+                    fresh.append(b)
+            for b in sorted(fresh, key=lambda p: p.bin[1]):
+                change = _exchange(a.bin, b.bin, capacity)
+                if change:
+                    return a, b, change
+            a.seen = clock
+        return None
+
+    while count > bound and (found := gain()):
+        a, b, change = found
+        out, back = Counter(change[0]), Counter(change[1])
+        m = a.bin[0] // 2 if a is b else min(a.bin[0], b.bin[0])
+        d = sum(change[0]) - sum(change[1])
+        a.bin[0] -= m
+        b.bin[0] -= m
+        for p in {id(a): a, id(b): b}.values():
+            if not p.bin[0]:
+                newest.remove(p)
+        given, taken = a.bin[2] - out + back, b.bin[2] - back + out
+        if given:
+            add(m, a.bin[1] + d, given)
+        else:
+            count -= m
+        add(m, b.bin[1] - d, taken)
+    return full + [p.bin for p in newest]
 
 
 def slots_by_length(bins: list[list]) -> list[tuple]:
