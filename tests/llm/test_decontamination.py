@@ -84,3 +84,14 @@ def test_cases(spark):
     assert D.leaked_pairs(docs, bench(spark, [])).count() == 0
     assert D.drop_leaking(docs, bench(spark, [])).count() == 5
     assert D.leaked_pairs(documents(spark, []), bench(spark, items)).count() == 0
+
+
+def test_equal_items_are_one_entry(spark, monkeypatch):
+    rng = random.Random(4)
+    hot = words(rng, 30, 9000)
+    items = [(k, hot) for k in range(60)] + [(k, words(rng, 30, 9000)) for k in range(60, 100)] + [(7, hot), (None, hot)]
+    sizes = [len(t.items) for t in D.seed_blocks(bench(spark, items), D.SEED_WORDS, D.COVERAGE, block_bytes=1000)]
+    assert sum(sizes) == 41 and max(sizes) <= 20
+    got = D.leaked_pairs(documents(spark, ["a b " + hot, items[60][1], "none"]), bench(spark, items)).collect()
+    want = [(0, k) for k in range(60)] + [(0, 7), (0, None), (1, 60)]
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(want, key=str)

@@ -1,8 +1,9 @@
 """Benchmark decontamination by greedy string tiling (operator 7).
 
-1. Benchmark items are read in blocks of at most ``BLOCK_BYTES`` of text (a
-   stated query set; one block is what every task holds) and turned into a
-   table of seeds: hashes of ``k`` consecutive words.
+1. The distinct texts of the benchmark items are read in blocks of about
+   ``BLOCK_BYTES`` (a stated query set; one block is what every task holds)
+   and turned into a table of seeds: hashes of ``k`` consecutive words. Items
+   of one text are one entry; a join by the text's SHA-256 gives their ids.
 2. One map over the documents joins each text's seeds with that table. A pair
    of document and item goes on only if its shared seeds could cover the
    threshold: tiles consist of shared seeds, so none is lost here.
@@ -41,6 +42,8 @@ BLOCK_BYTES = 8 << 20
 _PRIME = (1 << 61) - 1
 _BASE = 0x1F2E3D4C5B6A79
 
+MATCHES = ("doc_id long, item_key string, item_words long, matched_words long, coverage double, "
+           "tiles long")
 PAIRS = ("doc_id long, item_id long, item_words long, matched_words long, coverage double, "
          "tiles long")
 
@@ -121,7 +124,7 @@ def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, i
 
 
 class SeedTable:
-    """Seeds of one block of benchmark items."""
+    """Seeds of one block of distinct benchmark texts; ``ids`` are their keys."""
 
     def __init__(self, ids: list, texts: list, k: int, threshold: float):
         words, of = word_hashes(pa.array(texts, pa.string()), "alnum")
@@ -199,16 +202,22 @@ class SeedTable:
         return out
 
 
+def benchmark_items(bench: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """Item ids and texts that are not null, with the text's key."""
+    return (bench.selectExpr(f"cast(`{id_col}` AS long) AS item_id", f"`{text_col}` AS t")
+            .where("t IS NOT NULL").withColumn("item_key", F.sha2("t", 256)))
+
+
 def seed_blocks(bench: DataFrame, k: int, threshold: float, id_col: str = "item_id",
                 text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[SeedTable]:
-    """The benchmark as seed tables of about ``block_bytes`` each."""
-    items = bench.selectExpr(f"cast(`{id_col}` AS long) AS i", f"`{text_col}` AS t").where("t IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
+    """The benchmark's distinct texts as seed tables of about ``block_bytes`` each."""
+    texts = benchmark_items(bench, id_col, text_col).select("item_key", "t").distinct()
+    total = texts.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     blocks = -(-total // block_bytes)
     for b in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b)
+        part = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b)
         rows = part.collect()                       # about block_bytes
-        yield SeedTable([r["i"] for r in rows], [r["t"] for r in rows], k, threshold)
+        yield SeedTable([r["item_key"] for r in rows], [r["t"] for r in rows], k, threshold)
 
 
 def leaked_pairs(docs: DataFrame, bench: DataFrame, k: int = SEED_WORDS, threshold: float = COVERAGE,
@@ -223,16 +232,19 @@ def leaked_pairs(docs: DataFrame, bench: DataFrame, k: int = SEED_WORDS, thresho
                 found = list(table.matches(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())),
-                    pa.array([table.ids[f[1]] for f in found], pa.int64()),
+                    pa.array([table.ids[f[1]] for f in found], pa.string()),
                     pa.array([len(table.items[f[1]]) for f in found], pa.int64()),
                     pa.array([f[2] for f in found], pa.int64()),
                     pa.array([f[3] for f in found], pa.float64()),
                     pa.array([f[4] for f in found], pa.int64())],
-                    names=["doc_id", "item_id", "item_words", "matched_words", "coverage", "tiles"])
+                    names=["doc_id", "item_key", "item_words", "matched_words", "coverage", "tiles"])
 
-        pairs = rows.mapInArrow(run, PAIRS)
+        pairs = rows.mapInArrow(run, MATCHES)
         out = pairs if out is None else out.unionByName(pairs)
-    return out if out is not None else spark.createDataFrame([], PAIRS)
+    if out is None:
+        return spark.createDataFrame([], PAIRS)
+    return (out.join(benchmark_items(bench).select("item_key", "item_id"), "item_key")
+            .select("doc_id", "item_id", "item_words", "matched_words", "coverage", "tiles"))
 
 
 def drop_leaking(docs: DataFrame, bench: DataFrame, k: int = SEED_WORDS, threshold: float = COVERAGE,
