@@ -14,7 +14,9 @@ Plan: turns are cut into blocks of ``BLOCK`` turn numbers. A small table of
 and offset per perspective. The turns meet it in one join keyed by
 conversation and block, and the running sums inside a block reuse that
 partitioning, so texts are shuffled once and one conversation holding a third
-of all rows is spread over its blocks.
+of all rows is spread over its blocks if its turn numbers differ. Rows with the
+same few turn numbers, or none, share a block, which one task per perspective
+sorts (and spills) alone; all rows with a null ``conv_id`` and no turn are one.
 
 Defined cases: a null or blank role is the speaker ``unknown``; a null text is
 empty; turns sort by turn (null first), role, text; repeated rows are
