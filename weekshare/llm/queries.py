@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import (decontamination, lm, minhash, packing, perspective, quality,
-               secrets, sharding, suffixes, winnowing)
+from . import (codebooks, decontamination, divergence, lm, minhash, packing,
+               perspective, quality, secrets, sharding, suffixes, tokencount,
+               winnowing)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -16,8 +17,13 @@ QUERIES = {
     "op8_winnowing": winnowing.op8_winnowing,
     "op9_balanced_shards": sharding.op9_balanced_shards,
     "op10_perspective_rotation": perspective.op10_perspective_rotation,
+    "op11_token_counts": tokencount.op11_token_counts,
+    "op12_orchard_codes": codebooks.op12_orchard_codes,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLE = {
     "op10_perspective_rotation": perspective.OP10_SQL,
+    "op12_orchard_codes": codebooks.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
