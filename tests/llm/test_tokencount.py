@@ -35,6 +35,7 @@ def test_chunks_and_slices_do_not_show(spark, monkeypatch):
     whole = {r.doc_id: r.n_tokens for r in C.count_tokens(documents(spark, texts)).collect()}
     monkeypatch.setattr(C, "CHUNK_BYTES", 300)
     monkeypatch.setattr(C, "CHUNK_PIECES", 20)
+    monkeypatch.setattr(C, "SHARD_BYTES", 50)
     one = documents(spark, texts).coalesce(1)
     assert {r.doc_id: r.n_tokens for r in C.count_tokens(one).collect()} == whole
     rng = random.Random(7)
@@ -50,8 +51,8 @@ def test_chunks_and_slices_do_not_show(spark, monkeypatch):
 def test_frequencies_come_back():
     rng = np.random.default_rng(3)
     sizes = np.array([0, 3, 0, 5, 1, 0], np.int64)
-    numbers = np.concatenate([rng.permutation(90_000)[:n] for n in sizes]).astype(np.uint32)
-    counts = rng.integers(1, 70_000, len(numbers)).astype(np.uint32)
+    numbers = np.concatenate([rng.permutation(90_000)[:n] for n in sizes]).astype(np.int64)
+    counts = rng.integers(1, 70_000, len(numbers))
     got = list(zip(*(x.tolist() for x in C.unpack_freqs(C.pack_freqs(numbers, counts, sizes), sizes))))
     at = 0
     for n in sizes:
@@ -68,6 +69,22 @@ def test_edges(spark, texts, ids, want):
     assert sorted((r.doc_id is None, r.doc_id) for r in rows) == sorted((i is None, i) for i in ids)
 
 
-def test_each_pre_token_is_counted_once(spark):
-    plan = C.count_tokens(documents(spark, ["the cat the cat"] * 50))
-    assert [r.n_tokens for r in plan.collect()] == [4] * 50
+def test_each_pre_token_is_counted_once():
+    import pyarrow as pa
+    asked = [["a", " b", "c"], [" b", "d"], ["c", "a", " b"]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 1, 2]), pa.array([5, 5, 5], pa.int32()), pa.array([b"0", b"1", b"2"]),
+         pa.array([len(x) for x in asked], pa.int32()),
+         pa.array([C.pack_pieces([p.encode() for p in x]) for x in asked])],
+        names=["chunk", "shard", "packed", "n", "pieces"])
+    counted = []
+    cutter = C._cutter(None)
+    original = cutter.pieces
+    cutter.pieces = lambda new: counted.extend(new) or original(new)
+    try:
+        (out,) = C._answers(None)([batch])
+    finally:
+        del cutter.pieces
+    assert counted == ["a", " b", "c", "d"]
+    assert [C.unpack_numbers(c, n, 1)[0].tolist() for c, n in
+            zip(out.column("counts").to_pylist(), out.column("n").to_pylist())] == [[1, 1, 1], [1, 1], [1, 1, 1]]

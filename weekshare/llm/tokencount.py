@@ -8,12 +8,13 @@ for the whole corpus.
    documents, the chunk's distinct pre-tokens and every document's frequencies
    of them (sorted numbers as differences, compressed). A chunk ends when its
    text or its dictionary is full, so a task's memory does not follow the data.
-2. The distinct pre-tokens of all chunks are encoded, each once, by the
-   vocabulary's library; only the number of pieces is kept.
-3. That table joins the chunks' dictionaries. A pre-token is one row per chunk
-   there, however often it occurs, so none is hotter than the number of chunks.
-   A chunk's answers come back in its own numbering, and each document is the
-   product of its frequencies with them.
+2. The chunks' dictionaries are dealt to shards by a hash of the pre-token, packed:
+   one row per chunk and shard. A pre-token is there once per chunk, however often
+   it occurs, so none is hotter than the number of chunks. A shard encodes each
+   distinct pre-token once, by the vocabulary's library; only its number of pieces
+   is kept, and goes back to the chunks that asked, in their own numbering.
+3. The answers of a chunk join its documents' frequencies; a document's count is
+   the sum of frequency times pieces.
 
 Pre-tokens are cut by the vocabulary's published pattern. Character classes
 differ between Unicode versions, so texts with a character that was unassigned
@@ -33,6 +34,7 @@ import os
 import re
 import sys
 import unicodedata
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -44,15 +46,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_texts, read_table, staged, text_batches
+from .common import buckets_of, plain_texts, read_table, staged, text_batches
+from .tokens import hash_words
 
 LIMIT = 512                 # tokens; longer documents are flagged
 CHUNK_BYTES = 16 << 20      # text per chunk; a longer text is its own chunk
-CHUNK_PIECES = 1 << 17      # distinct pre-tokens per chunk, checked after each document
+CHUNK_PIECES = 1 << 19      # distinct pre-tokens per chunk, checked after each document
+SHARD_BYTES = 64 << 20      # text per shard of the pre-tokens
 SLICE = 1 << 20             # characters of a text cut at a time
 
-CHUNKS = ("chunk long, ids array<long>, n_bytes array<long>, specials array<long>, "
-          "sizes array<int>, freqs binary, pieces array<string>")
+# Rows of documents (shard NULL; ``packed`` holds their frequencies) and rows of
+# pre-tokens (``packed`` holds their numbers in the chunk).
+CHUNKS = ("chunk long, shard int, ids array<long>, n_bytes array<long>, specials array<long>, "
+          "sizes array<int>, packed binary, n int, pieces binary")
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 _CUTTERS: dict = {}
@@ -128,79 +134,113 @@ def _cutter(path: str | None) -> Cutter:
     return _CUTTERS[path]
 
 
+def pack_numbers(*columns: np.ndarray) -> bytes:
+    """Columns of 32-bit numbers, byte plane by byte plane: planes of zeros vanish."""
+    planes = np.concatenate(columns).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack_numbers(packed: bytes, n: int, columns: int) -> np.ndarray:
+    """``columns`` rows of ``n`` numbers."""
+    raw = zstandard.ZstdDecompressor().decompress(packed, max_output_size=max(1, 4 * n * columns))
+    planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(columns, n).astype(np.int64)
+
+
 def pack_freqs(numbers: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> bytes:
-    """Each document's pre-token numbers, sorted, as differences, and their
-    counts; byte plane by byte plane, so that small values compress away."""
+    """Each document's pre-token numbers, sorted, as differences, and their counts."""
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((numbers, doc))
+    order = np.argsort(doc << 32 | numbers, kind="stable")
     numbers, counts = numbers[order], counts[order]
-    step = np.diff(numbers, prepend=np.uint32(0))
-    first = np.cumsum(sizes)[:-1]
-    first = np.concatenate([[0], first])[sizes > 0]
+    step = np.diff(numbers, prepend=numbers[:1])
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
     step[first] = numbers[first]
-    planes = np.concatenate([step, counts]).astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    return pack_numbers(step, counts)
 
 
 def unpack_freqs(packed: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(numbers, counts)`` of all documents, one after the other."""
-    n = int(sizes.sum())
-    raw = zstandard.ZstdDecompressor().decompress(packed, max_output_size=max(1, 8 * n))
-    both = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-    numbers = np.cumsum(both[:n].astype(np.int64))
-    ends = np.cumsum(sizes)
-    begin = ends - sizes
-    before = np.concatenate([[0], numbers])[begin]          # each document starts anew
-    return numbers - np.repeat(before, sizes), both[n:].astype(np.int64)
-
+    step, counts = unpack_numbers(packed, int(sizes.sum()), 2)
+    upto = np.concatenate([[0], np.cumsum(step)])
+    begin = np.cumsum(sizes) - sizes
+    return upto[1:] - np.repeat(upto[begin], sizes), counts     # each document starts anew
+
+
+def pack_pieces(pieces: list[bytes]) -> bytes:
+    lengths = np.array([len(p) for p in pieces], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(lengths + b"".join(pieces))
+
+
+def unpack_pieces(packed: bytes, n: int) -> list[str]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n)) + 4 * n
+    return [raw[a:b].decode() for a, b in zip([4 * n, *ends.tolist()], ends.tolist())]
+
+
+def _chunks(path: str | None, shards: int):
+    names = ["chunk", "shard", "ids", "n_bytes", "specials", "sizes", "packed", "n", "pieces"]
+    kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.int32()), pa.binary(),
+             pa.int32(), pa.binary()]
+
+    def rows_of(chunk, index, ids, n_bytes, specials, sizes, numbers, counts) -> pa.RecordBatch:
+        freqs = pack_freqs(np.array(numbers, np.int64), np.array(counts, np.int64), np.array(sizes, np.int64))
+        rows = [(chunk, None, ids, n_bytes, specials, sizes, freqs, None, None)]
+        pieces = [p.encode() for p in index]
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        of = (hash_words(data, np.cumsum(lengths) - lengths, lengths) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        cut = np.flatnonzero(np.diff(of[order])) + 1
+        for part in np.split(order, cut) if len(order) else []:
+            rows.append((chunk, int(of[part[0]]), None, None, None, None,
+                         pack_numbers(np.diff(part, prepend=0)), len(part),
+                         pack_pieces([pieces[k] for k in part.tolist()])))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-def _chunks(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(path)
         chunk = TaskContext.get().partitionId() << 33
 
         def fresh():
-            return defaultdict(count().__next__), [], [], [], [], [], []
-
-        index, ids, n_bytes, specials, sizes, numbers, counts = fresh()
+            return defaultdict(count().__next__), [], [], [], [], array("I"), array("I")
 
-        def row() -> pa.RecordBatch:
-            lengths = np.array(sizes, np.int64)
-            packed = pack_freqs(np.array(numbers, np.uint32), np.array(counts, np.uint32), lengths)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([n_bytes], pa.list_(pa.int64())), pa.array([specials], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int32())), pa.array([packed], pa.binary()),
-                 pa.array([list(index)], pa.list_(pa.string()))],
-                names=["chunk", "ids", "n_bytes", "specials", "sizes", "freqs", "pieces"])
-
-        held = 0
+        held, state = 0, fresh()
         for batch in text_batches(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(),
                                  plain_texts(batch.column("text")).to_pylist()):
                 size = len(text.encode())
-                if ids and (held + size > CHUNK_BYTES or len(index) > CHUNK_PIECES):
-                    yield row()
-                    index, ids, n_bytes, specials, sizes, numbers, counts = fresh()
-                    chunk, held = chunk + 1, 0
+                if state[1] and (held + size > CHUNK_BYTES or len(state[0]) > CHUNK_PIECES):
+                    yield rows_of(chunk, *state)
+                    chunk, held, state = chunk + 1, 0, fresh()
+                index, ids, n_bytes, specials, sizes, numbers, counts = state
                 freqs, special = cutter.cut(text)
                 numbers.extend(map(index.__getitem__, freqs))
                 counts.extend(freqs.values())
                 for column, value in ((ids, doc), (n_bytes, size), (specials, special), (sizes, len(freqs))):
                     column.append(value)
                 held += size
-        if ids:
-            yield row()
+        if state[1]:
+            yield rows_of(chunk, *state)
     return run
 
 
-def _piece_counts(path: str | None):
+def _answers(path: str | None):
+    """Rows of pre-tokens, ordered by shard -> their numbers of pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(path)
-        for batch in text_batches(batches, "piece", 1 << 18):
-            n = cutter.pieces(batch.column("piece").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(n, pa.int64())],
-                                             names=["piece", "n"])
+        at, known = None, {}
+        for batch in batches:
+            out = []
+            for i, (shard, n) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("n").to_pylist())):
+                if shard != at:
+                    at, known = shard, {}
+                pieces = unpack_pieces(batch.column("pieces")[i].as_py(), n)
+                new = [p for p in pieces if p not in known]
+                known.update(zip(new, cutter.pieces(new)))
+                out.append(pack_numbers(np.fromiter(map(known.__getitem__, pieces), np.int64, n)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("chunk"), batch.column("n"), batch.column("packed"), pa.array(out, pa.binary())],
+                names=["chunk", "n", "numbers", "counts"])
     return run
 
 
@@ -211,11 +251,12 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return batch.column(name)[i].values
 
             sizes = column("sizes").to_numpy(zero_copy_only=False).astype(np.int64)
-            answers = column("answers")
-            pieces = np.zeros(len(answers), np.int64)
-            pieces[answers.field("k").to_numpy(zero_copy_only=False)] = \
-                answers.field("n").to_numpy(zero_copy_only=False)
-            numbers, counts = unpack_freqs(batch.column("freqs")[i].as_py(), sizes)
+            answers = batch.column("answers")[i].as_py() or []
+            pieces = np.zeros(sum(a["n"] for a in answers), np.int64)
+            for a in answers:
+                pieces[np.cumsum(unpack_numbers(a["numbers"], a["n"], 1)[0])] = \
+                    unpack_numbers(a["counts"], a["n"], 1)[0]
+            numbers, counts = unpack_freqs(batch.column("packed")[i].as_py(), sizes)
             upto = np.concatenate([[0], np.cumsum(pieces[numbers] * counts)])
             ends = np.cumsum(sizes)
             total = upto[ends] - upto[ends - sizes] + column("specials").to_numpy(zero_copy_only=False)
@@ -232,16 +273,16 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, id_col: str = "
     the executors see it; by default each asks the public tokenizers package.
     """
     rows = docs.selectExpr(f"cast(`{id_col}` AS long) AS doc_id", f"`{text_col}` AS text")
-    chunks = staged(rows.mapInArrow(_chunks(vocabulary), CHUNKS), "tokencount-chunks")
-    asked = chunks.select("chunk", F.posexplode("pieces").alias("k", "piece"))
-    counted = staged(asked.select("piece").distinct().mapInArrow(_piece_counts(vocabulary),
-                                                                 "piece string, n long"), "tokencount-pieces")
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    shards = max(buckets_of(docs.sparkSession), -(-size // SHARD_BYTES))
+    chunks = staged(rows.mapInArrow(_chunks(vocabulary, shards), CHUNKS), "tokencount-chunks", "uncompressed")
+    asked = chunks.where("shard IS NOT NULL").select("chunk", "shard", "packed", "n", "pieces")
     # A chunk without pre-tokens (only empty texts) has no answers.
-    answers = (asked.join(counted, "piece").groupBy("chunk")
-               .agg(F.collect_list(F.struct("k", "n")).alias("answers")))
-    return (chunks.drop("pieces").join(answers, "chunk", "left")
-            .withColumn("answers", F.coalesce("answers", F.array().cast("array<struct<k:int,n:bigint>>")))
-            .drop("chunk").mapInArrow(_sums, COUNTS))
+    answers = (asked.repartition("shard").sortWithinPartitions("shard")
+               .mapInArrow(_answers(vocabulary), "chunk long, n int, numbers binary, counts binary")
+               .groupBy("chunk").agg(F.collect_list(F.struct("n", "numbers", "counts")).alias("answers")))
+    return (chunks.where("shard IS NULL").select("chunk", "ids", "n_bytes", "specials", "sizes", "packed")
+            .join(answers, "chunk", "left").drop("chunk").mapInArrow(_sums, COUNTS))
 
 
 def op11_token_counts(spark, sf_dir: str) -> DataFrame:
