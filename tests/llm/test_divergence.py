@@ -2,9 +2,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from weekshare.llm import divergence as D
+from weekshare.llm.tokens import split
 
 SCHEMA = "doc_id long, text string, lang string, source string, item string, value double, rank int"
 
@@ -70,8 +72,9 @@ def test_against_brute_force(spark, seed, min_docs):
 
 def test_blocks_runs_tiles_and_shards_do_not_show(spark, monkeypatch):
     rows = corpus(3, 300, sources=11)
-    monkeypatch.setattr(D, "BLOCK_ENTRIES", 50)
-    monkeypatch.setattr(D, "RUN_ENTRIES", 3)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(D, "RUN_TERMS", 3)
+    monkeypatch.setattr(D, "SLICE", 100)
     monkeypatch.setattr(D, "TILE", 4)
     monkeypatch.setattr(D, "PAIR_ENTRIES", 100)
     monkeypatch.setattr(D, "SHARD_BYTES", 100)
@@ -82,28 +85,39 @@ def test_blocks_runs_tiles_and_shards_do_not_show(spark, monkeypatch):
 
 def test_terms_are_never_cut():
     rng = random.Random(4)
-    text = "".join(rng.choice("abé -1Z") for _ in range(5000)).encode()
-    whole = text.translate(D._TERM_BYTES).split()
+    text = ("".join(rng.choice("abé -1Z") for _ in range(5000)) + "x" * 200_000 + " y").encode()
+    data = np.frombuffer(text, np.uint8)
+
+    def terms(part):
+        start, length, _ = split(part, np.array([0, len(part)]), "letters")
+        return [part[a:a + n].tobytes() for a, n in zip(start, length)]
+
     for limit in (1, 10, 300):
-        assert [t for s in D.term_slices(text, limit) for t in s] == whole
+        parts = list(D._text_slices(data, limit))
+        assert [t for p in parts for t in terms(p)] == terms(data)
 
 
 def test_merge_opens_rows_only_when_reached():
-    runs = [sorted(((b"l", bytes([97 + i * k % 26]), b""), 1) for i in range(8)) for k in (1, 3, 5, 7)]
+    class Part:
+        def __init__(self, terms):
+            self.terms = terms
+
+    runs = [sorted({bytes([97 + i * k % 26]) for i in range(8)}) for k in (1, 3, 5, 7)]
     opened = []
 
-    def rows():
-        packed = sorted((run[a][0], run[a:a + 2]) for run in runs for a in range(0, 8, 2))
-        for first, part in packed:
-            opened.append(first)
-            yield first, part
+    def opener(terms):
+        def call():
+            opened.append(terms[0])
+            return Part(terms)
+        return terms[0], call
 
-    want = Counter(k for run in runs for k, _ in run)
+    rows = sorted((run[a:a + 2] for run in runs for a in range(0, len(run), 2)), key=lambda t: t[0])
     got = []
-    for key, n in D.merged(rows()):
-        got.append((key, n))
-        assert len({first for first in opened if first > key}) <= 2
-    assert got == sorted(want.items())
+    for term, found in D.merged(map(opener, rows)):
+        assert all(first <= term for first in opened)
+        assert all(row.terms[at] == term for row, at in found)
+        got.append((term, len(found)))
+    assert got == sorted(Counter(t for run in runs for t in run).items())
 
 
 @pytest.mark.parametrize("rows,n", [([], 0), ([(None, None, None)], 0), ([("a", "en", "s"), ("a", "en", "t")], 2)])

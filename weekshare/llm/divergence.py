@@ -4,14 +4,14 @@ Single-pass in-memory indexing gives the frequencies, and differences between
 all pairs of sources come from a baseline with corrections.
 
 1. Index. One map reads every whole text once and adds its terms to block
-   postings in memory: occurrences per (language, term, source), documents per
-   (language, term). When the block is full, or the task ends, it leaves as a
-   term-sorted run, cut into packed rows by hash shard and by a bound on
-   entries. A task's memory is the block's, whatever its input.
-2. Merge. A shard's rows are ordered by their first entry and merged by a heap:
-   a row is opened only when the sweep has reached its first entry, and entries
-   below that are final. A term that every row holds is one entry per run.
-   Terms in too few documents end here.
+   postings in memory: occurrences and documents per (term, language, source).
+   When the block is full, or the task ends, it leaves as a term-sorted run, cut
+   into packed rows by hash shard and by a bound on terms. A task's memory is the
+   block's, whatever its input; a document beyond the block is compacted to its
+   distinct terms.
+2. Merge. A shard's rows are ordered by their first term and merged by a heap: a
+   row is opened only when the sweep has reached its first term. A term that every
+   row holds is one entry per run. Terms in too few documents end here.
 3. Groups. Every (language, source) and every language gets its smoothed,
    rounded probabilities; they are whole numbers, so sums are exact.
 4. Terms. The largest excesses over the language are chosen in two levels, by
@@ -33,201 +33,265 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import count, groupby
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buckets_of, number_rows, plain_texts, read_table, staged, text_batches
+from .tokens import _LETTER, flat, hash_words, lowered, split
 
 MIN_DOCS = 30               # documents of its language that hold a kept term
 UNIT = 1_000_000_000        # probabilities are multiples of 1 / UNIT
 SMOOTH = 5                  # added to every count
 TOP = 50                    # terms listed per group
-BLOCK_ENTRIES = 400_000     # postings in memory
-RUN_ENTRIES = 4096          # postings in a packed row of a run
-SLICE = 1 << 20             # bytes of a text read at a time
+BLOCK_BYTES = 16 << 20      # text whose postings are held in memory
+RUN_TERMS = 4096            # terms in a packed row of a run
+SLICE = 4 << 20             # bytes of a long text read at a time
 SHARD_BYTES = 64 << 20      # text per hash shard
 TILE = 256                  # sources of a tile of pairs
-PAIR_ENTRIES = 2_000_000    # frequencies per shard of the pairs' sums
+PAIR_ENTRIES = 1 << 18      # frequencies per shard of the pairs' sums
 
-# Term characters are A-Z, a-z and all beyond ASCII; A-Z are lower-cased.
-_TERM_BYTES = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256)).lower()
-
-RUNS = ("shard int, first binary, langs array<binary>, terms array<binary>, places array<binary>, "
-        "counts array<long>")
+# Per packed row: terms in order (``body`` cut by ``lengths``), the number of
+# postings of each, and the postings: which of the row's groups, occurrences
+# and documents there.
+RUNS = ("shard int, first binary, body binary, lengths array<int>, postings array<int>, langs array<binary>, "
+        "sources array<binary>, groups array<int>, n array<int>, docs array<int>")
 # ``total`` is the term's count in the language; ``first`` marks one row per term.
 FREQUENCIES = "lang string, term string, source string, n long, total long, first boolean"
 SUMS = "lang string, a long, b long, apart long"
 
-# A posting is ((language, term, place), number); the place is empty for the
-# number of documents, else a mark and the source, so documents come first.
-_MARK = b"\x01"
-
 
-def term_slices(text: bytes, limit: int = SLICE) -> Iterator[list[bytes]]:
-    """The terms of a text, in lists of bounded size; terms are never cut."""
-    data = text.translate(_TERM_BYTES)
+def _text_slices(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Parts of about ``limit`` bytes of one text; terms are never cut."""
     start = 0
     while len(data) - start > limit:
-        end = data.find(b" ", start + limit)
-        if end < 0:
-            break
-        yield data[start:end].split()
+        ahead = data[start + limit:start + limit + (1 << 16)]
+        gap = np.flatnonzero(~_LETTER[ahead])
+        end = start + limit + (int(gap[0]) if len(gap) else len(ahead))
+        while not len(gap) and end < len(data) and _LETTER[data[end]]:
+            end += 1
+        yield data[start:end]
         start = end
-    yield data[start:].split()
+    yield data[start:]
 
 
 class Block:
-    """Postings in memory."""
+    """Postings in memory: the terms of whole documents, each with its document
+    and a count, until they are put in order as a run."""
 
     def __init__(self):
-        self.occurrences: dict[tuple, Counter] = defaultdict(Counter)
-        self.documents: dict[bytes, Counter] = defaultdict(Counter)
-
-    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        held = self.occurrences[lang, source]
-        seen: set = set()
-        for terms in term_slices(text):
-            held.update(terms)
-            seen.update(terms)
-        self.documents[lang].update(seen)
-
-    def full(self, entries: int) -> bool:
-        return sum(map(len, self.occurrences.values())) + sum(map(len, self.documents.values())) > entries
-
-    def run(self) -> list[tuple]:
-        """The postings as one sorted run."""
-        out = [((lang, term, _MARK + source), n)
-               for (lang, source), held in self.occurrences.items() for term, n in held.items()]
-        out += [((lang, term, b""), n)
-                for lang, held in self.documents.items() for term, n in held.items()]
-        out.sort()
-        return out
-
-
-def packed_run(run: list[tuple], shards: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """A run as rows of one hash shard and at most ``limit`` postings each."""
-    of: dict[int, list] = defaultdict(list)
-    for entry in run:
-        of[zlib.crc32(entry[0][1]) % shards].append(entry)
-    rows: list[list] = [[], [], [], [], [], []]
-    for shard, entries in of.items():
-        for at in range(0, len(entries), limit):
-            part = entries[at:at + limit]
-            keys, counts = zip(*part)
-            for column, value in zip(rows, (shard, _key_bytes(keys[0]), *zip(*keys), counts)):
-                column.append(value)
-    kinds = (pa.int32(), pa.binary(), *[pa.list_(pa.binary())] * 3, pa.list_(pa.int64()))
-    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)],
-                                     names=["shard", "first", "langs", "terms", "places", "counts"])
-
-
-def _key_bytes(key: tuple) -> bytes:
-    """Bytes that are in the order of the keys. Zero bytes end the language,
-    so those inside it are escaped; terms hold none."""
-    return key[0].replace(b"\x00", b"\x00\xff") + b"\x00\x00" + key[1] + b"\x00" + key[2]
-
-
-def _index(shards: int, entries: int, limit: int):
+        self.docs: list[tuple[bytes, bytes]] = []       # each document's language and source
+        self.parts: list[tuple] = []                    # term bytes, lengths, documents, counts
+        self.held = 0
+
+    def add(self, langs: list, sources: list, data: np.ndarray, offsets: np.ndarray) -> None:
+        """Texts as bytes with offsets."""
+        first = len(self.docs)
+        self.docs.extend(zip(langs, sources))
+        alone = len(langs) == 1
+        for part in _text_slices(data, SLICE) if alone else [data]:
+            start, length, text = split(part, np.array([0, len(part)]) if alone else offsets, "letters")
+            self.parts.append((lowered(part)[_LETTER[part]], length, text + first, np.ones(len(text), np.int64)))
+            self.held += len(part)
+            if alone and self.held > 2 * BLOCK_BYTES:   # one document beyond the block
+                self._compact()
+
+    def _ordered(self):
+        """Terms in order, and per distinct (term, document) its term number,
+        document and count, in the order of term and group."""
+        body = np.concatenate([p[0] for p in self.parts])
+        length, doc, n = (np.concatenate([p[k] for p in self.parts]) for k in (1, 2, 3))
+        offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [
+            None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+        order = pc.array_sort_indices(words.dictionary)
+        rank = np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        by_group = sorted(range(len(self.docs)), key=self.docs.__getitem__)
+        place = np.empty(len(by_group), np.int64)
+        place[by_group] = np.arange(len(by_group))
+        key = rank[words.indices.to_numpy()] << 32 | place[doc]
+        if (n == 1).all():
+            key.sort()
+        else:
+            at = np.argsort(key)
+            key, n = key[at], n[at]
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        counts = np.add.reduceat(n, begin) if len(begin) else n
+        key = key[begin]
+        return words.dictionary.take(order), key >> 32, np.array(by_group, np.int64)[key & 0xFFFFFFFF], counts
+
+    def _compact(self) -> None:
+        terms, term, doc, n = self._ordered()
+        lengths = pc.binary_length(terms).to_numpy().astype(np.int64)
+        words = terms.take(pa.array(term))
+        self.parts = [(_bytes_of(words), lengths[term], doc, n)]
+        self.held = int(lengths[term].sum())
+
+    def run(self, shards: int, limit: int) -> pa.RecordBatch | None:
+        """One term-sorted run, as rows of one hash shard and ``limit`` terms at most."""
+        if not self.parts or not sum(len(p[1]) for p in self.parts):
+            return None
+        terms, term, doc, counts = self._ordered()
+        names = sorted(set(self.docs))
+        code = {name: i for i, name in enumerate(names)}
+        group = np.array([code[d] for d in self.docs], np.int64)[doc]
+        begin = np.flatnonzero(np.diff(term << 32 | group, prepend=-1))
+        term, group = term[begin], group[begin]
+        n = np.add.reduceat(counts, begin)
+        docs = np.diff(begin, append=len(counts))
+        # Terms by shard, and in order within it; the postings follow them.
+        lengths = pc.binary_length(terms).to_numpy().astype(np.int64)
+        data = _bytes_of(terms)
+        of = (hash_words(data, np.cumsum(lengths) - lengths, lengths) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        each = np.bincount(term, minlength=len(terms))
+        first = np.cumsum(each) - each
+        each = each[order]
+        ends = np.cumsum(each)
+        at = np.arange(ends[-1]) + np.repeat(first[order] - (ends - each), each)
+        group, n, docs = group[at], n[at], docs[at]
+        of = of[order]
+        terms, lengths = terms.take(pa.array(order)), lengths[order]
+        new = np.flatnonzero(np.diff(of, prepend=-1))
+        within = np.arange(len(of)) - np.repeat(new, np.diff(new, append=len(of)))
+        rows = np.append(np.flatnonzero(within % limit == 0), len(of))        # first term of each row
+        postings = np.concatenate([[0], ends])[rows]
+        # Each row names only the groups it holds.
+        row = np.repeat(np.arange(len(rows) - 1), np.diff(postings))
+        used, local = np.unique(row << 32 | group, return_inverse=True)
+        begins = np.searchsorted(used, np.arange(len(rows)) << 32)
+        local -= begins[row]
+        bodies = np.concatenate([[0], np.cumsum(lengths)])[rows]
+        named = [names[i] for i in (used & 0xFFFFFFFF).tolist()]
+
+        def listed(values, offsets, kind):
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+        body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows) - 1, [
+            None, pa.py_buffer(bodies.astype(np.int64)), pa.py_buffer(_bytes_of(terms))])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(of[rows[:-1]], pa.int32()), terms.take(pa.array(rows[:-1])).cast(pa.binary()),
+             body.cast(pa.binary()), listed(lengths, rows, pa.int32()), listed(each, rows, pa.int32()),
+             listed([k[0] for k in named], begins, pa.binary()), listed([k[1] for k in named], begins, pa.binary()),
+             listed(local, postings, pa.int32()), listed(n, postings, pa.int32()),
+             listed(docs, postings, pa.int32())],
+            names=["shard", "first", "body", "lengths", "postings", "langs", "sources", "groups", "n", "docs"])
+
+
+def _bytes_of(words: pa.LargeBinaryArray) -> np.ndarray:
+    """The bytes of all words, one after the other."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    return np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+
+
+def _index(shards: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block()
-        since = 0
         for batch in text_batches(batches):
-            columns = [plain_texts(batch.column(c)).cast(pa.large_binary()).to_pylist()
-                       for c in ("lang", "source", "text")]
-            for lang, source, text in zip(*columns):
-                block.add(lang, source, text)
-                since += len(text)
-                if since > 1 << 18:                     # counting the postings costs a little
-                    since = 0
-                    if block.full(entries):
-                        yield from packed_run(block.run(), shards, limit)
-                        block = Block()
-        yield from packed_run(block.run(), shards, limit)
+            langs, sources = (plain_texts(batch.column(c)).cast(pa.large_binary()).to_pylist()
+                              for c in ("lang", "source"))
+            block.add(langs, sources, *flat(batch.column("text")))
+            if block.held > BLOCK_BYTES:
+                yield from filter(None, [block.run(shards, limit)])
+                block = Block()
+        yield from filter(None, [block.run(shards, limit)])
     return run
 
 
+class Row:
+    """A packed row of a run, read on from term to term."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int, number: dict):
+        def column(name):
+            return batch.column(name)[i].values
+
+        body = batch.column("body")[i].as_py()
+        ends = np.cumsum(column("lengths").to_numpy()).tolist()
+        self.terms = [body[a:b] for a, b in zip([0, *ends], ends)]
+        codes = np.array([number[k] for k in zip(column("langs").to_pylist(), column("sources").to_pylist())])
+        self.groups = codes[column("groups").to_numpy()]
+        self.n, self.docs = column("n").to_numpy(), column("docs").to_numpy()
+        self.ends = [0, *np.cumsum(column("postings").to_numpy()).tolist()]
+        # The documents of each term, in all groups together.
+        self.total = np.add.reduceat(self.docs, self.ends[:-1]).tolist()
+
+    def part(self, at: int) -> slice:
+        return slice(self.ends[at], self.ends[at + 1])
+
+
 def merged(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """``(key, number)`` with equal keys added up, in order, from packed rows
-    ``(first key, postings)`` ordered by their first key. Each open row has its
-    next posting in the heap; rows that start later stay unopened."""
+    """``(term, [(row, place), ...])`` in the order of the terms, from ``(first term,
+    opener)`` ordered by their first term. The heap holds the next term of every
+    open row; a row is opened when the sweep has reached its first term."""
     heap: list = []
     opened = 0
-    key, total = None, 0
-
-    def drain(until):
-        nonlocal key, total
-        while heap and (until is None or heap[0][0] < until):
-            k, _, n, rest = heap[0]
-            following = next(rest, None)
-            if following is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (following[0], heap[0][1], following[1], rest))
-            if k == key:
-                total += n
+    coming = next(rows, None)
+    while heap or coming:
+        while coming and (not heap or coming[0] <= heap[0][0]):
+            heapq.heappush(heap, (coming[0], opened, 0, coming[1]()))
+            opened += 1
+            coming = next(rows, None)
+        term, found = heap[0][0], []
+        while heap and heap[0][0] == term:
+            _, order, at, row = heap[0]
+            found.append((row, at))
+            if at + 1 < len(row.terms):
+                heapq.heapreplace(heap, (row.terms[at + 1], order, at + 1, row))
             else:
-                if key is not None:
-                    yield key, total
-                key, total = k, n
-
-    for first, postings in rows:
-        yield from drain(first)
-        rest = iter(postings)
-        k, n = next(rest)
-        heapq.heappush(heap, (k, opened, n, rest))
-        opened += 1
-    yield from drain(None)
-    if key is not None:
-        yield key, total
-
-
-def _shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """``(shard, first key, postings)`` of each packed row."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            langs, terms, places, counts = (batch.column(c)[i].values.to_pylist()
-                                            for c in ("langs", "terms", "places", "counts"))
-            yield (batch.column("shard")[i].as_py(), (langs[0], terms[0], places[0]),
-                   zip(zip(langs, terms, places), counts))
+                heapq.heappop(heap)
+        yield term, found
 
 
 def _merge(min_docs: int):
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+    names = ["lang", "term", "source", "n", "total", "first"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+        number: dict = defaultdict(count().__next__)            # of the groups met by this task
+        known: list = []
         out: list = []
 
+        def openers():
+            for batch in batches:
+                for i, (shard, first) in enumerate(zip(batch.column("shard").to_pylist(),
+                                                       batch.column("first").to_pylist())):
+                    yield shard, (first, lambda batch=batch, i=i: Row(batch, i, number))
+
         def emit() -> pa.RecordBatch:
             columns = list(zip(*out)) or [()] * len(kinds)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              names=["lang", "term", "source", "n", "total", "first"])
-
-        def close(term, held):
-            lang, word = (t.decode() for t in term)
-            total = sum(n for _, n in held)
-            out.extend((lang, word, source.decode(), n, total, i == 0) for i, (source, n) in enumerate(held))
-
-        for _, rows in groupby(_shard_rows(batches), key=itemgetter(0)):
-            term, held = None, []                       # a kept term and its sources
-            for (lang, word, place), n in merged(r[1:] for r in rows):
-                if not place:
-                    if held:
-                        close(term, held)
-                        if len(out) > 20_000:
-                            yield emit()
-                    term, held = ((lang, word) if n >= min_docs else None), []
-                elif term == (lang, word):
-                    held.append((place[len(_MARK):], n))
-            if held:
-                close(term, held)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+        for _, rows in groupby(openers(), key=itemgetter(0)):
+            for term, found in merged(r[1] for r in rows):
+                if sum(row.total[at] for row, at in found) < min_docs:
+                    continue
+                parts = [(row, row.part(at)) for row, at in found]
+                group = np.concatenate([row.groups[p] for row, p in parts])
+                used, local = np.unique(group, return_inverse=True)
+                n, docs = np.zeros(len(used), np.int64), np.zeros(len(used), np.int64)
+                np.add.at(n, local, np.concatenate([row.n[p] for row, p in parts]))
+                np.add.at(docs, local, np.concatenate([row.docs[p] for row, p in parts]))
+                if len(known) < len(number):
+                    known = list(number)
+                by_lang: dict = defaultdict(list)
+                for g, k, d in zip(used.tolist(), n.tolist(), docs.tolist()):
+                    by_lang[known[g][0]].append((known[g][1], k, d))
+                for lang, held in by_lang.items():
+                    if sum(h[2] for h in held) >= min_docs:
+                        total = sum(h[1] for h in held)
+                        out.extend((lang.decode(), term.decode(), source.decode(), k, total, i == 0)
+                                   for i, (source, k, _) in enumerate(held))
+                if len(out) > 20_000:
+                    yield emit()
         yield emit()
     return run
 
@@ -238,7 +302,7 @@ def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, lang_col: str =
     rows = docs.selectExpr(f"`{lang_col}` AS lang", f"`{source_col}` AS source", f"`{text_col}` AS text")
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(buckets_of(docs.sparkSession), -(-size // SHARD_BYTES))
-    return (rows.mapInArrow(_index(shards, BLOCK_ENTRIES, RUN_ENTRIES), RUNS)
+    return (rows.mapInArrow(_index(shards, RUN_TERMS), RUNS)
             .repartition("shard").sortWithinPartitions("shard", "first")
             .mapInArrow(_merge(min_docs), FREQUENCIES))
 
