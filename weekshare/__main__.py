@@ -5,7 +5,8 @@
 
 Loads one export snapshot (several files are its declared parts), stops if
 any row cannot be loaded exactly or has a week that does not exist (D4, D5),
-replaces the base table, prints the newest week loaded against the week being
+creates the base table if it is missing and replaces its rows (the staged rows
+are removed then, or when that fails), prints the newest week loaded against the week being
 reported (D2) and the weeks present for the late airports (D3), and writes
 the three report files from one scan of the new table. Uses the active or
 default Spark session (``spark-submit`` supplies the cluster's).
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .plans.quality import lagged_weeks, latest_week
 from .plans.reports import write_reports
 from .sources.export import load_base
-from .sources.warehouse import read_base, save_base
+from .sources.warehouse import ensure_table, read_base, save_base
 
 
 def main(argv=None) -> dict[str, str]:
@@ -40,8 +41,9 @@ def main(argv=None) -> dict[str, str]:
              else dt.datetime.now(dt.timezone.utc).date())
     spark = SparkSession.builder.appName("weekshare-weekly").getOrCreate()
     exports = args.exports[0] if len(args.exports) == 1 else args.exports
-    save_base(load_base(spark, exports, as_of, encoding=args.encoding, decimal_mark=args.decimal_mark),
-              args.base)
+    ensure_table(spark, args.base)
+    with load_base(spark, exports, as_of, encoding=args.encoding, decimal_mark=args.decimal_mark) as load:
+        save_base(load.base, args.base)
     base = read_base(spark, args.base)
     fresh = latest_week(base, as_of, args.back_weeks).first()  # one row (D2)
     print(f"newest week loaded: {fresh.Year}-W{fresh.Semana}; reporting "

@@ -255,11 +255,27 @@ def _tracked_sql() -> str:
 VALID = "Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28))"
 # The day whose ISO week a run reports as its newest.
 REPORTED = f"(DATE '{AS_OF}' - {7 * BACK_WEEKS})"
-# The rendered export files: one per year and last digit of the tons.
-_RENDERED = """rendered AS (SELECT *, Year || '-' || f || '.csv' AS _file, f = 8 AND Semana > 50 AS stray,
-  CASE f WHEN 6 THEN 0 WHEN 7 THEN 2 ELSE 1 END::BIGINT AS heads
+# The rendered export files: one per year and last digit of the tons, with the week as loaded.
+_RENDERED = """rendered AS (SELECT * REPLACE (CASE WHEN f = 0 AND Semana = 7 THEN 'P "A", X' ELSE TipoVuelo END AS TipoVuelo),
+  Year || '-' || f || '.csv' AS _file, f = 8 AND Semana > 50 AS stray, f = 3 AND Semana IN (10, 51) AS bad_week,
+  CASE f WHEN 6 THEN 0 WHEN 7 THEN 2 ELSE 1 END::BIGINT AS heads,
+  CASE WHEN f = 3 AND Semana IN (10, 51) THEN NULL WHEN f = 4 AND Semana = 50 THEN 60 ELSE Semana END AS loaded
   FROM (SELECT *, trunc(Tons)::INT % 10 AS f FROM export) e)"""
 
+
+def report_file_sql() -> str:
+    """All reports, each with its views' rows in file order."""
+    ctes, selects = [], []
+    for name, views in (("awb", ("awb", "awb_sao")), ("feeder", ("feeder",)), ("gateway", ("gateway", "gateway_sao"))):
+        rows = []
+        for part, view in enumerate(views):
+            ctes += view_ctes(view, f"_{view}")
+            rows.append(f"SELECT {part} AS part, {REPORT} FROM report_{view}")
+        selects.append(f"""SELECT '{name}' AS report, (row_number() OVER (ORDER BY part, Grupo NULLS FIRST, Rank))::INT AS line, {REPORT}
+FROM (SELECT min(part) AS part, {REPORT} FROM ({" UNION ALL ".join(rows)}) u GROUP BY {REPORT}) r""")
+    return _with(*ctes) + "\nUNION ALL\n".join(selects)
+
+
 ORACLE: dict[str, str] = {
     "base_scan": base_sql("SELECT * FROM base"),
     "weeks_in_year": base_sql(
@@ -325,9 +341,8 @@ ORACLE: dict[str, str] = {
         f"weekofyear(run - {7 * BACK_WEEKS})::BIGINT AS expected_week FROM (SELECT DISTINCT Year, Semana, "
         "(date_trunc('week', make_date(Year::INT, 1, 4))::DATE + (7 * (Semana - 1))::INT)::DATE AS run "
         "FROM base) r"),
-    "export_parse": _with(_RENDERED) + """SELECT _file, Year, CASE WHEN f = 3 AND Semana = 51 THEN NULL
-    WHEN f = 4 AND Semana = 50 THEN 60 ELSE Semana END AS Semana, PostaDestinoAWB, Owner,
-  CASE WHEN f IN (1, 2) THEN NULL ELSE Tons END AS Tons, f = 3 AND Semana = 51 AS _unfit_week,
+    "export_parse": _with(_RENDERED) + """SELECT _file, Year, loaded AS Semana, PostaDestinoAWB, TipoVuelo, Owner,
+  CASE WHEN f IN (1, 2) THEN NULL ELSE Tons END AS Tons, bad_week AS _unfit_week,
   f IN (1, 2) AS _unfit_tons, f = 5 AND Semana = 9 AS _malformed
 FROM rendered WHERE NOT stray""",
     "export_rejects": _with(_RENDERED) + """SELECT *, header_missing + second_header + stray_rows + malformed_rows
@@ -339,14 +354,14 @@ FROM rendered WHERE NOT stray""",
     (CASE WHEN heads > 0 AND f <> 9 AND count(*) FILTER (WHERE stray) > 0 THEN 1 ELSE 0 END
      + CASE WHEN f = 9 AND count(*) FILTER (WHERE NOT stray) > 0 THEN 1 ELSE 0 END)::BIGINT AS stray_rows,
     count(*) FILTER (WHERE f = 5 AND Semana = 9) AS malformed_rows,
-    count(*) FILTER (WHERE f = 3 AND Semana = 51) AS unfit_week,
+    count(*) FILTER (WHERE bad_week) AS unfit_week,
     count(*) FILTER (WHERE f IN (1, 2)) AS unfit_tons,
     count(*) FILTER (WHERE f = 4 AND Semana = 50) AS invalid_weeks
   FROM rendered GROUP BY _file, f, heads) s""",
-    "bad_weeks": base_sql(
-        "SELECT Year, Semana, count(*) AS n FROM base "
-        "WHERE NOT coalesce(Semana BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28)), FALSE) "
-        "GROUP BY ALL"),
+    "bad_weeks": _with(_RENDERED) + """SELECT Year, loaded AS Semana, count(*) AS n FROM rendered WHERE NOT stray
+  AND NOT coalesce(loaded BETWEEN 1 AND weekofyear(make_date(Year::INT, 12, 28)), FALSE) GROUP BY ALL""",
+    "base_roundtrip": base_sql("SELECT * FROM base"),
+    "report_file": report_file_sql(),
 }
 
 

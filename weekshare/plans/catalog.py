@@ -9,6 +9,7 @@ NULL), the form the report files carry.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,13 @@ from ..operators.collapse import collapse_buckets
 from ..operators.share import format_report
 from ..sources.export import export_summary, mark_rows, prepare_base
 from ..sources.fixture import export_from_tables, rendered_export
+from ..session import shared_dir
 from ..sources.schema import REPORT_COLUMNS, share_columns, week_columns
+from ..sources.warehouse import ensure_table, read_base, save_base
 from . import quality
 from .market_share import (PART, bucketed_rows, classified_rows, group_rows,
                            market_share)
-from .reports import REPORTS, report
+from .reports import REPORTS, read_report_files, report, write_reports
 from .views import AWB, FEEDER, GATEWAY, VIEWS
 
 # Fixed calendar of the checks: the test data's ship dates end in 2001-11,
@@ -47,7 +50,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_export_parse(spark, d):
     return (mark_rows(rendered_export(spark, d)).where("_kind = 'data'")
-            .select("_file", "Year", "Semana", "PostaDestinoAWB", "Owner", "Tons",
+            .select("_file", "Year", "Semana", "PostaDestinoAWB", "TipoVuelo", "Owner", "Tons",
                     "_unfit_week", "_unfit_tons", "_malformed"))
 
 
@@ -190,6 +193,22 @@ def _report(name):
     return q
 
 
+# --- sinks ---------------------------------------------------------------------
+
+def q_base_roundtrip(spark, d):
+    """The base table created by name, replaced by all rows, and scanned."""
+    table = f"weekshare_base_{uuid.uuid4().hex}"
+    ensure_table(spark, table)
+    save_base(base(spark, d), table)
+    return read_base(spark, table)
+
+
+def q_report_file(spark, d):
+    """The three report files as written, line by line in their order."""
+    written = write_reports(base(spark, d), shared_dir(spark, f"reports-{uuid.uuid4().hex}"), AS_OF, BACK_WEEKS)
+    return read_report_files(spark, written)
+
+
 # --- quality -------------------------------------------------------------------
 
 def q_latest_week(spark, d):
@@ -201,7 +220,9 @@ def q_lagged_weeks(spark, d):
 
 
 def q_bad_weeks(spark, d):
-    return quality.bad_weeks(base(spark, d))
+    # Over the rendered export, whose rows hold weeks that do not exist.
+    rows = mark_rows(rendered_export(spark, d)).where("_kind = 'data'")
+    return quality.bad_weeks(prepare_base(rows, AS_OF))
 
 
 def q_week_validity(spark, d):
@@ -243,6 +264,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"view_{name}": _view(name) for name in VIEWS},
     "all_views": q_all_views,
     **{f"report_{name}": _report(name) for name in REPORTS},
+    "base_roundtrip": q_base_roundtrip,
+    "report_file": q_report_file,
     "latest_week": q_latest_week,
     "lagged_weeks": q_lagged_weeks,
     "bad_weeks": q_bad_weeks,

@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import DateLike
 from ..functions.sqltext import ident, lit
 from ..operators.share import format_report
 from ..sources.files import Files
-from ..sources.schema import REPORT_COLUMNS
+from ..sources.schema import REPORT_COLUMNS, REPORT_SCHEMA
 from .market_share import market_share
 from .views import AWB, AWB_SAO, FEEDER, GATEWAY, GATEWAY_SAO
 
@@ -104,6 +104,23 @@ def write_reports(base: DataFrame, out_dir: str, as_of: DateLike, back_weeks: in
         fs.remove(staging)
 
 
+def read_report_files(spark: SparkSession, written: dict[str, str]) -> DataFrame:
+    """Report files back as rows: ``report``, ``line`` (1 after the header) and
+    the report columns; an empty field is NULL.
+
+    A file's lines are numbered by place; a report is small (groups x shown
+    carriers), so one window per file is."""
+    out = None
+    for name, path in written.items():
+        rows = (spark.read.schema(REPORT_SCHEMA).option("header", True).option("enforceSchema", False)
+                .csv(path)
+                .selectExpr("*", "_metadata.file_block_start AS block", "monotonically_increasing_id() AS at"))
+        line = F.row_number().over(Window.partitionBy("report").orderBy("block", "at"))
+        rows = rows.withColumn("report", F.lit(name)).select("report", line.alias("line"), *REPORT_COLUMNS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _csv(writer, path: str) -> None:
     (writer.option("header", True)
      .option("nullValue", "")

@@ -10,7 +10,8 @@ parts, each with its own preamble and header. A load is exact or refused:
   file; any file with a fault (no or a second header, stray rows among the
   data, cells that do not fit the declared types, short or long rows, weeks
   that do not exist) refuses the whole load with the counts;
-* otherwise the same table, read back, is the base table's rows.
+* otherwise the same table, read back, is the base table's rows; its folder
+  belongs to the caller, who removes it when the rows are saved.
 
 Nothing is parsed twice and no unfit cell becomes NULL unnoticed.
 """
@@ -18,8 +19,9 @@ Nothing is parsed twice and no unfit cell becomes NULL unnoticed.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -27,6 +29,7 @@ from ..functions.calendar import DateLike, rel_week_sql, weeks_in_year_sql
 from ..functions.sqltext import ident, lit
 from ..functions.text import CARRIER_RECODE, clean_header_sql
 from ..session import shared_dir
+from .files import Files
 from .schema import BASE_COLUMNS, BASE_SCHEMA, EXPECTED_HEADER, EXPORT_COLUMNS, EXPORT_TEXT_SCHEMA
 
 CELLS = [f"_c{i}" for i in range(len(EXPORT_COLUMNS))]
@@ -36,28 +39,55 @@ FAULTS = ("header_missing", "second_header", "stray_rows", "malformed_rows", "un
 
 
 class ExportFormatError(ValueError):
-    """The export cannot be loaded exactly. ``failures`` (a DataFrame, one row
-    per failing file, see ``export_summary``) has the counts."""
+    """The export cannot be loaded exactly. ``failures`` (one row per failing
+    file, see ``export_summary``) has the counts."""
 
-    def __init__(self, message: str, failures: DataFrame | None = None):
+    def __init__(self, message: str, failures: list[Row] | None = None):
         super().__init__(message)
         self.failures = failures
 
 
+@dataclass
+class Load:
+    """One loaded snapshot: the base table's rows, and the staged folder they
+    are read from. Whoever holds it owns the folder: ``release`` it (or leave
+    the ``with`` block) once the rows are saved."""
+
+    base: DataFrame
+    folder: str
+
+    def release(self) -> None:
+        Files(self.base.sparkSession, self.folder).remove(self.folder)
+
+    def __enter__(self) -> Load:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+# The grammar of a number cell: nothing that only a programming language takes
+# for a number (type suffixes, hexadecimal, names of infinity) is one.
+NUMBER = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+WHOLE = "^ *[+-]?[0-9]+([.]0*)? *$"
+
+
 def long_sql(cell: str) -> str:
     """A whole number, also in the form ``12.0`` that spreadsheets write; else NULL."""
-    number = f"try_cast({cell} AS DOUBLE)"
-    return (f"coalesce(try_cast({cell} AS BIGINT), CASE WHEN {number} = floor({number}) "
-            f"THEN try_cast(floor({number}) AS BIGINT) END)")
+    return (f"CASE WHEN {cell} RLIKE {lit(WHOLE)} "
+            f"THEN try_cast(split_part(trim({cell}), '.', 1) AS BIGINT) END")
 
 
 def decimal_sql(cell: str, decimal_mark: str = ".") -> str:
-    """A number with the declared decimal mark and no other marks; else NULL."""
-    if decimal_mark == ".":
-        return f"try_cast({cell} AS DOUBLE)"
-    if decimal_mark != ",":
+    """A finite number with the declared decimal mark and no other marks, or the
+    spreadsheet's ``NaN``; else NULL."""
+    if decimal_mark not in (".", ","):
         raise ValueError(f"decimal_mark must be '.' or ',', got {decimal_mark!r}")
-    return f"CASE WHEN NOT contains({cell}, '.') THEN try_cast(replace({cell}, ',', '.') AS DOUBLE) END"
+    text = cell if decimal_mark == "." else f"translate({cell}, ',.', '.,')"
+    number = f"try_cast({text} AS DOUBLE)"
+    return (f"CASE WHEN {text} RLIKE {lit(NUMBER)} THEN "
+            f"CASE WHEN abs({number}) < CAST('Infinity' AS DOUBLE) THEN {number} END "
+            f"WHEN trim({cell}) = 'NaN' THEN CAST('NaN' AS DOUBLE) END")
 
 
 def read_export_text(spark: SparkSession, path: str | list[str],
@@ -68,12 +98,13 @@ def read_export_text(spark: SparkSession, path: str | list[str],
     ``encoding`` is the files' character set. Spreadsheet CSV exports are
     often Windows-1252; ``ISO-8859-1`` reads their letters (such as "ñ" in
     "Año") the same way, and it is one of the charsets Spark's CSV reader
-    accepts.
+    accepts. A quote inside a quoted cell is doubled, as spreadsheets write
+    it (RFC 4180); backslashes are ordinary characters.
     """
     return (spark.read.schema(StructType([*EXPORT_TEXT_SCHEMA.fields, StructField("_line", StringType())]))
             .option("header", False).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_line")
-            .option("encoding", encoding)
+            .option("encoding", encoding).option("quote", '"').option("escape", '"')
             .csv(path)
             .selectExpr(*CELLS, "_line", "_metadata.file_path AS _file",
                         "struct(_metadata.file_block_start AS block, "
@@ -135,7 +166,8 @@ def export_summary(marked: DataFrame) -> DataFrame:
 
 def refuse_faults(summary: DataFrame, one_file: bool) -> None:
     """Raise if a file has a fault, or if an undeclared second file is there.
-    One row of totals reaches the driver."""
+    One row of totals reaches the driver, and of a refused snapshot one row per
+    failing part."""
     totals = summary.agg(F.count(F.lit(1)).alias("files"), F.expr("count_if(NOT ok)").alias("failing"),
                          *[F.sum(f).alias(f) for f in FAULTS]).first()
     if totals["files"] == 0:
@@ -143,7 +175,7 @@ def refuse_faults(summary: DataFrame, one_file: bool) -> None:
     if totals["failing"]:
         counts = {f: totals[f] for f in FAULTS if totals[f]}
         raise ExportFormatError(f"{totals['failing']} export file(s) cannot be loaded exactly: {counts}",
-                                summary.where("NOT ok"))
+                                summary.where("NOT ok").collect())
     if one_file and totals["files"] > 1:
         raise ExportFormatError(f"{totals['files']} files found: an export is one snapshot; "
                                 "name its parts as a list")
@@ -174,15 +206,21 @@ def prepare_base(export: DataFrame, as_of: DateLike,
 
 
 def load_base(spark: SparkSession, path: str | list[str], as_of: DateLike,
-              encoding: str = "UTF-8", decimal_mark: str = ".") -> DataFrame:
+              encoding: str = "UTF-8", decimal_mark: str = ".") -> Load:
     """Read one export snapshot into base-table rows (C6), or refuse it.
 
     ``path`` is one file (or a folder holding one), or the list of the
-    snapshot's parts. Two snapshots are never added up.
+    snapshot's parts. Two snapshots are never added up. The rows are staged in
+    a folder that belongs to the result; a refused load leaves none behind.
     """
     marked = mark_rows(read_export_text(spark, path, encoding), decimal_mark)
     folder = shared_dir(spark, f"export-{uuid.uuid4().hex}")
-    marked.write.parquet(folder)
-    rows = spark.read.schema(marked.schema).parquet(folder)
-    refuse_faults(export_summary(rows), one_file=isinstance(path, str))
-    return prepare_base(rows.where("_kind = 'data'"), as_of).select(*BASE_COLUMNS)
+    rows = spark.read.schema(marked.schema)
+    try:
+        marked.write.parquet(folder)
+        refuse_faults(export_summary(rows.parquet(folder)), one_file=isinstance(path, str))
+    except BaseException:
+        Files(spark, folder).remove(folder)
+        raise
+    base = prepare_base(rows.parquet(folder).where("_kind = 'data'"), as_of)
+    return Load(base.select(*BASE_COLUMNS), folder)

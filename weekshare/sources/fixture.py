@@ -23,11 +23,15 @@ inlined into the ``lineitem`` scan as lookup expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_week_sql, iso_year_sql
 from ..functions.sqltext import lit
+from ..session import shared_dir
+from .export import read_export_text
 from .schema import EXPECTED_HEADER, EXPORT_COLUMNS
 
 # Origin lookup by ``l_partkey % 25``: region, zone, country.
@@ -128,37 +132,58 @@ def export_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Faults that the rendered files hold, by the last digit of the whole tons:
-# decimal comma, no number, a word for a week, a week that does not exist, a
-# short line, no header, two headers, stray rows, data before the header.
-# Files of digit 0 are clean.
-def rendered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived export as the text cells ``read_export_text`` gives: one
-    synthetic file per year and last digit of the tons, with preamble, header
-    and the faults above. Rows stand at place 100, the preamble before it."""
-    export = export_from_tables(spark, sf_dir).withColumn("f", F.expr("CAST(Tons AS INT) % 10"))
+# Tons that are no number, and one per week number in turn.
+UNFIT_TONS = ("n/a", "12d", "3F", "0x1p3", "Infinity", "1e400")
+# A flight type that needs quoting.
+QUOTED_TYPE = 'P "A", X'
+
+
+# Faults that the rendered files hold, by the last digit of the whole tons: 1
+# decimal comma, 2 tons that are no number, 3 a word or a typed literal for a
+# week, 4 a week that does not exist, 5 a long line, 6 no header, 7 two headers,
+# 8 stray rows, 9 data before the header. Files of digit 0 are clean, and hold
+# quoted cells.
+def rendered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived export as CSV lines ``name, place, line``: one file per year
+    and last digit of the tons, with preamble, header and the faults above.
+
+    The fact table is read once: the first row of each file carries the file's
+    preamble and headers, and is exploded into them and itself. As an export
+    file is written by one task anyway, so is its window.
+    """
     cells = {
         "Year": "CASE WHEN f = 8 AND Semana > 50 THEN 'year' WHEN Semana % 2 = 0 "
                 "THEN concat(Year, '.0') ELSE CAST(Year AS STRING) END",
-        "Semana": "CASE WHEN f = 3 AND Semana = 51 THEN 'last' WHEN f = 4 AND Semana = 50 THEN '60' "
-                  "ELSE CAST(Semana AS STRING) END",
-        "Tons": "CASE WHEN f = 1 THEN replace(CAST(Tons AS STRING), '.', ',') WHEN f = 2 THEN 'n/a' "
-                "ELSE CAST(Tons AS STRING) END"}
-    file = "concat(Year, '-', f, '.csv') AS _file"
-    place = "named_struct('block', 0L, 'row', {}) AS _at"
-    data = export.selectExpr(
-        *[f"{cells.get(c, c)} AS _c{i}" for i, c in enumerate(EXPORT_COLUMNS)],
-        "CASE WHEN f = 5 AND Semana = 9 THEN 'short' END AS _line", file, place.format("100L"))
-    names = [lit(EXPECTED_HEADER.get(i, c)) for i, c in enumerate(EXPORT_COLUMNS)]
-    names[0], names[1] = lit("1 (A\u00f1o)"), lit(" Sem ana&")
-    empty = ["CAST(NULL AS STRING)"] * (len(names) - 1)
-    lines = export.select("Year", "f").distinct()
-    preamble = [lines.selectExpr(*[f"{c} AS _c{i}" for i, c in enumerate([lit(title), *empty])],
-                                 f"{lit(title)} AS _line", file, place.format(f"{at}L"))
-                for at, title in enumerate(("Market export", "weekly"))]
-    headers = [lines.where(test).selectExpr(*[f"{c} AS _c{i}" for i, c in enumerate(names)],
-                                            "CAST(NULL AS STRING) AS _line", file, place.format(at))
-               for test, at in (("f != 6", "CASE WHEN f = 9 THEN 500L ELSE 2L END"), ("f = 7", "3L"))]
-    for part in (*preamble, *headers):
-        data = data.unionByName(part)
-    return data
+        "Semana": "CASE WHEN f = 3 AND Semana = 51 THEN 'last' WHEN f = 3 AND Semana = 10 THEN '10d' "
+                  "WHEN f = 4 AND Semana = 50 THEN '60' ELSE CAST(Semana AS STRING) END",
+        "TipoVuelo": f"CASE WHEN f = 0 AND Semana = 7 THEN {lit(QUOTED_TYPE)} ELSE TipoVuelo END",
+        "Tons": f"CASE WHEN f = 1 THEN replace(CAST(Tons AS STRING), '.', ',') WHEN f = 2 "
+                f"THEN element_at(array({', '.join(map(lit, UNFIT_TONS))}), "
+                f"CAST(Semana % {len(UNFIT_TONS)} AS INT) + 1) ELSE CAST(Tons AS STRING) END"}
+    quoted = "concat('\"', replace({0}, '\"', '\"\"'), '\"')"
+    line = ", ',', ".join(f"CASE WHEN {{0}} RLIKE '[\",]' THEN {quoted} ELSE coalesce({{0}}, '') END".format(c)
+                          for c in (f"c{i}" for i in range(len(EXPORT_COLUMNS))))
+    names = [EXPECTED_HEADER.get(i, c) for i, c in enumerate(EXPORT_COLUMNS)]
+    names[0], names[1] = "1 (A\u00f1o)", " Sem ana&"
+    header = lit(",".join(names))
+    tops = ", ".join(f"struct({place} AS place, {text} AS line)" for place, text in (
+        ("0", "'Market export'"), ("1", "'weekly'"),
+        ("CASE f WHEN 6 THEN -1 WHEN 9 THEN 500 ELSE 2 END", header), ("IF(f = 7, 3, -1)", header)))
+    first = Window.partitionBy("name").orderBy("Semana")
+    return (export_from_tables(spark, sf_dir).withColumn("f", F.expr("CAST(Tons AS INT) % 10"))
+            .withColumn("name", F.expr("concat(Year, '-', f, '.csv')"))
+            .withColumn("n", F.row_number().over(first))
+            .selectExpr("name", "n", "f", "Semana", *[f"{cells.get(c, c)} AS c{i}" for i, c in enumerate(EXPORT_COLUMNS)])
+            .selectExpr("name", "n", "f", f"concat({line}, IF(f = 5 AND Semana = 9, ',13th', '')) AS line")
+            .selectExpr("name", f"inline(concat(array(struct(100 AS place, line)), IF(n = 1, array({tops}), array())))")
+            .where("place >= 0"))
+
+
+def rendered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered lines as files in the shared folder, read back through the
+    export reader: text cells, with the file's name as ``_file``."""
+    folder = shared_dir(spark, f"rendered-{uuid.uuid4().hex}")
+    (rendered_lines(spark, sf_dir).repartition("name").sortWithinPartitions("name", "place")
+     .select("name", "line").write.partitionBy("name").text(folder))
+    return read_export_text(spark, folder).withColumn(
+        "_file", F.regexp_extract("_file", "name=([^/]+)/", 1))

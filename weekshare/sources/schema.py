@@ -52,3 +52,7 @@ def report_columns(weeks: int = 5) -> list[str]:
 
 
 REPORT_COLUMNS = tuple(report_columns())
+REPORT_SCHEMA = T.StructType([
+    T.StructField(c, T.LongType() if c == "Rank" else
+                  T.StringType() if c in ("excelKEY", "Grupo", "OwnerGrpd") else T.DoubleType(), True)
+    for c in REPORT_COLUMNS])
