@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,6 @@ from .cases import documents, mixed
 
 def tokens(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [x.ids + [2] for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -47,7 +47,7 @@ def check(rows, texts, by_id=True):
 
 
 def test_pieces_and_places(spark):
-    texts = [*mixed(), "<|endoftext|> is text", "  spaces   and\r\n\ttabs ", "a" * 3000]
+    texts = [*mixed(), "<|endoftext|> a", "x <|endoftext|>a  <|endoftext|>", "<|endoftext|>" * 3, "<|endoftext", "  spaces   and\r\n\ttabs ", "a" * 3000]
     rows = K.pack_documents(documents(spark, texts)).collect()
     n = check(rows, texts)
     total = sum(r.length for r in rows)
@@ -83,6 +83,63 @@ def test_patterns_hold_every_piece(seed):
     assert sum(b[0] for b in bins) <= sum(b[0] for b in first)
 
 
+def test_special_tokens():
+    import public_tokenizers as P
+    enc = K._encoding(P.path("byte_bpe_50k.tiktoken"))
+    assert enc.encode("<|endoftext|> a", allowed_special="all") == [50256, 257]
+
+
+def optimum(pieces, capacity):
+    """Fewest bins, by trying every bin for every piece."""
+    best = len(pieces)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(pieces):
+            best = len(bins)
+            return
+        for b in sorted(set(bins)):
+            if b + pieces[i] <= capacity:
+                rest = list(bins)
+                rest.remove(b)
+                place(i + 1, [*rest, b + pieces[i]])
+        place(i + 1, [*bins, pieces[i]])
+
+    pieces = sorted(pieces, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_small_cases_against_the_optimum():
+    rng = random.Random(8)
+    equal = 0
+    for _ in range(150):
+        capacity = rng.choice([10, 20, 30])
+        pieces = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 10))]
+        histogram = Counter(pieces)
+        n = sum(b[0] for b in K.local_search(K.best_fit(dict(histogram), capacity), capacity))
+        want = optimum(pieces, capacity)
+        assert K.fewest(histogram, capacity) <= want <= n <= want + 1
+        equal += n == want
+    assert equal >= 147
+
+
+@pytest.mark.parametrize("top", [100_000, 1_000_000])
+def test_search_is_bounded_on_the_driver(top):
+    rng = random.Random(1)
+    histogram = {n: rng.randrange(1, top) for n in rng.sample(range(1, 1025), 725)}
+    start = time.process_time()
+    done = K.local_search(K.best_fit(dict(histogram), 1024), 1024)
+    assert time.process_time() - start < 10
+    held = Counter()
+    for m, _, content in done:
+        for length, v in content.items():
+            held[length] += m * v
+    assert held == Counter(histogram)
+
+
 def test_local_search_empties_bins():
     # Best fit leaves 6+3, 5+4, 2 ... ; exchanges reach the bound.
     bins = [[1, 1, Counter({6: 1, 3: 1})], [1, 1, Counter({5: 1, 4: 1})], [1, 8, Counter({1: 2})]]

@@ -7,16 +7,17 @@
    driver. Best-fit decreasing packs it, treating equal bins as one pattern
    with a multiplicity; then local search moves a piece, or exchanges one for
    one or two for one between underfull patterns whenever that increases the
-   sum of squared fills, until no pair of patterns has such a change or the
-   lower bound is met. The work depends on the number of different patterns,
-   not of documents.
+   sum of squared fills, until no pair of patterns has such a change, the lower
+   bound is met, or ``SEARCH_PATTERNS`` patterns have been made. The work depends
+   on the number of different patterns, not of documents.
 3. Pieces are numbered within their length (in parallel, whatever the length's
    share) and look up their sequence and offset in the patterns' slot list,
    which is bounded by lengths, too.
 
 Token ids are those of the byte-level vocabulary file; ``tiktoken`` reads the
 same vocabulary as ranks and gives the same ids as ``tokenizers`` at a
-fraction of the CPU time (a test compares the two).
+fraction of the CPU time (a test compares the two). The literal of the special
+token in a text is that token, as the library's default has it.
 
 Defined cases: a null or empty text is one piece holding only the end id;
 null and repeated ids and repeated rows are packed each; more columns are
@@ -39,6 +40,8 @@ from .common import number_rows, plain_texts, read_table, staged, text_batches
 
 CAPACITY = 1024
 END_ID = 2
+SPECIAL = {"<|endoftext|>": 50256}      # fixed value: the vocabulary's special token
+SEARCH_PATTERNS = 4096      # patterns that the local search makes at most
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -53,7 +56,7 @@ def _encoding(path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         _ENCODINGS[path] = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN,
-                                             mergeable_ranks=ranks, special_tokens={})
+                                             mergeable_ranks=ranks, special_tokens=SPECIAL)
     return _ENCODINGS[path]
 
 
@@ -72,7 +75,7 @@ def _pieces(path: str | None, capacity: int, end_id: int):
             out = [[] for _ in range(5)]
             for doc, text in zip(batch.column("doc_id").to_pylist(),
                                  plain_texts(batch.column("text")).to_pylist()):
-                ids = np.array(enc.encode_ordinary(text) + [end_id], "<u4")
+                ids = np.array(enc.encode(text, allowed_special="all") + [end_id], "<u4")
                 for k, (at, n) in enumerate(cut(len(ids), capacity)):
                     for column, v in zip(out, (doc, k, at, n, zlib.crc32(ids[at:at + n].tobytes()))):
                         column.append(v)
@@ -154,19 +157,42 @@ class _Open:
         return bool(self.one & other.take_one or self.two & other.take_two)
 
 
+def fewest(histogram: dict[int, int], capacity: int) -> int:
+    """A number of bins that no packing goes below (Martello and Toth's L2).
+
+    Pieces above half a bin each need their own; for a least length ``a``, those
+    above ``capacity - a`` share with no piece of ``a`` or more, and the pieces
+    from ``a`` up to half a bin must fit the rest of the others or further bins."""
+    n = np.zeros(capacity + 1, object)
+    for length, count in histogram.items():
+        n[length] = count
+    upto, space = np.cumsum(n), np.cumsum(n * np.arange(capacity + 1))
+    half, most = capacity // 2, 0
+    for a in range(half + 1):
+        below = max(a - 1, 0)
+        own = upto[capacity] - upto[half]
+        room = (upto[capacity - a] - upto[half]) * capacity - (space[capacity - a] - space[half])
+        most = max(most, own + max(0, -(-(space[half] - space[below] - room) // capacity)))
+    return int(most)
+
+
 def local_search(bins: list[list], capacity: int) -> list[list]:
     """Empty underfull bins by moves and exchanges that raise the squared fill.
 
     Each giver remembers the newest pattern it was tried with, so a pair
     without a gain is not tried again. Every gain raises the squared fill, so
-    the search ends.
+    the search ends; it also ends after ``SEARCH_PATTERNS`` new patterns, since
+    counts in the millions allow more gains than are worth the driver's time.
     """
-    total = sum(m * (capacity - free) for m, free, _ in bins)
-    bound = -(-total // capacity)
+    held: Counter = Counter()
+    for m, _, content in bins:
+        for length, each in content.items():
+            held[length] += m * each
+    bound = fewest(held, capacity)
     count = sum(p[0] for p in bins)
     full = [p for p in bins if p[1] == 0]
     known: dict[frozenset, _Open] = {}
-    newest: list[_Open] = []                        # by birth; a merged pattern is born again
+    newest: dict[int, _Open] = {}                   # by birth; a merged pattern is born again
     clock = 0
 
     def add(m: int, free: int, content: Counter) -> None:
@@ -179,11 +205,11 @@ def local_search(bins: list[list], capacity: int) -> list[list]:
         if p is None:
             p = known[key] = _Open(0, free, content)
         elif p.bin[0]:
-            newest.remove(p)
+            del newest[p.born]
         clock += 1
         p.bin[0] += m
         p.born, p.seen = clock, 0
-        newest.append(p)
+        newest[clock] = p
 
     for p in bins:
         if p[1]:
@@ -191,9 +217,9 @@ def local_search(bins: list[list], capacity: int) -> list[list]:
 
     def gain():
         """The emptiest giver with its fullest taker and their best exchange."""
-        for a in sorted(newest, key=lambda p: -p.bin[1]):
+        for a in sorted(newest.values(), key=lambda p: -p.bin[1]):
             fresh = []
-            for b in reversed(newest):
+            for b in reversed(newest.values()):
                 if b.born <= a.seen:
                     break
                 if b.bin[1] <= a.bin[1] and (b is not a or a.bin[0] > 1) and a.fits(b):
@@ -205,7 +231,8 @@ def local_search(bins: list[list], capacity: int) -> list[list]:
             a.seen = clock
         return None
 
-    while count > bound and (found := gain()):
+    last = clock + SEARCH_PATTERNS
+    while count > bound and clock < last and (found := gain()):
         a, b, change = found
         out, back = Counter(change[0]), Counter(change[1])
         m = a.bin[0] // 2 if a is b else min(a.bin[0], b.bin[0])
@@ -214,14 +241,14 @@ def local_search(bins: list[list], capacity: int) -> list[list]:
         b.bin[0] -= m
         for p in {id(a): a, id(b): b}.values():
             if not p.bin[0]:
-                newest.remove(p)
+                del newest[p.born]
         given, taken = a.bin[2] - out + back, b.bin[2] - back + out
         if given:
             add(m, a.bin[1] + d, given)
         else:
             count -= m
         add(m, b.bin[1] - d, taken)
-    return full + [p.bin for p in newest]
+    return full + [p.bin for p in newest.values()]
 
 
 def slots_by_length(bins: list[list]) -> list[tuple]:
