@@ -51,7 +51,7 @@ MIN_DOCS = 30               # documents of its language that hold a kept term
 UNIT = 1_000_000_000        # probabilities are multiples of 1 / UNIT
 SMOOTH = 5                  # added to every count
 TOP = 50                    # terms listed per group
-BLOCK_BYTES = 16 << 20      # text whose postings are held in memory
+BLOCK_BYTES = 6 << 20       # text whose postings are held in memory
 RUN_TERMS = 4096            # terms in a packed row of a run
 SLICE = 4 << 20             # bytes of a long text read at a time
 SHARD_BYTES = 64 << 20      # text per hash shard
