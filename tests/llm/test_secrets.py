@@ -72,6 +72,38 @@ def test_allow_list_is_linear():
     assert S.PATH.fullmatch("src/main2/x") and S.PATH.fullmatch("/a-abc_1/2/") and not S.PATH.fullmatch("ab1/abc")
 
 
+def test_long_pieces_and_many_spans_are_linear():
+    for n in (10_000, 1_000_000):
+        start = time.process_time()
+        piece = "abc/" + "q" * n + "1a1/" + "n7x2k9q4w8z3v6m1p5"
+        assert "n7x2k9q4w8z3v6m1p5" not in S.redact(piece)
+        assert time.process_time() - start < 3
+    pair = f"token={HEXKEY} q8Zr4TmW2pLx9VbN6cKdYh3s "
+    start = time.process_time()
+    base, spans = S.all_spans(pair * (1_000_000 // len(pair)))
+    assert time.process_time() - start < 4
+    assert len(spans) - len(base) == 1_000_000 // len(pair)
+
+
+def test_plain_pieces_are_the_stated_forms():
+    rng = random.Random(11)
+    for _ in range(4000):
+        s = "".join(rng.choice("ab1") for _ in range(rng.randrange(1, 9)))
+        want = len(re.findall("[0-9]+", s)) <= 1 or re.fullmatch("[0-9]+[a-z]+[0-9]+", s) is not None
+        assert bool(S.PLAIN_PIECE.fullmatch(s)) == want, s
+
+
+def test_entropy_spans_inside_base_spans_add_nothing():
+    rng = random.Random(13)
+    bits = [f"token={HEXKEY}", HEXKEY, KEY, "q8Zr4TmW2pLx9VbN6cKdYh3s", " ", "-", "secret: q8Zr4TmW2pLx9VbN6cKd", "/"]
+    for _ in range(500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 12)))
+        base, spans = S.all_spans(text)
+        keys = [(a + m.start(), 3, b + m.start()) for m in S.CANDIDATE.finditer(text)
+                for a, b in S.key_spans(m.group())]
+        assert spans == sorted(base + [k for k in keys if not any(x <= k[0] and k[2] <= y for x, _, y in base)])
+
+
 def test_keys_behind_paths_and_whole_keys():
     text = "see hooks/services/t024be7lh/n7x2k9q4w8z3v6m1p5 there"
     assert S.redact(text) == "see hooks/services/[SECRET]/[SECRET] there"

@@ -64,7 +64,8 @@ PATH = re.compile(r"/?(?=[a-z0-9_-]*[a-z]{3})[a-z0-9_-]+(?:/[a-z0-9_-]+)+/?")
 SEGMENT = re.compile(r"[a-z0-9_-]+")
 # Words and numbers between - and _: "utf8", "k8s", "1920x1080", not "n7x2k9".
 PIECE = re.compile(r"[a-z0-9]+")
-PLAIN_PIECE = re.compile(r"[a-z]*[0-9]*[a-z]*|[0-9]+[a-z]+[0-9]+")
+# Possessive, as each run ends at the other kind: a long piece is read twice at most.
+PLAIN_PIECE = re.compile(r"[a-z]*+[0-9]*+[a-z]*+|[0-9]++[a-z]++[0-9]++")
 RUN = re.compile(r"[^=]+=*|=+")
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
@@ -163,10 +164,14 @@ def all_spans(text: str) -> tuple[list, list]:
     """Base spans, and base plus entropy spans."""
     base = base_spans(text)
     extra = []
+    at = reach = 0                       # base spans begun so far, and their last end
     for m in CANDIDATE.finditer(text):
         for a, b in key_spans(m.group()):
             a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for x, _, y in base):
+            while at < len(base) and base[at][0] <= a:
+                reach = max(reach, base[at][2])
+                at += 1
+            if reach < b:                # inside no base span
                 extra.append((a, 3, b))
     return base, sorted(base + extra) if extra else base
 
