@@ -10,7 +10,9 @@ sub-site) in one grouped aggregation. A host's posterior rate shrinks towards
 the global rate by a prior weight estimated from the spread between hosts
 (moments of the beta-binomial), a path's towards its host's likewise, so a
 sparse site follows its parent. A document's final odds are its evidence with
-the training prior replaced by its path's posterior.
+the training prior replaced by its path's posterior, its own share left out of
+all three sums: what a document says counts once, and one alone in its path
+follows its host. The two prior weights are estimated from all documents.
 
 Two passes over the texts, no shuffle of texts: the first only yields sums per
 path, the second scores again and looks its path up. A host with a third of
@@ -202,29 +204,55 @@ def _moments(sites: DataFrame, rate: str, parent: str) -> float:
     return high if rho <= 1 / (high + 1) else float(max(low, 1 / rho - 1))
 
 
+def _probability(model: dict, head: str, evidence: str) -> str:
+    """What a document adds to its sites' sums: its rate at the training prior."""
+    if head not in model["heads"]:
+        return "0D"
+    return f"1 / (1 + exp(-({evidence} + {model['heads'][head][2]!r}D)))"
+
+
+def _posterior(model: dict, head: str, prefix: str = "", own: str = "0D", count: int = 0) -> str:
+    """Log odds of a path from the sums of ``site_posteriors``, leaving out
+    ``count`` documents of rate ``own``: global rate, then host, then path."""
+    def left(level):
+        return f"greatest({prefix}{level}s_{head} - {own}, 0D)", f"({prefix}{level}n - {count})"
+
+    start = 1 / (1 + np.exp(-model["heads"][head][2])) if head in model["heads"] else 0.0
+    s, n = left("g_")
+    rate = f"if({n} > 0, {s} / {n}, {float(start)!r}D)"     # no other document: the training prior
+    rate = f"least(greatest({rate}, 1e-6D), 1 - 1e-6D)"
+    for level in ("h_", ""):
+        s, n = left(level)
+        weight = f"{prefix}{level}w_{head}"
+        rate = f"(({s} + {weight} * {rate}) / ({n} + {weight}))"
+    return f"ln({rate} / (1 - {rate}))"
+
+
 def site_posteriors(scored: DataFrame, model: dict, host: str, path: str) -> DataFrame:
-    """One row per host and path: posterior log odds of each head."""
-    probability = {h: f"1 / (1 + exp(-(_{h} + {model['heads'][h][2]!r}D)))" if h in model["heads"] else "0D"
-                   for h in HEADS}
+    """One row per host and path: posterior log odds of each head for a document
+    not seen yet, and what they come from: sums and prior weights of the path
+    (``n s_ w_``), its host (``h_``) and of all (``g_``)."""
     paths = (scored.selectExpr(f"{host} AS _host", f"{path} AS _path",
-                               *(f"{p} AS p_{h}" for h, p in probability.items()))
+                               *(f"{_probability(model, h, f'_{h}')} AS p_{h}" for h in HEADS))
              .groupBy("_host", "_path")
              .agg(F.count(F.lit(1)).alias("n"), *(F.sum(f"p_{h}").alias(f"s_{h}") for h in HEADS)))
     paths = staged(paths, "quality-paths")
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("n"), *(F.sum(f"s_{h}").alias(f"s_{h}") for h in HEADS))
     total = hosts.agg(F.sum("n").alias("n"), *(F.sum(f"s_{h}").alias(h) for h in HEADS)).first()
-    joined = (paths.join(hosts.selectExpr("_host AS h_host", "n AS h_n", *(f"s_{h} AS h_{h}" for h in HEADS)),
-                         F.col("_host").eqNullSafe(F.col("h_host"))))
-    out = []
+    joined = (paths.join(hosts.selectExpr("_host AS h_host", "n AS h_n", *(f"s_{h} AS h_s_{h}" for h in HEADS)),
+                         F.col("_host").eqNullSafe(F.col("h_host")))
+              .withColumn("g_n", F.lit(total["n"] or 0)))
     for h in HEADS:
         mean = (total[h] or 0.0) / total["n"] if total["n"] else 0.0
         mean = min(max(mean, 1e-6), 1 - 1e-6)
         weight = _moments(hosts, f"s_{h}", f"{mean!r}D")
-        joined = joined.withColumn(f"r_{h}", F.expr(f"(h_{h} + {weight!r}D * {mean!r}D) / (h_n + {weight!r}D)"))
-        weight = _moments(joined, f"s_{h}", f"r_{h}")
-        theta = f"(s_{h} + {weight!r}D * r_{h}) / (n + {weight!r}D)"
-        out.append(f"ln(({theta}) / (1 - ({theta}))) AS site_{h}")
-    return joined.selectExpr("_host AS s_host", "_path AS s_path", *out)
+        rated = joined.withColumn("r", F.expr(f"(h_s_{h} + {weight!r}D * {mean!r}D) / (h_n + {weight!r}D)"))
+        joined = (joined.withColumn(f"g_s_{h}", F.lit(total[h] or 0.0)).withColumn(f"h_w_{h}", F.lit(weight))
+                  .withColumn(f"w_{h}", F.lit(_moments(rated, f"s_{h}", "r"))))
+    return joined.selectExpr(
+        "_host AS s_host", "_path AS s_path", *(f"{_posterior(model, h)} AS site_{h}" for h in HEADS),
+        *(f"{level}n" for level in ("", "h_", "g_")), *(f"{level}s_{h}" for level in ("", "h_", "g_") for h in HEADS),
+        *(f"{level}w_{h}" for level in ("", "h_") for h in HEADS))
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
@@ -244,8 +272,10 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
     sites = F.broadcast(sites) if few else sites
     scored = score(docs, model, text_col, prefix).join(
         sites, F.expr(f"({host}) <=> {prefix}s_host AND ({path}) <=> {prefix}s_path"), "left")
-    odds = {h: f"1 / (1 + exp(-({prefix}{h} + {prefix}site_{h})))" if h in model["heads"] else "0D"
-            for h in HEADS}
+    odds = {}
+    for h in HEADS:
+        site = _posterior(model, h, prefix, f"({_probability(model, h, f'{prefix}{h}')})", 1)
+        odds[h] = f"1 / (1 + exp(-({prefix}{h} + {site})))" if h in model["heads"] else "0D"
     kept = " AND ".join(f"{prefix}p_{h} < {REJECT}" for h in HEADS)
     return (scored.selectExpr(*columns, *(f"coalesce({p}, 0D) AS {prefix}p_{h}" for h, p in odds.items()))
             .withColumn(f"{prefix}kept", F.expr(kept)))
