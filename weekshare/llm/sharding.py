@@ -1,13 +1,20 @@
 """Balanced label propagation into shards (operator 9), DataFrame functions only.
 
-Documents with equal texts are linked. The linked groups start as even,
-contiguous stretches of one hash order, so few groups are cut; then, round by
-round, each group votes for the shard that holds most of its members and the
-others ask to move there. Quotas per
-(from, to) pair keep the sizes: opposite moves are exchanged one for one, the
-rest only fills free room. A full shard that had to refuse is closed, so a
-group larger than a shard fills the next one. Documents without links are
-the ballast: they are placed last and make the counts exact.
+Documents with equal texts are linked. The linked documents start dealt round
+robin over the shards, in one hash order, so nearly every link is cut; then,
+round by round, each group votes for the shard that holds most of its members
+and the others ask to move there. Quotas per (from, to) pair keep the sizes:
+opposite moves are exchanged one for one, longer circles of moves likewise, the
+rest only fills free room. A full shard that refuses all who ask is closed to
+votes, so a group larger than a shard fills the next one; it opens again when
+members leave it. Documents without links are the ballast: they are placed last and
+make the counts exact.
+
+Every move goes to a shard that holds at least as many of the group, so each
+round with a move raises the sum of squared counts per (group, shard), and each
+round without one closes a shard, if need be after ``PATIENCE`` rounds in which
+groups that are equally large in two shards vote anew: propagation ends by
+itself, without a limit on rounds.
 
 The law kept is ``rows``: shard counts differ by one at most.
 
@@ -24,18 +31,49 @@ more columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buckets_of, number_rows, offsets_before, read_table, staged
 
 SALTS = 32          # parts of a group when its members are numbered
-ROUNDS = 16         # at most; each ends earlier when nothing moves
+PATIENCE = 6        # rounds in which a full shard refuses groups that are as large elsewhere
+
+
+def _circle(left: dict) -> list[tuple] | None:
+    """Pairs of a shortest circle in the graph of the pairs ``left``, or None."""
+    best = None
+    for first in sorted({a for a, _ in left}):
+        paths, seen = [[first]], {first}
+        while paths and (best is None or len(paths[0]) < len(best)):
+            path = paths.pop(0)
+            if (path[-1], first) in left:
+                best = list(zip(path, [*path[1:], first]))
+                break
+            onward = sorted({b for a, b in left if a == path[-1]} - seen)
+            seen.update(onward)
+            paths += [[*path, b] for b in onward]
+    return best
 
 
 def _quotas(asked: dict, room: list[int]) -> dict:
-    """How many of the ``asked[(a, b)]`` moves may happen; ``room`` is used up."""
-    allow = {(a, b): min(n, asked.get((b, a), 0)) for (a, b), n in asked.items()}
+    """How many of the ``asked[(a, b)]`` moves may happen; ``room`` is used up.
+
+    Circles first, the shortest before longer ones (they change no size), then
+    moves into free room, which pass the room on. Each step uses up a pair or a
+    shard's room.
+    """
+    allow = dict.fromkeys(asked, 0)
+
+    def circles():
+        while circle := _circle({p: n for p, n in asked.items() if n > allow[p]}):
+            n = min(asked[p] - allow[p] for p in circle)
+            for p in circle:
+                allow[p] += n
+
+    circles()
     changed = True
     while changed:
         changed = False
@@ -54,53 +92,63 @@ def _case(column: str, values: dict) -> str:
     return f"CASE {column} {arms} ELSE 0 END" if arms else "0"
 
 
-def propagate(groups: DataFrame, targets: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
-    """``groups`` (grp, n) -> staged (grp, shard, n), and the room left per shard."""
-    spark, k = groups.sparkSession, len(targets)
-    nb = buckets_of(spark)
+def deal(groups: DataFrame, k: int) -> DataFrame:
+    """``groups`` (grp, n) -> (grp, shard, n): member i of all, in one hash
+    order of the groups, starts in shard i mod ``k``."""
+    nb = buckets_of(groups.sparkSession)
     g = groups.withColumn("_b", F.pmod(F.xxhash64("grp"), F.lit(nb)))
     starts = offsets_before(g.groupBy("_b").agg(F.sum("n").alias("_n")), [], "_b", "_n").drop("_n")
     inside = Window.partitionBy("_b").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
-    linked = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
-    size, more = divmod(linked, k)
-    state = (g.withColumn("_i", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-             .join(starts, "_b").withColumn("at", F.expr("before + _i"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-             .withColumn("lo", F.expr(f"shard * {size}L + least(shard, {more})"))
-             .withColumn("hi", F.expr(f"lo + {size}L + if(shard < {more}, 1, 0)"))
-             .selectExpr("grp", "shard", "least(at + n, hi) - greatest(at, lo) AS n").where("n > 0"))
-    state = staged(state, "shard-state")
+    return (g.withColumn("_i", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+            .join(starts, "_b").withColumn("at", F.expr("before + _i"))
+            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            # Members before ``at + n`` in this shard, less those before ``at``.
+            .selectExpr("grp", "shard", f"(at + n + {k - 1} - shard) div {k} - (at + {k - 1} - shard) div {k} AS n")
+            .where("n > 0"))
+
+
+def propagate(groups: DataFrame, targets: list[int]) -> tuple[DataFrame, list[int]]:
+    """``groups`` (grp, n) -> staged (grp, shard, n), and the room left per shard."""
+    spark, k = groups.sparkSession, len(targets)
+    nb = buckets_of(spark)
+    state = staged(deal(groups, k), "shard-state")
     load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     room = [targets[s] - load.get(s, 0) for s in range(k)]
     closed: set[int] = set()
-    for _ in range(rounds):
-        is_open = f"shard NOT IN ({', '.join(map(str, closed))})" if closed else "true"
+    waited: dict[int, int] = {}
+    for turn in itertools.count():
+        is_open = f"shard NOT IN ({', '.join(map(str, sorted(closed)))})" if closed else "true"
+        # Ties fall by a hash that changes with the round: opposite asks meet.
         vote = F.max(F.expr(f"CASE WHEN {is_open} THEN named_struct('n', n, 'h', "
-                            "xxhash64(grp, shard), 'to', shard) END"))
+                            f"xxhash64(grp, shard, {turn}), 'to', shard) END"))
         moves = (state.withColumn("v", vote.over(Window.partitionBy("grp")))
-                 .where(f"v IS NOT NULL AND shard != v.to AND n <= v.n AND {is_open}")
-                 .selectExpr("grp", "shard", "v.to AS to", "n",
+                 .where("v IS NOT NULL AND shard != v.to AND n <= v.n")
+                 .selectExpr("grp", "shard", "v.to AS to", "n", "n = v.n AS tie",
                              f"pmod(xxhash64(grp), {nb}) AS _b"))
-        sums = staged(moves.groupBy("shard", "to", "_b").agg(F.sum("n").alias("_n")), "shard-asked")
-        asked = {(r["shard"], r["to"]): r["n"] for r in
-                 sums.groupBy("shard", "to").agg(F.sum("_n").alias("n")).collect()}
+        sums = staged(moves.groupBy("shard", "to", "_b").agg(
+            F.sum("n").alias("_n"), F.sum(F.expr("if(tie, n, 0L)")).alias("_t")), "shard-asked")
+        sent = sums.groupBy("shard", "to").agg(F.sum("_n").alias("n"), F.sum("_t").alias("t")).collect()
+        asked = {(r["shard"], r["to"]): r["n"] for r in sent}
+        tied = {r["to"] for r in sent if r["t"]}
         allow = _quotas(asked, room)
-        refused = {b for (a, b), n in asked.items() if n > allow[a, b] and room[b] == 0}
+        refused = ({b for _, b in asked} - {b for (_, b), n in allow.items() if n})   # took nobody
         if sum(allow.values()):
             order = (Window.partitionBy("shard", "to", "_b").orderBy("grp")
                      .rowsBetween(Window.unboundedPreceding, -1))
             quota = _case(f"shard * {k} + to", {a * k + b: n for (a, b), n in allow.items()})
             taken = (moves.withColumn("_i", F.coalesce(F.sum("n").over(order), F.lit(0)))
-                     .join(offsets_before(sums, ["shard", "to"], "_b", "_n").drop("_n"),
+                     .join(offsets_before(sums, ["shard", "to"], "_b", "_n").drop("_n", "_t"),
                            ["shard", "to", "_b"])
                      .withColumn("n", F.expr(f"least(n, {quota} - before - _i)")).where("n > 0"))
             flow = taken.selectExpr("grp", "inline(array(struct(shard AS shard, -n AS n), "
                                     "struct(to AS shard, n AS n)))")
             state = staged(state.unionByName(flow).groupBy("grp", "shard")
                            .agg(F.sum("n").alias("n")).where("n > 0"), "shard-state")
-        elif not refused - closed:
+        elif not refused:
             break
-        closed |= refused
+        waited = {b: waited.get(b, 0) + 1 for b in refused & tied}
+        refused -= {b for b, n in waited.items() if n < PATIENCE}
+        closed = {b for b in closed | refused if not room[b]}
     return state, room
 
 
