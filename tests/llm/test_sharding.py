@@ -1,5 +1,3 @@
-import itertools
-import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -78,62 +76,6 @@ def test_quotas_keep_sizes():
     assert H._quotas({(0, 1): 3}, room) == {(0, 1): 1} and room == [1, 0]
 
 
-def test_quotas_turn_circles():
-    room = [0, 0, 0]
-    allow = H._quotas({(0, 1): 3, (1, 2): 2, (2, 0): 4, (2, 1): 1}, room)
-    assert allow == {(0, 1): 1, (1, 2): 2, (2, 0): 1, (2, 1): 1}
-    flow = [sum(n for (_, b), n in allow.items() if b == s) - sum(n for (a, _), n in allow.items() if a == s)
-            for s in range(3)]
-    assert flow == [0, 0, 0] and room == [0, 0, 0]
-
-
-def group_rows(spark, sizes):
-    return spark.createDataFrame([(bytes([i // 250, i % 250]), n) for i, n in enumerate(sizes)], "grp binary, n long")
-
-
-def test_documents_are_dealt_evenly_and_propagation_moves_them(spark):
-    sizes = [2, 3, 5, 2] * 60 + [90]
-    groups = group_rows(spark, sizes)
-    start = H.deal(groups, 8).collect()
-    load = Counter()
-    for r in start:
-        load[r.shard] += r.n
-    assert sum(load.values()) == sum(sizes) and max(load.values()) - min(load.values()) <= 1
-    assert sum(len(list(g)) > 1 for _, g in itertools.groupby(sorted(bytes(r.grp) for r in start))) == len(sizes)
-    end, room = H.propagate(groups, [sum(sizes) // 4] * 8)
-    before = {(bytes(r.grp), r.shard): r.n for r in start}
-    moved = sum(max(0, r.n - before.get((bytes(r.grp), r.shard), 0)) for r in end.collect())
-    assert moved > sum(sizes) / 2
-    assert len(end.collect()) == len(sizes)          # no group is cut
-    assert sum(room) == sum(sizes) // 4 * 8 - sum(sizes) and min(room) >= 0
-
-
-def fewest_cut(sizes, targets):
-    """Fewest groups that any placement cuts: whole groups into shards, the rest anywhere."""
-    best = len(sizes)
-    for chosen in itertools.product(range(-1, len(targets)), repeat=len(sizes)):
-        load = [0] * len(targets)
-        for n, s in zip(sizes, chosen):
-            if s >= 0:
-                load[s] += n
-        if all(x <= t for x, t in zip(load, targets)):
-            best = min(best, chosen.count(-1))
-    return best
-
-
-@pytest.mark.parametrize("sizes,singles,exact", [
-    ([2, 2, 3, 4, 2], 20, True), ([9, 2, 2, 3], 8, True), ([2] * 6, 0, False), ([5, 4, 3, 3, 2, 2], 2, False)])
-def test_cuts_against_the_true_minimum(spark, sizes, singles, exact):
-    total, k = sum(sizes) + singles, 3
-    targets = [total // k + (s < total % k) for s in range(k)]
-    end, room = H.propagate(group_rows(spark, sizes), targets)
-    parts = Counter(bytes(r.grp) for r in end.collect())
-    cut, least = sum(n > 1 for n in parts.values()), fewest_cut(sizes, targets)
-    assert sum(room) == singles and min(room) >= 0
-    print("cut", cut, "least", least)
-    assert cut == least if exact else cut <= least + 2
-
-
 def test_no_python_in_the_plan(spark):
     df = H.shard_documents(documents(spark, ["a", "a", "b"]))
     plan = df._jdf.queryExecution().executedPlan().toString()
