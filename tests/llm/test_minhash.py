@@ -76,12 +76,44 @@ def test_against_brute_force(spark, k, percent):
 def test_blocks_give_the_same(spark, monkeypatch):
     texts, ids = near_copies(5), None
     ids = list(range(len(texts)))
-    for name, value in (("BLOCK", 3), ("BLOCK_SHINGLES", 300), ("SMALL", 2), ("BROADCAST_ROWS", 0)):
+    for name, value in (("BLOCK", 3), ("BLOCK_SHINGLES", 300), ("STAR", 2), ("SMALL", 2), ("BROADCAST_ROWS", 0)):
         monkeypatch.setattr(M, name, value)
     got = M.near_duplicates(documents(spark, texts, ids), 3, 85).select("doc_id", "_n", "_component").collect()
     assert sorted(map(tuple, got)) == sorted(brute(texts, ids, 3, 85))
 
 
+def one_family(n, seed=3):
+    """``n`` different near copies of one text, and a few that only come near."""
+    rng = random.Random(seed)
+    base = words(rng, 150, 5000).split()
+    texts = []
+    for x in range(n):
+        w = list(base)
+        for place in rng.sample(range(150), 4 if x % 50 == 7 else 1):
+            w[place] = f"n{x}p{place}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_texts_shipped_grow_with_the_cluster(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 60)
+    shipped, write = [], M.staged
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        if name == "minhash-wanted":
+            shipped.append(out.count())
+        return out
+
+    monkeypatch.setattr(M, "staged", counted)
+    for n in (300, 1200):
+        shipped.clear()
+        texts = one_family(n)
+        got = M.near_duplicates(documents(spark, texts), 5, 80).select("doc_id", "_n", "_component").collect()
+        assert sorted(map(tuple, got)) == sorted(brute(texts, list(range(n)), 5, 80))
+        assert n <= sum(shipped) < 3.5 * n, shipped
+
+
 def test_null_and_repeated_ids(spark):
     texts, ids = ["a b c d", "a b c d", "A b  c d", "x y", None, "x y"], [None, 7, 7, None, None, None]
     rows = M.near_duplicates(documents(spark, texts, ids), 3, 85).collect()

@@ -9,15 +9,19 @@
    for chance collisions, estimates the similarity. Pairs below a bound six
    standard deviations under the threshold cannot be links (1e-9); of the
    others only a spanning forest leaves the bucket.
-3. The forests' components are clusters. Within a cluster the full sets of all
-   members are intersected exactly (sparse incidence products) and again only
-   a spanning forest of true links leaves the task.
+3. The forests' components are clusters. Full sets are intersected exactly
+   (sparse incidence products) and again only a spanning forest of true links
+   leaves the task. A cluster of one block is compared as a whole. In a larger
+   one every member first meets its smallest candidate partner, ``STAR`` others
+   with it: texts shipped are as many as the members. Those links leave one
+   main component and, where some members stayed apart, the rest; only the rest
+   is compared with everything.
 4. Components of the true links are the result.
 
 A link at the threshold is missed with probability ``(1 - t^ROWS)^BANDS``:
-6e-11 at 0.85, 5e-8 at 0.8. Nothing is capped: buckets and clusters above
-``BLOCK`` members are dealt as pairs of blocks, each pair a task of bounded
-memory, so pairs are compared but never emitted.
+6e-11 at 0.85, 5e-8 at 0.8. Nothing is capped: buckets above ``BLOCK`` members
+and the rests of clusters are dealt as pairs of blocks, each pair a task of
+bounded memory, so pairs are compared but never emitted.
 
 Defined cases: null and empty texts and texts without words have no shingles
 and no links; fewer words than a shingle are one shingle; equal sets are
@@ -48,6 +52,8 @@ PERMS, ROWS, BITS = 128, 4, 4
 BANDS = PERMS // ROWS
 BLOCK = 1024                # members compared with each other at a time
 BLOCK_SHINGLES = 400_000    # and their shingles
+STAR = 64                   # members of a large cluster that meet at one candidate partner
+SALTS = 16                  # parts of a group that is joined with its facts
 SMALL = 32                  # buckets up to this size are compared row by row
 BROADCAST_ROWS = 400_000    # cluster members (48 bytes each) that may be broadcast
 
@@ -310,7 +316,56 @@ def _block_pairs(rows: DataFrame, blocks: str) -> DataFrame:
 
 
 def _by_pair(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    # By member too: the smallest of a bucket is the partner of many.
+    return rows.repartition(*_PAIR).sortWithinPartitions(*_PAIR, "cid")
+
+
+def _with_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Rows of (``key``, cid, ...) with the one row of facts of their group;
+    a group is joined in ``SALTS`` parts."""
+    salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (rows.withColumn("_salt", F.expr(f"cast(pmod(xxhash64(cid), {SALTS}) AS int)"))
+            .join(salted, [key, "_salt"]).drop("_salt"))
+
+
+def _blocks(members: str, shingles: str, each: str = "BLOCK") -> str:
+    """SQL for the number of blocks that so many members and shingles need."""
+    return (f"cast(greatest(ceil({members} / {globals()[each]}), "
+            f"ceil({shingles} / {BLOCK_SHINGLES}), 1) AS int)")
+
+
+def _stars(large: DataFrame, near: DataFrame) -> DataFrame:
+    """Members of large clusters in groups around their smallest candidate
+    partner; a partner of many is in every one of its groups."""
+    hub = (near.selectExpr("least(a, b) AS key", "greatest(a, b) AS cid")
+           .groupBy("cid").agg(F.min("key").alias("key")))
+    leaves = large.drop("key").join(hub, "cid")
+    facts = (leaves.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+             .selectExpr("key", f"{_blocks('m', 's', 'STAR')} AS nb"))
+    around = (_with_facts(leaves, facts, "key")
+              .selectExpr("key", "cid", "rid", "cast(pmod(xxhash64(cid), nb) AS int) AS block"))
+    centres = (facts.join(large.selectExpr("cid AS key", "cid", "rid"), "key")
+               .selectExpr("key", "cid", "rid", "explode(sequence(0, nb - 1)) AS block"))
+    return around.unionByName(centres).selectExpr("key", "block AS i", "block AS j", "block", "cid", "rid")
+
+
+def _rests(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Block pairs of what is left to compare in large clusters: members outside
+    the cluster's main component with each other and with the main one."""
+    state = (large.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+             .withColumn("label", F.coalesce("label", "cid")))
+    parts = state.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    facts = (parts.groupBy("key").agg(F.max(F.struct("m", "s", "label")).alias("main"),
+                                      F.sum("m").alias("m"), F.sum("s").alias("s"))
+             .where("m > main.m")
+             .selectExpr("key", "main.label AS main", f"{_blocks('(m - main.m)', '(s - main.s)')} AS nr",
+                         f"{_blocks('main.m', 'main.s')} AS nm"))
+    return (_with_facts(state, facts, "key")
+            .withColumn("apart", F.expr("label != main"))
+            .withColumn("block", F.expr("cast(if(apart, pmod(xxhash64(cid), nr), "
+                                        "nr + pmod(xxhash64(cid), nm)) AS int)"))
+            .withColumn("_o", F.expr("explode(sequence(0, if(apart, nr + nm, nr) - 1))"))
+            .selectExpr("key", "least(block, _o) AS i", "greatest(block, _o) AS j", "block", "cid", "rid"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
@@ -345,24 +400,40 @@ def _near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col:
     members = keys.join(often, "key").join(classes.select("cid", "sig"), "cid")
     pairs = _block_pairs(members, f"ceil(m / {BLOCK})").select(*_PAIR, "block", "cid", "sig")
     near = _by_pair(pairs).mapInArrow(_compare(estimate_bound(percent / 100)), "a long, b long")
+    near = staged(near, "minhash-near")
     clusters = components(near).withColumnRenamed("node", "cid").withColumnRenamed("label", "key")
 
     sized = staged(clusters.join(classes.select("cid", "rid", "n"), "cid"), "minhash-clusters")
-    totals = sized.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    totals = (sized.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+              .selectExpr("key", f"{_blocks('m', 's')} AS nb"))
+    sized = staged(_with_facts(sized, totals, "key"), "minhash-sized")
+    large = sized.where("nb > 1").drop("nb")
     body = rows.select(F.col("_rid").alias("rid"), F.col(f"`{text_col}`").alias("body"))
-    wanted = staged(_block_pairs(sized.join(totals, "key"),
-                                 f"greatest(ceil(m / {BLOCK}), ceil(s / {BLOCK_SHINGLES}))")
-                    .select(*_PAIR, "block", "cid", "rid"), "minhash-wanted")
-    # Members are a small part of all rows: when they are few enough, their
-    # texts are picked where they lie instead of shuffling every text.
-    few = wanted.count() <= BROADCAST_ROWS
-    texts = body.join(F.broadcast(wanted) if few else wanted, "rid").drop("rid")
-    links = components(_by_pair(texts).mapInArrow(_confirm(shingle_words, percent), "a long, b long"))
-
-    least = (classes.select("digest", "cid", "least").join(links, F.col("cid") == F.col("node"), "left")
-             .withColumn("label", F.coalesce("label", "cid")))
-    best = least.groupBy("label").agg(F.min("least").alias("best"))
-    answer = staged(least.join(best, "label").select("digest", "best"), "minhash-answer")
+
+    def confirmed(wanted: DataFrame) -> DataFrame:
+        # Members are a small part of all rows: when they are few enough, their
+        # texts are picked where they lie instead of shuffling every text.
+        wanted = staged(wanted.select(*_PAIR, "block", "cid", "rid"), "minhash-wanted")
+        n = wanted.count()
+        if not n:
+            return None
+        texts = body.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, "rid").drop("rid")
+        return staged(_by_pair(texts).mapInArrow(_confirm(shingle_words, percent), "a long, b long"),
+                      "minhash-links")
+
+    whole = sized.where("nb = 1").selectExpr("key", "0 AS i", "0 AS j", "0 AS block", "cid", "rid")
+    edges = confirmed(whole.unionByName(_stars(large, near)))
+    links = components(near.limit(0) if edges is None else edges)
+    rest = None if edges is None else confirmed(_rests(large, links))
+    if rest is not None:
+        links = components(edges.unionByName(rest))
+
+    mine = staged(classes.select("digest", "cid", "least").join(links, F.col("cid") == F.col("node"), "left")
+                  .drop("node"), "minhash-mine")
+    best = mine.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("best"))
+    answer = staged(_with_facts(mine.where("label IS NOT NULL"), best, "label").select("digest", "best")
+                    .unionByName(mine.where("label IS NULL").selectExpr("digest", "least AS best")),
+                    "minhash-answer")
     kept = [F.col(f"`{c}`") for c in docs.columns]
     return (rows.join(answer, rows["_digest"] == answer["digest"], "left")
             .select(*kept, "_n",
@@ -392,3 +463,32 @@ def op3_minhash_near_duplicates(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, shingle_words=3, percent=85).selectExpr(
         "doc_id", "_n AS n_shingles", "_component AS component_id", "doc_id <=> _component AS kept")
+
+
+# The exact links, by a join on shingles.
+OP3_SQL = r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+      WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least_of USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

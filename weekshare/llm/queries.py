@@ -23,6 +23,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_minhash_near_duplicates": minhash.OP3_SQL,
+    "op5_deep_shallow_dedup": suffixes.OP5_SQL,
     "op10_perspective_rotation": perspective.OP10_SQL,
     "op12_orchard_codes": codebooks.OP12_SQL,
     "op13_source_divergence": divergence.OP13_SQL,

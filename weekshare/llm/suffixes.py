@@ -440,3 +440,33 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def op5_deep_shallow_dedup(spark, sf_dir: str) -> DataFrame:
     return drop_repeats(read_table(spark, sf_dir, "documents"))
+
+
+# Every start of a string, ordered by document and place; strings are told apart by MD5.
+OP5_SQL = """
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+stretches AS (SELECT doc_id, body, unnest(range(0, octet_length(body), 500)) AS s FROM docs),
+pieces AS (SELECT doc_id, s, array_slice(body, s + 1, s + 599) AS piece FROM stretches),
+starts AS (SELECT doc_id, s, piece, unnest(range(1, octet_length(piece) - 98)) AS p FROM pieces),
+strings AS (SELECT doc_id, s + p AS p, md5(array_slice(piece, p, p + 99)) AS string FROM starts),
+numbered AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY string ORDER BY doc_id, p) AS nth FROM strings),
+repeats AS (
+  SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM numbered WHERE nth > 1),
+runs AS (
+  SELECT doc_id, p, sum(CASE WHEN step <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM repeats),
+spans AS (SELECT doc_id, min(p) AS p, max(p) + 99 AS z FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY p), 0) + 1 AS p, p - 1 AS z FROM spans
+  UNION ALL
+  SELECT doc_id, coalesce(max(s.z), 0) + 1, max(octet_length(body))
+  FROM docs LEFT JOIN spans s USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(CASE WHEN z >= p THEN hex(array_slice(body, p, z)) ELSE '' END, '' ORDER BY p) AS kept
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(z - p + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, octet_length(body) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
