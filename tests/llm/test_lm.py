@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from weekshare.llm import chunks as C
 from weekshare.llm import lm as L
 
 from .cases import documents, mixed
@@ -81,6 +82,45 @@ def test_against_brute_force(spark):
         assert any(math.isclose(r.score, w[5], rel_tol=5e-3) for w in exact), (r, exact)
 
 
+def test_two_steps_give_the_same(spark, monkeypatch):
+    texts = sample()
+    ids = list(range(len(texts) - 2)) + [None, 5]
+    docs = documents(spark, texts, ids)
+    once = sorted(map(str, L.score_documents(docs).select("doc_id", "n_tokens", "n_known", "train_tokens").collect()))
+    names, write, chunked, row_counts = [], L.staged, L.write_chunks, {}
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        names.append(name)
+        row_counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(L, "staged", counted)
+    monkeypatch.setattr(L, "write_chunks", lambda d, kind, **kw: chunked(d, kind, limit=2000, **kw))
+    monkeypatch.setattr(L, "RANGE_BYTES", 500)
+    monkeypatch.setattr(C, "FAN", 4)
+    got = L.score_documents(docs).collect()
+    assert "lm-answers" in names and row_counts["lm-answers"] == row_counts["lm-sent"]
+    want = brute(texts, ids)
+    assert sorted(map(str, (type(r)(doc_id=r.doc_id, n_tokens=r.n_tokens, n_known=r.n_known,
+                                    train_tokens=r.train_tokens) for r in got))) == once
+    for r in got:
+        exact = [w for w in want[r.doc_id] if (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == w[:4]
+                 and math.isclose(r.base_score, w[4], rel_tol=1e-9)]
+        assert any(math.isclose(r.score, w[5], rel_tol=5e-3) for w in exact), (r, exact)
+
+
+def test_range_runs():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 63, 500, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    for ranges in (1, 2, 64, 4096):
+        used, cuts = C.range_runs(keys, ranges)
+        full = C.range_cuts(keys, ranges)
+        assert used.tolist() == np.flatnonzero(np.diff(full)).tolist()
+        assert cuts.tolist() == [*full[used].tolist(), len(keys)]
+    assert C.range_runs(keys[:0], 8)[0].tolist() == []
+
+
 def test_held_out_text_is_better_predicted(spark):
     texts = sample()[:300]
     rows = L.score_documents(documents(spark, texts)).where("held_out").collect()

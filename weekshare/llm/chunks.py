@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import plain_texts, staged, text_batches
 
 CHUNK_BYTES = 4 << 20           # text per chunk; a longer text is its own chunk
+FAN = 4096                      # key ranges a chunk may send to in one step
 CHUNKS = ("chunk long, kind int, n_bytes long, ids array<long>, sizes array<long>, body binary")
 
 
@@ -90,6 +91,26 @@ def range_cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
     return np.searchsorted(keys >> shift, np.arange(ranges + 1, dtype=np.uint64))
 
 
+def first_ranges(ranges: int) -> int:
+    """Ranges of the first of two steps: all of them up to ``FAN``; else at
+    least ``FAN``, and not fewer than each of them is split into."""
+    if ranges <= FAN:
+        return ranges
+    return max(FAN, 1 << (ranges.bit_length() // 2))
+
+
+def range_runs(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges that sorted 64-bit keys fall into, and where each begins, and
+    the end. The work follows the keys, not the number of ranges."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    if ranges == 1:
+        return np.zeros(1, np.int64), np.array([0, len(keys)])
+    of = (keys >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    return of[starts], np.append(starts, len(keys))
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, byte plane by byte plane: the planes that
     hold only zeros vanish in the shuffle's compression."""

@@ -13,7 +13,10 @@ model uses the counts of all training documents with those weights.
 
 Counts cover all training documents and every word and pair, with no cut-off:
 chunks send their distinct keys with counts to key ranges and get the totals
-back (``chunks``). Only bounded tables reach the driver: counts of counts, and
+back (``chunks``). Beyond ``FAN`` ranges this takes two steps: a group of chunks
+adds up its counts of a wide range, as one larger chunk would, and asks the
+ranges inside for the totals; so rows hold about as many keys at any size
+instead of growing with the square of the input. Only bounded tables reach the driver: counts of counts, and
 the held-out likelihood ratios by bucket, rounded to a sixteenth of an octave.
 
 Words are those between white space, A-Z as lower case; each document ends
@@ -36,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import (answers_by_chunk, open_chunk, pack_keys, range_cuts,
-                     ranges_for, unpack_keys, write_chunks)
+from .chunks import (answers_by_chunk, first_ranges, open_chunk, pack_keys,
+                     range_runs, ranges_for, unpack_keys, write_chunks)
 from .common import read_table, staged
 from .tokens import hash_words, lowered, mix, split
 
@@ -50,7 +53,9 @@ EM_ROUNDS = 200
 SMOOTHING = 0.1             # of the base score
 
 END = np.uint64(0x9D2C5680CAFEF00D)
-TEST, HELD, TRAIN = 0, 1, 2
+TEST, HELD, TRAIN, MIXED = 0, 1, 2, 3      # MIXED: a group's held-out and other counts
+SENT = "part int, chunk long, kind int, keys binary, counts binary"
+SUMS = "chunk long, part int, total binary, rest binary, stat long, value long"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
@@ -89,11 +94,11 @@ def _send(ranges: int):
                 parts, counts, keys = [], [], []
                 for which, all_keys in enumerate((tokens, pairs)):
                     uniq, n = np.unique(all_keys, return_counts=True)
-                    cuts = range_cuts(uniq, ranges)
-                    for b in np.flatnonzero(np.diff(cuts)):
-                        parts.append(which * ranges + int(b))
-                        keys.append(pack_keys(uniq[cuts[b]:cuts[b + 1]]))
-                        counts.append(n[cuts[b]:cuts[b + 1]].astype("<u4").tobytes())
+                    used, cuts = range_runs(uniq, ranges)
+                    for b, x, y in zip(used.tolist(), cuts, cuts[1:]):
+                        parts.append(which * ranges + b)
+                        keys.append(pack_keys(uniq[x:y]))
+                        counts.append(n[x:y].astype("<u4").tobytes())
                 m = len(parts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(parts, pa.int32()), pa.array([batch.column("chunk")[i].as_py()] * m, pa.int64()),
@@ -111,25 +116,77 @@ def bin_count(b: int) -> float:
     return float(b) if b <= 64 else 2.0 ** (b / STEP)
 
 
+def _added(table: pa.Table):
+    """Rows of one key range -> its distinct keys with held-out and other
+    counts, the place of every row's keys among them, and where rows begin."""
+    keys = [unpack_keys(k) for k in table.column("keys").to_pylist()]
+    cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+    uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
+    held, rest = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
+    for x, y, kind, packed in zip(cuts, cuts[1:], table.column("kind").to_pylist(),
+                                  table.column("counts").to_pylist()):
+        here = at[x:y]                              # a row's keys are distinct
+        if kind == MIXED:
+            both = np.frombuffer(packed, "<i8").reshape(2, -1)
+            held[here] += both[0]
+            rest[here] += both[1]
+        elif kind != TEST:
+            (held if kind == HELD else rest)[here] += np.frombuffer(packed, "<u4")
+    return uniq, held, rest, at, cuts
+
+
+def _asker(groups: int) -> str:
+    """SQL for the number of a (wide range, group of chunks)."""
+    return f"part * {groups}L + pmod(xxhash64(chunk), {groups}L)"
+
+
+def _split(wide: int, ranges: int):
+    """Rows of a group of chunks for one wide range -> one row per range inside."""
+    def run(table: pa.Table) -> pa.Table:
+        which = table.column("part")[0].as_py() // wide
+        uniq, held, rest, _, _ = _added(table)
+        used, cuts = range_runs(uniq, ranges)
+        spans = list(zip(cuts, cuts[1:]))
+        return pa.table({
+            "part": pa.array(which * ranges + used, pa.int32()),
+            "chunk": pa.array([table.column("asker")[0].as_py()] * len(used), pa.int64()),
+            "kind": pa.array([MIXED] * len(used), pa.int32()),
+            "keys": pa.array([pack_keys(uniq[x:y]) for x, y in spans], pa.binary()),
+            "counts": pa.array([np.stack([held[x:y], rest[x:y]]).astype("<i8").tobytes() for x, y in spans],
+                               pa.binary())})
+    return run
+
+
+def _hand_on(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """A group's rows for one wide range and the answers from inside -> answers
+    for its chunks."""
+    _, _, _, at, cuts = _added(rows)
+    order = np.argsort(answers.column("part").to_numpy())
+
+    def joined(name):
+        packed = answers.column(name).to_pylist()
+        return np.frombuffer(b"".join(packed[x] for x in order), "<u8")[at]
+
+    total, rest = joined("total"), joined("rest")
+    kinds = rows.column("kind").to_pylist()
+    return pa.table({
+        "chunk": rows.column("chunk"), "part": rows.column("part"),
+        "total": pa.array([total[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary()),
+        "rest": pa.array([rest[x:y].tobytes() if k == HELD else b"" for x, y, k in zip(cuts, cuts[1:], kinds)],
+                         pa.binary())})
+
+
 def _sum(ranges: int):
-    """All chunks' counts of one key range -> totals per chunk, and for words
-    the counts of counts the driver needs."""
+    """All rows of one key range -> totals for each sender, and for words the
+    counts of counts the driver needs."""
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         chunk, kind = table.column("chunk").to_pylist(), table.column("kind").to_pylist()
-        keys = [unpack_keys(k) for k in table.column("keys").to_pylist()]
-        counts = [np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()]
-        sizes = [len(k) for k in keys]
-        uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.concatenate(counts).astype(np.int64)
-        of = np.repeat(kind, sizes)
-        held = np.bincount(at, n * (of == HELD), len(uniq)).astype(np.int64)
-        rest = np.bincount(at, n * (of == TRAIN), len(uniq)).astype(np.int64)
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        _, held, rest, at, cuts = _added(table)
         total, back = (held + rest).astype("<u8")[at], rest.astype("<u8")[at]
         out = {"chunk": chunk, "part": [part] * len(chunk),
                "total": [total[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
-               "rest": [back[a:b].tobytes() if k == HELD else b"" for a, b, k in zip(cuts, cuts[1:], kind)],
+               "rest": [back[a:b].tobytes() if k in (HELD, MIXED) else b"" for a, b, k in zip(cuts, cuts[1:], kind)],
                "stat": [None] * len(chunk), "value": [None] * len(chunk)}
         if part < ranges:
             stats = {-1: int((held + rest > 0).sum()), -2: int((held + rest).sum()),
@@ -221,13 +278,28 @@ def _score(ranges: int, vocabulary: int, total: int, share: float, weights: np.n
     return run
 
 
+def _totals(chunks: DataFrame, wide: int, ranges: int) -> tuple[DataFrame, DataFrame]:
+    """Totals for the chunks' keys by wide range, and the counts of counts."""
+    sent = chunks.mapInArrow(_send(wide), SENT)
+    if wide == ranges:
+        sums = staged(sent.groupBy("part").applyInArrow(_sum(ranges), SUMS), "lm-sums")
+        return sums.where("chunk IS NOT NULL").select("chunk", "part", "total", "rest"), sums
+    groups = 1 + chunks.count() // wide             # a group's wide range is about a chunk's keys
+    sent = staged(sent.withColumn("asker", F.expr(_asker(groups))), "lm-sent")
+    inside = sent.groupBy("asker").applyInArrow(_split(wide, ranges), SENT)
+    sums = staged(inside.groupBy("part").applyInArrow(_sum(ranges), SUMS), "lm-sums")
+    asked = sums.where("chunk IS NOT NULL").select(F.col("chunk").alias("asker"), "part", "total", "rest")
+    answers = (sent.groupBy("asker").cogroup(asked.groupBy("asker"))
+               .applyInArrow(_hand_on, "chunk long, part int, total binary, rest binary"))
+    return staged(answers, "lm-answers"), sums
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: counts, base score and the model's log10 probability."""
     chunks = write_chunks(docs, fold, id_col=id_col, text_col=text_col)
     ranges = ranges_for(chunks, RANGE_BYTES)
-    sent = chunks.mapInArrow(_send(ranges), "part int, chunk long, kind int, keys binary, counts binary")
-    sums = staged(sent.groupBy("part").applyInArrow(
-        _sum(ranges), "chunk long, part int, total binary, rest binary, stat long, value long"), "lm-sums")
+    wide = first_ranges(ranges)
+    answers, sums = _totals(chunks, wide, ranges)
 
     stats = {r["stat"]: r["value"] for r in sums.where("stat IS NOT NULL").groupBy("stat")
              .agg(F.sum("value").alias("value")).collect()}           # some hundred rows
@@ -238,10 +310,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                            np.array([stats[b] for b in bins], float))
     share = 0.5 if math.isnan(share) else share
 
-    answers = sums.where("chunk IS NOT NULL")
     held = (chunks.where(f"kind = {HELD}").join(answers_by_chunk(
         answers.where("length(rest) > 0").select("chunk", "part", "rest")), "chunk"))
-    rows = (held.mapInArrow(_ratios(ranges, vocabulary_rest, total_rest, share),
+    rows = (held.mapInArrow(_ratios(wide, vocabulary_rest, total_rest, share),
                             "bucket long, ratio long, n long")
             .groupBy("bucket", "ratio").agg(F.sum("n").alias("n")).collect())   # buckets x ratio bins
     weights, last = np.zeros(BUCKETS + 17), 0.0
@@ -252,7 +323,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         weights[b] = last = last if math.isnan(w) else w
 
     return (chunks.join(answers_by_chunk(answers.select("chunk", "part", "total")), "chunk")
-            .mapInArrow(_score(ranges, vocabulary, total, share, weights), SCORES))
+            .mapInArrow(_score(wide, vocabulary, total, share, weights), SCORES))
 
 
 def op2_deleted_interpolation(spark, sf_dir: str) -> DataFrame:
